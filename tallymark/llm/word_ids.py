@@ -1,9 +1,13 @@
-"""Token ids of whole texts by a public tokenizer, one encoding for each distinct piece of text.
+"""Token ids of whole texts by a public tokenizer, with a lookup of chunks that were seen before.
 
 Both tokenizers in use split a text into pieces before they merge, and no piece begins inside a run of
 ASCII white space and what follows it up to the next such run. So a text cut before each of these runs
-has the ids of its chunks, one after another, and a chunk that was seen before is looked up. A text
-with any other white space is encoded as a whole, as there the rule does not hold.
+has the ids of its chunks, one after another. A text with any other white space is encoded as a whole,
+as there the rule does not hold.
+
+A new chunk of ASCII and common Latin letters is cut into pieces by the tokenizer's own pattern, whose
+character classes are plain in that range, and each new piece goes to the tokenizer's merge model; any
+other chunk goes through the whole tokenizer.
 """
 
 from __future__ import annotations
@@ -17,10 +21,18 @@ os.environ.setdefault("RAYON_NUM_THREADS", "1")
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Fixed value: white space other than ``[\x20\x09-\x0D]``.
-OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+# White space other than [\x20\x09-\x0D]; letters, all of them single characters in
+# either case; and the two tokenizers' patterns within these characters.
+OTHER_SPACE = re.compile(f"[{''.join(map(chr, (*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))}]")
+LETTERS = "A-Za-zÀ-ÖØ-öø-įı-ķĹ-ňŊ-ž"
+CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
+SPACED = re.compile(f"{CONTRACTIONS}| ?[{LETTERS}]+| ?[0-9]+| ?[^ \t-\r0-9{LETTERS}]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
+BARE = re.compile(f"{CONTRACTIONS}|[{LETTERS}]+|[0-9]|[^ \t-\r0-9{LETTERS}]+")
+PLAIN = re.compile(f"[ \t-\r!-~{LETTERS}]+")
 CHUNK = re.compile("[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
-#: Chunks and characters of a chunk that the lookup holds at most.
+#: Fixed value: how byte-level vocabularies write bytes that do not print.
+PRINTED = {b: 256 + k for k, b in enumerate(x for x in range(256) if not (33 <= x <= 126 or 161 <= x <= 172 or x >= 174))}
+#: Chunks, and pieces, that the lookups hold at most, and characters of each.
 HELD = 400_000
 LONGEST = 64
 
@@ -33,28 +45,49 @@ class WordIds:
     def __init__(self, path: str, keep_space: bool, dtype: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
         self.keep_space, self.dtype = keep_space, dtype
         if self.tokenizer.get_vocab_size() > np.iinfo(dtype).max + 1:
             raise ValueError(f"{path}: ids do not fit {dtype}")
+        self.size = np.dtype(dtype).itemsize
         self.known: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, self.dtype).tobytes() for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        self.pieces: dict[str, bytes] = {}
 
     def chunks(self, text: str) -> list[str]:
         if OTHER_SPACE.search(text):
             return [text]
         return CHUNK.findall(text) if self.keep_space else text.split()
 
+    def _piece(self, piece: str) -> bytes:
+        printed = piece.encode().decode("latin-1").translate(PRINTED)
+        made = b"".join([x.id.to_bytes(self.size, "little") for x in self.model.tokenize(printed)])
+        if len(piece) <= LONGEST:
+            self.pieces[piece] = made
+        return made
+
+    def _new(self, chunks: list[str]) -> dict[str, bytes]:
+        """The ids of chunks that are not known."""
+        made, others, pieces = {}, [], self.pieces
+        for chunk in chunks:
+            if PLAIN.fullmatch(chunk):
+                parts = SPACED.findall(chunk) if self.keep_space else BARE.findall(chunk.lower())
+                made[chunk] = b"".join([pieces[p] if p in pieces else self._piece(p) for p in parts])
+            else:
+                others.append(chunk)
+        if others:
+            found = self.tokenizer.encode_batch(others, add_special_tokens=False)
+            made |= {chunk: np.array(x.ids, self.dtype).tobytes() for chunk, x in zip(others, found, strict=True)}
+        return made
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes."""
         if len(self.known) > HELD:
             self.known = {}
-        cut = [self.chunks(x) for x in texts]
-        known = self.known
+        if len(self.pieces) > HELD:
+            self.pieces = {}
+        cut, known = [self.chunks(x) for x in texts], self.known
         new = list({x for chunks in cut for x in chunks if x not in known})
-        fresh = dict(zip(new, self._encode(new), strict=True)) if new else {}
-        known.update(fresh)
+        known.update(self._new(new))
         out = [b"".join([known[x] for x in chunks]) for chunks in cut]
         for x in new:
             if len(x) > LONGEST:
