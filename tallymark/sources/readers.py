@@ -68,14 +68,14 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
     The file is read as one split, which is what gives lines their numbers; it is a dictionary.
     """
-    whole = spark.read.option("wholetext", True).text(path).select(F.regexp_replace("value", "\n$", "").alias("value"))
+    whole = spark.read.text(path, wholetext=True).select(F.regexp_replace("value", r"\n\z", "").alias("value"))
     rows = whole.select(F.posexplode(F.split("value", "\n")).alias("id", "line"))
     return rows.groupBy(F.trim(F.col("line")).alias("token")).agg(F.max("id").alias("id"))
 
 
 def geojson_shapes(spark: SparkSession, folder: str) -> dict[str, dict]:
     """name -> geometry of all features of the GeoJSON files of a folder: a dictionary of places."""
-    rows = spark.read.option("wholetext", True).text(folder).collect()
+    rows = spark.read.text(folder, wholetext=True).collect()
     out = {}
     for row in rows:
         whole = json.loads(row.value)
