@@ -3,9 +3,10 @@
 Words are ``[^\\x20\\x09-\\x0D]+``. Around each cue word (such as *license* or *copyright*) lies a
 candidate block, ``reach`` words to either side. The block is compressed alone and with each template
 as a raw zstandard dictionary; what a template saves says how much of its wording the block shares.
-Templates are ranked by that, and the first whose exact wording differs from the block's in at most
-``max_changed`` of its words is confirmed: the differences between template and block are taken word by
-word, case and outer punctuation aside. Cues inside a confirmed passage are not looked at again.
+Templates are ranked by that and confirmed if their exact wording differs from the block's in at most
+``max_changed`` of their words: differences are taken word by word, case and outer punctuation aside. Of
+confirmed templates that save nearly as much as the best of them, the one with the fewest changes wins. Cues inside a confirmed passage are not looked at again;
+what lies beside it in the block is.
 
 Texts without a cue never leave the JVM; blocks are bounded by ``reach`` and each is worked off on its
 own, so a long text costs memory only for its words. Null and empty text has no finding. Each of
@@ -44,6 +45,8 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
+#: Share of the best confirmed saving from which another template is compared by its wording.
+NEARLY = 0.8
 CUE = r"(?i)licen[cs]|copyright|redistribut|permission|public domain|mozilla public"
 _CUE_WORD = re.compile(r"licen[cs]|copyright|redistribut|permission|domain|mozilla", re.IGNORECASE)
 _WORD = re.compile(r"[^ \t-\r]+")
@@ -91,26 +94,36 @@ class Scanner:
         return low + codes[0][3], low + codes[-1][4], removed, added
 
     def confirm(self, block: list[str]) -> tuple | None:
-        """(name, saved, first, end, removed, added) of the best confirmed template."""
+        """(name, saved, first, end, removed, added) of the winner: of the confirmed templates that save nearly as much as the best of them, the one with the fewest changed words."""
+        confirmed = []
         for less, name in self.ranked(block):
+            if confirmed and -less < NEARLY * confirmed[0][1]:
+                break
             found = self.differences(name, block)
             if found and max(len(found[2]), len(found[3])) <= self.max_changed * len(self.words[name]):
-                return (name, -less, *found)
-        return None
+                confirmed.append((name, -less, *found))
+        return min(confirmed, key=lambda c: (max(len(c[4]), len(c[5])), -c[1], c[0]), default=None)
 
     def scan(self, text: str) -> Iterator[tuple]:
-        """Each confirmed passage: first word, number of words, name, saved, changed, removed, added, wording."""
+        """Each confirmed passage, in order: first word, number of words, name, saved, changed, removed, added, wording."""
         words = _WORD.findall(text)
-        done = 0
+        ready: list[tuple] = []  # confirmed passages that a block may still reach
         for k, word in enumerate(words):
-            if k < done or not _CUE_WORD.search(word):
+            while ready and ready[0][0] + ready[0][1] <= k - self.reach:
+                yield ready.pop(0)
+            if not _CUE_WORD.search(word):
                 continue
-            low = max(done, k - self.reach)
-            found = self.confirm([plain(w) for w in words[low : k + self.reach]])
-            if found:
+            # A block may hold several passages: what is confirmed beside the cue bounds the next look at it.
+            while not any(p[0] <= k < p[0] + p[1] for p in ready):
+                low = max([0, k - self.reach, *(p[0] + p[1] for p in ready if p[0] + p[1] <= k)])
+                high = min([len(words), k + self.reach, *(p[0] for p in ready if p[0] > k)])
+                found = self.confirm([plain(w) for w in words[low:high]])
+                if not found:
+                    break
                 name, saved, first, end, removed, added = found
-                done = max(low + end, k + 1)
-                yield low + first, end - first, name, saved, max(len(removed), len(added)), " ".join(removed), " ".join(added), " ".join(words[low + first : low + end])
+                ready.append((low + first, end - first, name, saved, max(len(removed), len(added)), " ".join(removed), " ".join(added), " ".join(words[low + first : low + end])))
+                ready.sort()
+        yield from ready
 
 
 def _scanned(templates: dict[str, str], max_changed: float):
