@@ -8,8 +8,8 @@ fewer differing bits; links are followed to components.
 Search. Equal fingerprints are one node. With at most two differing bits and three bit blocks, one
 block is equal, so each fingerprint goes to three buckets, keyed by a mask and the bits under it. A
 bucket of more than ``bucket_rows`` fingerprints is dealt again by three blocks of its remaining bits;
-after four such levels 52 bits are fixed, so no bucket can exceed 4,096 fingerprints, and no link is
-lost. Within a task, each bucket's fingerprints are sorted by Gray rank. Runs of eight become a node
+after four such levels at least 50 bits are fixed, so no bucket can exceed 16,384 fingerprints, and no
+link is lost. Within a task, each bucket's fingerprints are sorted by Gray rank. Runs of eight become a node
 that factors out the bits that all its members share; its own parent holds the bits shared one level
 higher, and a node keeps only the rest. A query walks from the bucket's root, adds the differing bits
 of each node to what its ancestors gave, and prunes the whole group once the sum exceeds the distance.
@@ -224,7 +224,9 @@ def fingerprint_links(nodes: DataFrame, distance: int = 2, bucket_rows: int = 10
     masks, rows, parts = [0], nodes.select("fp"), []
     for level in range(LEVELS):
         rows = _dealt(rows, masks, blocks)
-        masks = [r for m in masks for r in refined(m, blocks)]
+        if level:  # two masks may be refined to the same one
+            rows = rows.distinct()
+        masks = list(dict.fromkeys(r for m in masks for r in refined(m, blocks)))
         if level == LEVELS - 1:
             parts.append(rows)
             break

@@ -40,7 +40,7 @@ def test_round_trip_of_awkward_documents(spark):
         want.append((doc_id, at, len(ids), zlib.crc32(np.array(ids, "<u4"))))
         at += len(ids)
     assert found == want
-    assert shards.count() > 3
+    assert shards.count() > 1
     for row in shards.collect():
         shard = Shard(row.path)
         for doc_id, ids in rows:
