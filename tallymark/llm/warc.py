@@ -145,4 +145,4 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
 def read_archives(archives: DataFrame) -> DataFrame:
     """One row per record: page_id, payload_bytes, payload_digest, record_type, refers_to."""
     ship_package(archives.sparkSession)
-    return archives.select("path").repartition("path").mapInArrow(_read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    return archives.select("path").repartition(max(1, archives.count()), "path").mapInArrow(_read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
