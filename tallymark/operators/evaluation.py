@@ -35,8 +35,9 @@ def rank_auc(frame: DataFrame, label: str = "label", score: str = "score", chunk
     task holds all scores.
     """
     each = _counted(frame, label, score)
-    bounds = each.select(F.percentile_approx("score", [k / chunks for k in range(1, chunks)], 10_000).alias("b"))
-    placed = each.crossJoin(F.broadcast(bounds)).select("score", "p", "n", F.size(F.filter(F.coalesce("b", F.array().cast("array<double>")), lambda x: x < F.col("score"))).alias("part"))
+    found = each.select(F.percentile_approx("score", [k / chunks for k in range(1, chunks)], 10_000)).first()[0] if chunks > 1 else None
+    bounds = F.array(*[F.lit(float(x)) for x in found or []]).cast("array<double>")
+    placed = each.select("score", "p", "n", F.size(F.filter(bounds, lambda x: x < F.col("score"))).alias("part"))
     sums = placed.groupBy("part").agg(F.sum("n").alias("all_n"))
     before = sums.select("part", (F.sum("all_n").over(Window.orderBy("part")) - F.col("all_n")).alias("before"))
     within = F.sum("n").over(Window.partitionBy("part").orderBy("score")) - F.col("n")
@@ -48,9 +49,9 @@ def rank_auc(frame: DataFrame, label: str = "label", score: str = "score", chunk
 def binned(frame: DataFrame, bins: int = 1000, label: str = "label", score: str = "score") -> DataFrame:
     """(bin, positives, negatives): scores from the smallest to the largest in equal bins, the largest in the last; one bin if all are equal."""
     rows = frame.select(F.col(label).cast("double").alias("y"), F.col(score).cast("double").alias("s")).where("y is not null and s is not null")
-    ends = rows.agg(F.min("s").alias("low"), F.max("s").alias("high"))
-    share = F.when(F.col("high") > F.col("low"), (F.col("s") - F.col("low")) / (F.col("high") - F.col("low"))).otherwise(F.lit(0.0))
-    placed = rows.crossJoin(F.broadcast(ends)).select("y", F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int").alias("bin"))
+    low, high = rows.agg(F.min("s"), F.max("s")).first()
+    share = (F.col("s") - F.lit(low)) / F.lit(high - low) if low is not None and high > low else F.lit(0.0)
+    placed = rows.select("y", F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int").alias("bin"))
     return placed.groupBy("bin").agg(F.sum(F.when(F.col("y") > 0, 1).otherwise(0)).alias("positives"), F.sum(F.when(F.col("y") > 0, 0).otherwise(1)).alias("negatives"))
 
 

@@ -326,8 +326,9 @@ select vec_id, {fixed_sql("list_cosine_similarity(embedding::double[], q.e::doub
 """)
 def cosine_similarity(read) -> DataFrame:
     vectors = read("embeddings")
-    one = vectors.agg(F.min_by("embedding", "vec_id").alias("one"))
-    return vectors.crossJoin(F.broadcast(one)).select("vec_id", fixed(features.cosine(F.col("embedding"), F.col("one")), 6).alias("cosine"))
+    first = vectors.agg(F.min_by("embedding", "vec_id")).first()[0] or []
+    one = F.array(*[F.lit(float(x)) for x in first]).cast("array<double>")
+    return vectors.select("vec_id", fixed(features.cosine(F.col("embedding"), one), 6).alias("cosine"))
 
 
 @register("select event_id, k as place, event_id * 10 + k as vid, user_id as aid, (event_id + k) % 2 as label from events, unnest([0, 1, 2]) as t(k)")

@@ -30,10 +30,10 @@ def ship_package(spark: SparkSession) -> None:
 
 def shared_root(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir`` as a URI; a temporary one only where it is unset."""
-    context = spark.sparkContext
-    root = context.getConf().get("spark.checkpoint.dir") or _ROOTS.get(context.applicationId)
+    application = spark.sparkContext.applicationId
+    root = spark.conf.get("spark.checkpoint.dir", None) or _ROOTS.get(application)
     if not root:
-        root = _ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="tallymark-shared-")
+        root = _ROOTS[application] = tempfile.mkdtemp(prefix="tallymark-shared-")
     return root if "://" in root or root.startswith("file:") else f"file://{root}"
 
 
