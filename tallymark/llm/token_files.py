@@ -235,5 +235,5 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_token_files(shards: DataFrame) -> DataFrame:
     """One row per document, read back through the shards' indexes: doc_id, start, n_tokens, ids_crc32."""
     ship_package(shards.sparkSession)
-    return shards.select("path", "start").repartition("path").mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return shards.select("path", "start").repartition(max(1, shards.count()), "path").mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
