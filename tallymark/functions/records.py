@@ -15,13 +15,13 @@ def rule_line(line: Column) -> Column:
     A trailing ``:1`` makes a query; it and a trailing ``:0`` are no part of the corpus. A line with
     fewer than two colons has an empty corpus.
     """
-    whole = line.rlike("(?s)^[^:]*:[^:]*:")
-    rest = F.when(whole, F.regexp_replace(line, "(?s)^[^:]*:[^:]*:", "")).otherwise(F.lit(""))
-    flagged = line.rlike("(?s)^[^:]*:[^:]*:.*:[01]$")
+    head = F.substring_index(line, ":", 2)  # the whole line if it has no second colon
+    rest = F.substring(line, F.length(head) + 2, F.length(line))
+    flagged = rest.endswith(":0") | rest.endswith(":1")
     return F.struct(
         F.substring_index(line, ":", 1).alias("app"),
         F.when(flagged, F.substring(rest, F.lit(1), F.length(rest) - 2)).otherwise(rest).alias("corpus"),
-        (flagged & line.endswith(":1")).alias("is_query"),
+        (flagged & rest.endswith(":1")).alias("is_query"),
     )
 
 

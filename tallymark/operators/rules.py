@@ -27,13 +27,13 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.records import app_records, rule_lines
 
-#: From so many counters on, one pass of a multi-pattern matcher replaces one expression for each.
-ARROW_COUNTERS = 24
+#: From so many words on, one pass of an automaton over Arrow batches beats one expression for each, as measured.
+ARROW_COUNTERS = 4
 NO_END = 2**31 - 1
 
 
@@ -329,6 +329,19 @@ def _pattern(word: str) -> str:
     return "(?=" + "".join(f"\\{c}" if not c.isalnum() and ord(c) < 128 else c for c in word) + ")"
 
 
+def overlaps_itself(word: str) -> bool:
+    """True if two occurrences of a word can share characters."""
+    return any(word.endswith(word[:k]) for k in range(1, len(word)))
+
+
+def _occurrences(text: Column, word: str) -> Column:
+    """How often a word occurs; a plain replacement counts, unless occurrences can overlap."""
+    if overlaps_itself(word):
+        return F.regexp_count(text, F.lit(_pattern(word)))
+    rest = F.length(F.replace(text, F.lit(word), F.lit("")))
+    return ((F.length(text) - rest) / F.lit(len(word))).cast("int")
+
+
 def _native(counter: Counter, lines: Column | None, apps: Column | None) -> Column:
     """One counter as a column over parsed lines and app records."""
     zero, total = F.lit(0), None
@@ -341,7 +354,7 @@ def _native(counter: Counter, lines: Column | None, apps: Column | None) -> Colu
                 ok = F.lit(True) if counter.apps is None else x["app"].isin(sorted(counter.apps))
                 return ok & x["is_query"] if counter.query == "1" else ok
 
-            return F.aggregate(F.filter(lines, wanted), zero, lambda acc, x: acc + F.regexp_count(x["corpus"], F.lit(_pattern(counter.word))))
+            return F.aggregate(F.filter(lines, wanted), zero, lambda acc, x: acc + _occurrences(x["corpus"], counter.word))
         hits = F.size(F.filter(lines, lambda x: x["app"] == counter.word))
         total = hits if counter.kind == "apps_freq" else F.least(hits, F.lit(1))
     if apps is not None and counter.kind != "data_word":
@@ -391,21 +404,35 @@ def _matcher(counters: list[Counter]):
     return count
 
 
+def _slots(rules: RuleSet, lines: Column | None, records: Column | None, matcher: str) -> Column:
+    """Slots from parsed lines and app records."""
+    words = [c for c in rules.counters() if c.kind == "data_word"]
+    found: dict[Counter, Column] = {}
+    if lines is not None and words and (matcher == "arrow" or matcher == "auto" and len(words) >= ARROW_COUNTERS):
+        counts = _matcher(words)(lines)
+        found = {c: counts[k] for k, c in enumerate(words)}
+    values = {c: found[c] if c in found else _native(c, lines, records) for c in rules.counters()}
+    return F.array(*[to_column(s.expr, values.__getitem__) for s in rules.slots]).cast("array<int>")
+
+
 def slot_values(rules: RuleSet, data: Column | None = None, apps: Column | None = None, matcher: str = "auto", layout: str = "rule") -> Column:
     """Phase one: each row's slots as array<int>.
 
     data: array of packed lines; apps: array of packed app records in ``layout``. matcher: ``native``
     (column expressions), ``arrow`` (one automaton for all words), or ``auto`` by their number.
     """
-    lines = rule_lines(data) if data is not None else None
-    records = app_records(apps, layout) if apps is not None else None
-    words = [c for c in rules.counters() if c.kind == "data_word"]
-    found: dict[Counter, Column] = {}
-    if data is not None and words and (matcher == "arrow" or matcher == "auto" and len(words) >= ARROW_COUNTERS):
-        counts = _matcher(words)(lines)
-        found = {c: counts[k] for k, c in enumerate(words)}
-    values = {c: found.get(c) if c in found else _native(c, lines, records) for c in rules.counters()}
-    return F.array(*[to_column(s.expr, values.__getitem__) for s in rules.slots]).cast("array<int>")
+    return _slots(rules, None if data is None else rule_lines(data), None if apps is None else app_records(apps, layout), matcher)
+
+
+def with_slots(frame: DataFrame, rules: RuleSet, data: str | None = None, apps: str | None = None, out: str = "_slots", matcher: str = "auto", layout: str = "rule") -> DataFrame:
+    """The frame with slot_values as a column; lines and records are parsed once for all counters, in a projection of their own."""
+    parsed = {}
+    if data is not None:
+        parsed["_lines"] = rule_lines(F.col(data))
+    if apps is not None:
+        parsed["_records"] = app_records(F.col(apps), layout)
+    staged = frame.withColumns(parsed) if parsed else frame
+    return staged.withColumn(out, _slots(rules, F.col("_lines") if data is not None else None, F.col("_records") if apps is not None else None, matcher)).drop(*parsed)
 
 
 def tag_values(rules: RuleSet, slots: Column) -> Column:

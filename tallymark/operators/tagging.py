@@ -7,22 +7,22 @@ from pyspark.ml import Transformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.operators.arrays import any_nonzero, positive_map, strict_argmax, sum_arrays
-from tallymark.operators.rules import RuleSet, compile_rules, slot_values, tag_values
+from tallymark.operators.rules import RuleSet, compile_rules, tag_values, with_slots
 
 
-def _slots(frame: DataFrame, rules: RuleSet, data: str, apps: str, matcher: str) -> Column:
-    """Slots from whichever of the two columns the frame has."""
-    return slot_values(rules, F.col(data) if data in frame.columns else None, F.col(apps) if apps in frame.columns else None, matcher)
+def _scored(frame: DataFrame, rules: RuleSet, data: str, apps: str, matcher: str) -> DataFrame:
+    """The frame with its slots, from whichever of the two columns it has."""
+    return with_slots(frame, rules, data if data in frame.columns else None, apps if apps in frame.columns else None, matcher=matcher)
 
 
 def with_tags(frame: DataFrame, rules: list[str], data: str = "data", apps: str = "apps", tags: str = "tags", scores: str | None = "scores", matcher: str = "auto") -> DataFrame:
     """The frame with its rows' tags and, unless scores is None, their slots."""
     compiled = compile_rules(rules)
-    scored = frame.withColumn("_slots", _slots(frame, compiled, data, apps, matcher)).withColumn(tags, tag_values(compiled, F.col("_slots")))
+    scored = _scored(frame, compiled, data, apps, matcher).withColumn(tags, tag_values(compiled, F.col("_slots")))
     return scored.withColumn(scores, F.col("_slots")).drop("_slots") if scores else scored.drop("_slots")
 
 
@@ -46,7 +46,7 @@ def row_tag_map(frame: DataFrame, rules: list[str], names: list[str], user: str
 
 def sub_scores(frame: DataFrame, rules: list[str], user: str = "userid", data: str = "data", apps: str = "apps", as_vector: bool = False, matcher: str = "auto") -> DataFrame:
     """Phase one: (user, sub_scores) of the rows with any slot."""
-    scored = frame.select(user, _slots(frame, compile_rules(rules), data, apps, matcher).alias("sub_scores")).where(any_nonzero(F.col("sub_scores")))
+    scored = _scored(frame, compile_rules(rules), data, apps, matcher).select(user, F.col("_slots").alias("sub_scores")).where(any_nonzero(F.col("sub_scores")))
     return scored.withColumn("sub_scores", array_to_vector(F.col("sub_scores").cast("array<double>"))) if as_vector else scored
 
 
