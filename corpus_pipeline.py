@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.llm.exact_dedup import exact_dedup
-from tallymark.llm.language import UNKNOWN, identify_language
+from tallymark.llm.language import keep_known
 from tallymark.llm.mixing import mixed_documents
 from tallymark.llm.packing import pack_sequences
 from tallymark.llm.queries import vocabulary
@@ -29,8 +29,7 @@ def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the profiles know; those without letters or far from every profile go."""
-    found = identify_language(docs)
-    return _only(docs, found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(F.col("doc_id").alias("keep")))
+    return keep_known(docs, MIN_LANGUAGE_SCORE)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,8 +18,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.session import ship_package
@@ -131,16 +132,18 @@ def fit_profiles(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return Profiles(profiles, size)
 
 
-def _predicted(profiles: Profiles):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def language_of(text: Column, profiles: Profiles) -> Column:
+    """struct(lang_pred, score) of a text column."""
+
+    @F.pandas_udf("lang_pred string, score double")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            made = [profiles.predict(x) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([x[0] for x in made], pa.string()), pa.array([x[1] for x in made], pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
+            yield pd.DataFrame([profiles.predict(x) for x in batch], columns=["lang_pred", "score"])
 
-    return run
+    return run(text.cast("string"))
 
 
-def held_out(id_col: str = "doc_id") -> F.Column:
+def held_out(id_col: str = "doc_id") -> Column:
     """True for the fold that is never learned from: crc32 of the identifier as text, modulo 4, is 2."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
@@ -150,7 +153,14 @@ def identify_language(docs: DataFrame, profiles: Profiles | None = None, id_col:
     ship_package(docs.sparkSession)
     if profiles is None:
         profiles = fit_profiles(docs.where(~held_out(id_col)), id_col, text_col, lang_col, docs_per_lang)
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), held_out(id_col).alias("held_out"))
-    return slim.mapInArrow(_predicted(profiles), "doc_id long, held_out boolean, lang_pred string, score double")
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(id_col).alias("held_out"), language_of(F.col(text_col), profiles).alias("found"))
+    return slim.select("doc_id", "held_out", "found.lang_pred", "found.score")
 
 
+def keep_known(docs: DataFrame, least_score: float, profiles: Profiles | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs_per_lang: int = 2000) -> DataFrame:
+    """The rows of a known language with at least this score, as they are; nothing is shuffled."""
+    ship_package(docs.sparkSession)
+    if profiles is None:
+        profiles = fit_profiles(docs.where(~held_out(id_col)), id_col, text_col, lang_col, docs_per_lang)
+    found = language_of(F.col(text_col), profiles)
+    return docs.where((found["lang_pred"] != UNKNOWN) & (found["score"] >= least_score))
