@@ -10,8 +10,8 @@ through the sources' cumulative shares of slots to a source, and its rank among
 picks the block; ranks beyond the last block start the line again, up to ``repeats`` rounds, later
 slots are left out. Joining blocks with slots gives what the mix takes of each document.
 
-Prefix sums are by range of the hash: totals of ranges first, then positions within each, so that no
-source or range is in one task, and the number of ranges grows with the input.
+Prefix sums are by range of the hash: totals of ranges first, in blocks, then positions within each, so
+that no source or range is in one task, and the number of ranges grows with the input.
 
 Null text has size 0; a document without words is returned with ``taken`` 0. Documents that repeat an
 identifier are ordered by their text's hash; exact repeats of a row are each laid on the line. A null
@@ -72,6 +72,16 @@ def golden_point(slot: Column) -> Column:
     return ((slot % (1 << 31)) * GOLDEN).bitwiseAND(F.lit((1 << 32) - 1)) / F.lit(float(1 << 32))
 
 
+def earlier(sums: DataFrame, key: str, value: str, block: int = 1024) -> DataFrame:
+    """(key, part, before): the sum of ``value`` over a key's earlier parts, by blocks of parts and within them."""
+    blocked = sums.withColumn("_block", F.floor(F.col("part") / block))
+    totals = blocked.groupBy(key, "_block").agg(F.sum(value).alias("_total"))
+    so_far = totals.select(F.col(key).alias("_key"), F.col("_block").alias("_of"), (F.sum("_total").over(Window.partitionBy(key).orderBy("_block")) - F.col("_total")).alias("_earlier"))
+    within = blocked.withColumn("_within", F.sum(value).over(Window.partitionBy(key, "_block").orderBy("part")) - F.col(value))
+    joined = within.join(so_far, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_block") == F.col("_of")))
+    return joined.select(key, "part", (F.col("_earlier") + F.col("_within")).alias("before"))
+
+
 class Mix:
     """A planned mix: its documents with positions, its sources, and its schedule."""
 
@@ -115,7 +125,7 @@ class Mix:
         points = spark.range(self.n_slots).select(F.col("id").alias("slot"), F.floor(F.col("id") / range_slots).alias("part"), golden_point(F.col("id")).alias("point"))
         slots = points.mapInArrow(_placed([x for _, x in self.edges]), "slot long, part long, place int")
         counts = slots.groupBy("place", "part").agg(F.count(F.lit(1)).alias("n"))
-        before = counts.select("place", "part", (F.sum("n").over(Window.partitionBy("place").orderBy("part")) - F.col("n")).alias("before"))
+        before = earlier(counts, "place", "n")
         within = Window.partitionBy("place", "part").orderBy("slot")
         ranks = slots.withColumn("nth", F.row_number().over(within) - 1).join(before, ["place", "part"]).withColumn("rank", F.col("before") + F.col("nth"))
         named = ranks.join(names, "place").join(self.sources.select(F.col("source").alias("s"), "n_blocks"), F.col("source").eqNullSafe(F.col("s")))
@@ -125,7 +135,7 @@ class Mix:
         """Documents with words, and where each begins on its source's line."""
         rows = self.sized.where("size > 0").withColumn("part", F.pmod(F.shiftright("spread", 20), F.lit(self.n_ranges)))
         sums = rows.groupBy("source", "part").agg(F.sum("size").alias("words"))
-        before = sums.select("source", "part", (F.sum("words").over(Window.partitionBy("source").orderBy("part")) - F.col("words")).alias("before"))
+        before = earlier(sums, "source", "words")
         order = Window.partitionBy("source", "part").orderBy("spread", "doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
         within = rows.withColumn("in_part", F.coalesce(F.sum("size").over(order), F.lit(0)))
         joined = within.alias("a").join(before.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.part") == F.col("b.part")))
@@ -163,7 +173,7 @@ def _placed(edges: list[float]):
     return run
 
 
-def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.0, repeats: int = 3, block_words: int = 256, least_blocks: int = 256, range_docs: int = 4096) -> Mix:
+def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, share: float = 1.0, repeats: int = 3, block_words: int = 256, least_blocks: int = 256, range_docs: int = 1024) -> Mix:
     return Mix(docs, id_col, text_col, source_col, weights, share, repeats, block_words, least_blocks, range_docs)
 
 
@@ -179,12 +189,15 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     text; exact repeats of a row each take what the least of them takes.
     """
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    taken = plan_mix(docs, **options).taken().where("taken > 0").groupBy(F.col("doc_id").alias("mix__id"), F.col("text_hash").alias("mix__hash")).agg(F.min("taken").alias("mix__taken"), F.max("size").alias("mix__size"))
+    own = "mix_"
+    while any(c.startswith(own) for c in docs.columns):
+        own += "_"
+    taken = plan_mix(docs, **options).taken().where("taken > 0").groupBy(F.col("doc_id").alias(f"{own}id"), F.col("text_hash").alias(f"{own}hash")).agg(F.min("taken").alias(f"{own}taken"), F.max("size").alias(f"{own}size"))
     text = docs[text_col].cast("string")
-    matched = docs.join(taken, docs[id_col].cast("long").eqNullSafe(F.col("mix__id")) & (F.xxhash64(text) == F.col("mix__hash")))
-    rest = F.col("mix__taken") % F.col("mix__size")
-    words = F.concat(F.array_repeat(F.lit(None).cast("long"), F.floor(F.col("mix__taken") / F.col("mix__size")).cast("int")), F.filter(F.array(rest), lambda x: x > 0))
-    copies = matched.withColumn("mix__words", F.explode(words))
+    matched = docs.join(taken, docs[id_col].cast("long").eqNullSafe(F.col(f"{own}id")) & (F.xxhash64(text) == F.col(f"{own}hash")))
+    rest = F.col(f"{own}taken") % F.col(f"{own}size")
+    words = F.concat(F.array_repeat(F.lit(None).cast("long"), F.floor(F.col(f"{own}taken") / F.col(f"{own}size")).cast("int")), F.filter(F.array(rest), lambda x: x > 0))
+    copies = matched.withColumn(f"{own}words", F.explode(words))
     # Between a word and the white space after it: each chunk has one word.
-    first = F.array_join(F.slice(F.split(F.col(text_col), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"), 1, F.col("mix__words").cast("int")), "")
-    return copies.withColumn(text_col, F.when(F.col("mix__words").isNull(), F.col(text_col)).otherwise(first)).select(*docs.columns)
+    first = F.array_join(F.slice(F.split(F.col(text_col), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"), 1, F.col(f"{own}words").cast("int")), "")
+    return copies.withColumn(text_col, F.when(F.col(f"{own}words").isNull(), F.col(text_col)).otherwise(first)).select(*docs.columns)
