@@ -4,9 +4,9 @@ A component x becomes floor(scale * x), so scores are exact integers. The compon
 lists of consecutive dimensions, each list held apart, and a vector's score is the sum of its partial
 scores in the lists. Phase one gathers from each list the k best entries of each query and scores
 these vectors fully: the k-th best score is a safe cutoff t. Phase two hands each list t / lists and
-collects every entry that reaches it: a vector below it in every list has a score below t. What is
-known of a vector bounds its score from above, and those that cannot reach t go. Phase three resolves
-the unseen parts of the rest exactly.
+collects every entry that reaches it: a vector below it in every list has a score below t. A part
+that a list did not collect is below t / lists, so each vector collected once may still reach t: phase
+three resolves the unseen parts exactly.
 
 Queries come in blocks of bounded size against blocks of rows, so no task holds all of either. Of
 equal vectors only the k + 1 with the smallest identifiers can be in any result, so only they are
@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 
 from tallymark.session import ship_package, staged
 
-LISTS = 4
+#: Fewer lists mean higher cutoffs and fewer entries; one alone would be a plain scan.
+LISTS = 2
 EXACT = float(1 << 53)
 
 
@@ -76,25 +77,21 @@ def _entries(k: int, lists: int, width: int, cutoff: bool):
 
     def run(key: tuple, rows: pa.Table, queries: pa.Table) -> pa.Table:
         ids, asked = np.array(rows.column("vec_id").to_pylist(), np.int64), np.array(queries.column("query_id").to_pylist(), np.int64)
-        who, what, score = [], [], []
-        if len(ids) and len(asked):
-            part = products(_matrix(queries.column("body"), width), _matrix(rows.column("body"), width))
-            tau = queries.column("tau").to_pylist() if cutoff else [None] * len(asked)
-            for q in range(len(asked)):
-                line, other = part[q], ids != asked[q]
-                if tau[q] is not None:
-                    hit = np.flatnonzero(other & (line * lists >= tau[q]))
-                elif cutoff:
-                    hit = np.flatnonzero(other)
-                else:
-                    hit = np.flatnonzero(other)
-                    if len(hit) > k:
-                        hit = hit[np.argpartition(-line[hit], k - 1)[:k]]
-                who.append(np.full(len(hit), asked[q]))
-                what.append(ids[hit])
-                score += [clamp(x) for x in line[hit].tolist()]
-        who, what = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (who, what))
-        return pa.table({"query_id": pa.array(who, pa.int64()), "list": pa.array([key[2].as_py()] * len(who), pa.int32()), "vec_id": pa.array(what, pa.int64()), "part": pa.array(score, pa.int64())})
+        part = products(_matrix(queries.column("body"), width), _matrix(rows.column("body"), width))
+        if not part.size:
+            who = what = np.zeros(0, np.int64)
+        elif cutoff:
+            tau = np.array([-np.inf if t is None else t for t in queries.column("tau").to_pylist()], part.dtype)
+            who, what = np.nonzero((part * lists >= tau[:, None]) & (ids != asked[:, None]))
+        else:
+            first = min(k + 1, len(ids))  # one more, as a query's own vector does not count
+            order = np.argsort(-part, axis=1, kind="stable") if part.dtype == object else np.argpartition(-part, first - 1, axis=1)
+            who, what = np.repeat(np.arange(len(asked)), first), order[:, :first].ravel()
+            other = ids[what] != asked[who]
+            who, what = who[other], what[other]
+        score = part[who, what]
+        score = np.array([clamp(x) for x in score.tolist()], np.int64) if part.dtype == object else score.astype(np.int64)
+        return pa.table({"query_id": pa.array(asked[who], pa.int64()), "list": pa.array(np.full(len(who), key[2].as_py(), np.int32)), "vec_id": pa.array(ids[what], pa.int64()), "part": pa.array(score)})
 
     return run
 
@@ -147,9 +144,7 @@ def top_k(vectors: DataFrame, is_query: Column | None = None, k: int = 10, id_co
     tau = resolved(seen, asked).withColumn("rank", F.row_number().over(rank)).where(F.col("rank") == k).select("query_id", F.col("score").alias("tau"))
     cut_off = staged(asked.join(tau, "query_id", "left"), "cutoffs")
     entries = gathered(cut_off, True).groupBy("query_id", "vec_id").agg(F.sum(F.col("part").cast("decimal(38,0)")).alias("known"), F.count(F.lit(1)).alias("n"))
-    # The unseen lists add less than tau / lists each.
-    bounded = entries.join(cut_off.select("query_id", "tau"), "query_id").where(F.col("tau").isNull() | (F.col("known") * lists >= F.col("n") * F.col("tau")))
-    kept = staged(bounded.select("query_id", "vec_id", "known", "n"), "kept")
+    kept = staged(entries, "kept")
     limit = F.greatest(F.least(F.col("known"), F.lit((1 << 63) - 1).cast("decimal(38,0)")), F.lit(-(1 << 63)).cast("decimal(38,0)")).cast("long")
     scores = kept.where(F.col("n") == lists).select("query_id", "vec_id", limit.alias("score")).unionByName(resolved(kept.where(F.col("n") < lists).select("query_id", "vec_id"), cut_off))
     return scores.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
