@@ -32,26 +32,42 @@ PLAIN = re.compile(f"[ \t-\r!-~{LETTERS}]+")
 CHUNK = re.compile("[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 #: Fixed value: how byte-level vocabularies write bytes that do not print.
 PRINTED = {b: 256 + k for k, b in enumerate(x for x in range(256) if not (33 <= x <= 126 or 161 <= x <= 172 or x >= 174))}
-#: Chunks, and pieces, that the lookups hold at most, and characters of each.
-HELD = 400_000
+SPACE = chr(PRINTED[32])
+#: Chunks, and pieces, from which the lookups start again, and characters of each at most.
+HELD = 700_000
 LONGEST = 64
 
 _ENCODERS: dict[tuple, WordIds] = {}
 
 
+class _Lookup(dict):
+    """Ids of short strings; others, and new ones, are made when asked for."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key: str) -> bytes:
+        made = self.make(key)
+        if len(key) <= LONGEST:
+            self[key] = made
+        return made
+
+
 class WordIds:
     """Encodes texts to unsigned little-endian ids of ``dtype``; ``keep_space`` says if white space has ids."""
 
     def __init__(self, path: str, keep_space: bool, dtype: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.model = self.tokenizer.model
         self.keep_space, self.dtype = keep_space, dtype
-        if self.tokenizer.get_vocab_size() > np.iinfo(dtype).max + 1:
+        self.merge = self.tokenizer.model.tokenize
+        n = self.tokenizer.get_vocab_size()
+        if n > np.iinfo(dtype).max + 1:
             raise ValueError(f"{path}: ids do not fit {dtype}")
-        self.size = np.dtype(dtype).itemsize
-        self.known: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        ids = np.arange(n, dtype=dtype)
+        self.written = [ids[k : k + 1].tobytes() for k in range(n)]
+        self.known, self.pieces = _Lookup(self._chunk), _Lookup(self._piece)
 
     def chunks(self, text: str) -> list[str]:
         if OTHER_SPACE.search(text):
@@ -59,39 +75,25 @@ class WordIds:
         return CHUNK.findall(text) if self.keep_space else text.split()
 
     def _piece(self, piece: str) -> bytes:
-        printed = piece.encode().decode("latin-1").translate(PRINTED)
-        made = b"".join([x.id.to_bytes(self.size, "little") for x in self.model.tokenize(printed)])
-        if len(piece) <= LONGEST:
-            self.pieces[piece] = made
-        return made
+        printed = piece.replace(" ", SPACE) if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(PRINTED)
+        written = self.written
+        return b"".join([written[x.id] for x in self.merge(printed)])
 
-    def _new(self, chunks: list[str]) -> dict[str, bytes]:
-        """The ids of chunks that are not known."""
-        made, others, pieces = {}, [], self.pieces
-        for chunk in chunks:
-            if PLAIN.fullmatch(chunk):
-                parts = SPACED.findall(chunk) if self.keep_space else BARE.findall(chunk.lower())
-                made[chunk] = b"".join([pieces[p] if p in pieces else self._piece(p) for p in parts])
-            else:
-                others.append(chunk)
-        if others:
-            found = self.tokenizer.encode_batch(others, add_special_tokens=False)
-            made |= {chunk: np.array(x.ids, self.dtype).tobytes() for chunk, x in zip(others, found, strict=True)}
-        return made
+    def _chunk(self, chunk: str) -> bytes:
+        if PLAIN.fullmatch(chunk):
+            parts = SPACED.findall(chunk) if self.keep_space else BARE.findall(chunk.lower())
+            return b"".join(map(self.pieces.__getitem__, parts))
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes."""
-        if len(self.known) > HELD:
-            self.known = {}
-        if len(self.pieces) > HELD:
-            self.pieces = {}
-        cut, known = [self.chunks(x) for x in texts], self.known
-        new = list({x for chunks in cut for x in chunks if x not in known})
-        known.update(self._new(new))
-        out = [b"".join([known[x] for x in chunks]) for chunks in cut]
-        for x in new:
-            if len(x) > LONGEST:
-                del known[x]
+        ids = self.known.__getitem__
+        out = []
+        for text in texts:
+            out.append(b"".join(map(ids, self.chunks(text))))
+            for held in (self.known, self.pieces):
+                if len(held) > HELD:
+                    held.clear()
         return out
 
 
