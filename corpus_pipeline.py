@@ -1,4 +1,4 @@
-"""A corpus pipeline: language ID, exact dedup, SimHash near-dedup, mixing, packing.
+"""A corpus pipeline: language ID, exact dedup, SimHash near-dedup, near-dedup by shingles, mixing, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame, which is written as Parquet and read again
 as the next stage's documents. All but the last return the columns of documents. A document is known by
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tallymark.llm.exact_dedup import exact_dedup
 from tallymark.llm.language import keep_known
 from tallymark.llm.mixing import mixed_documents
+from tallymark.llm.near_copies import near_copies as near_copies_of
 from tallymark.llm.packing import pack_sequences
 from tallymark.llm.queries import vocabulary
 from tallymark.llm.simhash import simhash_near_dedup
@@ -20,6 +21,8 @@ from tallymark.session import staged
 
 #: A text whose letters resemble no language's profile scores below this.
 MIN_LANGUAGE_SCORE = 0.15
+#: Near copies share at least this part of their sets of shingles of so many words.
+NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
 
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -37,12 +40,18 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return _only(docs, exact_dedup(docs).where("kept").select(F.col("doc_id").alias("keep")))
 
 
-def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest identifier of each group of near copies."""
+def close_fingerprints(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest identifier of each group whose fingerprints link, as in op9."""
     found = simhash_near_dedup(docs)
     return _only(docs, found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("keep")))
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest identifier of each group of near copies, most of which fingerprints do not find."""
+    found = near_copies_of(docs, words=NEAR_WORDS, similarity=NEAR_SIMILARITY)
+    return _only(docs, found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("keep")))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in the numbers that the sources' targets ask for."""
     return mixed_documents(docs)
@@ -53,7 +62,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_sequences(docs, vocabulary("word_bpe_49k.json"))
 
 
-STAGES = [("language_id", language_id), ("exact_dedup", exact_copies), ("simhash_near_dedup", near_copies), ("mixing", mix), ("packing", pack)]
+STAGES = [("language_id", language_id), ("exact_dedup", exact_copies), ("simhash_near_dedup", close_fingerprints), ("near_copies", near_copies), ("mixing", mix), ("packing", pack)]
 
 #: Fingerprints, out-of-place distances and packing have no SQL; the tests use brute force.
 ORACLE_SQL = None

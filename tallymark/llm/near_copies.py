@@ -1,0 +1,192 @@
+"""Groups of near copies: texts whose sets of word shingles have a Jaccard similarity of ``similarity`` or more.
+
+Words and shingles are those of ``simhash``, with five words; a text's shingles are taken as a set, and
+equal sets are one node. Links at ``similarity`` or more are followed to groups.
+
+Search. Fingerprints of 64 bits cannot do this: pairs at 0.8 are about 10 bits apart, give or take 3.
+Candidates agree in a whole band of minima of the shingles' hashes, under ``BANDS`` times ``BAND_ROWS``
+multiplications; by calculation 3 in a million pairs at 0.8 do not, and fewer of closer ones. Candidates
+are followed to candidate groups, and within such a group every pair is settled by its shingles, but
+for those of which a bound says that they are apart and those that are linked already.
+
+A candidate group is one task's work: its sets lie in a local file, and 512 bytes a node in memory. A
+group of copies of one text costs one comparison a node; a group of unlike texts costs a bound for each
+pair of similar size. Null text counts as empty; texts without words are copies of each other. Null
+identifiers take part but never name a group, unless it has no other. Repeated rows stay repeated. An
+empty table gives no rows. Other columns of the input are not read.
+"""
+
+from __future__ import annotations
+
+import tempfile
+from collections.abc import Iterator
+from itertools import accumulate
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tallymark.llm.arrow import batched, utf8
+from tallymark.llm.components import components
+from tallymark.llm.simhash import LOWER, SEED
+from tallymark.session import ship_package, staged
+
+BANDS, BAND_ROWS = 32, 5
+FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * BAND_ROWS, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
+BINS = 256
+#: Rounding of similarity times a count.
+EPSILON = 1e-9
+SETS = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("hashes", pa.binary())])
+LINKS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+
+def shingles(text: bytes, words: int = 5) -> np.ndarray:
+    """The distinct hashes of a text's shingles in order; fewer words are one shingle."""
+    parts = text.translate(LOWER).split()
+    if not parts:
+        return np.zeros(0, np.uint64)
+    joined, digest = b" ".join(parts), xxhash.xxh64_intdigest
+    if len(parts) <= words:
+        return np.array([digest(joined, SEED)], np.uint64)
+    ends = list(accumulate(len(x) + 1 for x in parts))
+    starts = [0, *ends[: len(parts) - words]]
+    return np.unique(np.array([digest(joined[a : b - 1], SEED) for a, b in zip(starts, ends[words - 1 :], strict=True)], np.uint64))
+
+
+def name(hashes: np.ndarray) -> int:
+    """The node of a set of shingles."""
+    return int(np.array(xxhash.xxh64_intdigest(hashes.tobytes(), SEED), np.uint64).view(np.int64))
+
+
+def bands(hashes: np.ndarray, block: int = 512) -> list[int]:
+    """A key for each band; none of an empty set."""
+    if not len(hashes):
+        return []
+    least = np.full(len(FACTORS), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(hashes), block):
+        np.minimum(least, (FACTORS[:, None] * hashes[None, at : at + block]).min(1), out=least)
+    keys = [xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(least.reshape(BANDS, BAND_ROWS))]
+    return np.array(keys, np.uint64).view(np.int64).tolist()
+
+
+def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two sets' Jaccard similarity is at least ``similarity``."""
+    both = len(a) + len(b) - len(np.union1d(a, b))
+    return both >= similarity * (len(a) + len(b) - both) - EPSILON
+
+
+def group_links(sizes: np.ndarray, bins: np.ndarray, at, similarity: float) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs at ``similarity`` or more among sets in order of size; ``at(k)`` is the k-th.
+
+    ``bins`` counts each set's hashes by their low bits: two sets share at most the smaller count of each.
+    """
+    label = np.arange(len(sizes))
+    groups, out = 0, []
+    for k in range(len(sizes)):
+        groups += 1
+        mine = at(k)
+
+        def join(other: int, k: int = k) -> None:
+            label[: k + 1][label[: k + 1] == label[other]] = label[k]
+            out.append((k, other))
+
+        low = int(np.searchsorted(sizes[:k], similarity * sizes[k] - EPSILON))
+        if low == k:
+            continue
+        if alike(mine, at(k - 1), similarity):  # most often all that is needed
+            join(k - 1)
+            groups -= 1
+            if groups == 1:
+                continue
+        left = low + np.flatnonzero(label[low:k] != label[k])
+        shared = np.concatenate([np.minimum(bins[left[a : a + 4096]], bins[k]).sum(1, dtype=np.int64) for a in range(0, len(left), 4096)]) if len(left) else np.zeros(0, np.int64)
+        left = left[shared >= similarity * (sizes[left] + sizes[k] - shared) - EPSILON][::-1]
+        while len(left):
+            if alike(mine, at(left[0]), similarity):
+                join(left[0])
+                groups -= 1
+                left = left[label[left] != label[k]]
+            else:
+                left = left[1:]
+    return out
+
+
+def _described(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, keys = [], []
+            for text in utf8(batch.column(1)):
+                hashes = shingles(text, words)
+                nodes.append(name(hashes))
+                keys.append(bands(hashes))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "node", "bands"])
+
+    return run
+
+
+def _sets(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = ((name(h), len(h), h.tobytes()) for batch in batches for h in (shingles(text, words) for text in utf8(batch.column(0))))
+        yield from batched(SETS, ((row, len(row[2])) for row in rows))
+
+    return run
+
+
+def _settled(similarity: float):
+    """Over rows (root, n, node, hashes) in this order: links within each candidate group."""
+
+    def settle(nodes: list[int], counts: list[int], bins: list[np.ndarray], file) -> list[tuple[int, int]]:
+        if len(nodes) < 2:
+            return []
+        file.flush()
+        every, ends = np.memmap(file.name, np.uint64, "r") if sum(counts) else np.zeros(0, np.uint64), np.r_[0, np.cumsum(counts)]
+        return [(nodes[a], nodes[b]) for a, b in group_links(np.array(counts), np.array(bins), lambda k: np.asarray(every[ends[k] : ends[k + 1]]), similarity)]
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int]]:
+        with tempfile.NamedTemporaryFile() as file:
+            nodes, counts, bins, current = [], [], [], None
+            for batch in batches:
+                for root, n, node, held in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                    if root != current:
+                        yield from settle(nodes, counts, bins, file)
+                        file.seek(0)
+                        file.truncate()
+                        nodes, counts, bins, current = [], [], [], root
+                    if nodes and nodes[-1] == node:
+                        continue
+                    nodes.append(node)
+                    counts.append(n)
+                    bins.append(np.bincount((np.frombuffer(held, np.uint64) % np.uint64(BINS)).astype(np.int64), minlength=BINS).astype(np.uint16 if n < 1 << 16 else np.uint32))
+                    file.write(held)
+            yield from settle(nodes, counts, bins, file)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from batched(LINKS, ((pair, 0) for pair in links(batches)))
+
+    return run
+
+
+def _candidates(nodes: DataFrame) -> DataFrame:
+    """Edges that connect the nodes of each band's key to the least of them."""
+    keys = nodes.select("node", F.explode("bands").alias("key"))
+    least = keys.groupBy("key").agg(F.min("node").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "v")
+    return keys.join(least, "key").where("node <> v").select(F.col("node").alias("u"), "v").distinct()
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """One row per document: doc_id, component_id (smallest identifier of its group of near copies)."""
+    ship_package(docs.sparkSession)
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    made = staged(slim.mapInArrow(_described(words), "doc_id long, node long, bands array<long>"), "shingle-bands")
+    nodes = staged(made.groupBy("node").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands")), "nodes")
+    linked = components(_candidates(nodes))
+    grouped = staged(linked.union(linked.select(F.col("root").alias("u"), "root").distinct()).select(F.col("u").alias("node"), "root"), "candidate-groups")
+    wanted = made.join(grouped, "node").select(F.col("doc_id").alias("wanted")).distinct()
+    texts = slim.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
+    sets = texts.mapInArrow(_sets(words), "node long, n long, hashes binary").join(grouped, "node").select("root", "n", "node", "hashes")
+    links = sets.repartition("root").sortWithinPartitions("root", "n", "node").mapInArrow(_settled(similarity), "u long, v long")
+    rooted = nodes.join(components(links).withColumnRenamed("u", "node"), "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return made.select("doc_id", "node").join(rooted.join(named, "root").select("node", "component_id"), "node").select("doc_id", "component_id")

@@ -1,0 +1,90 @@
+import random
+
+import numpy as np
+
+import corpus_pipeline
+from tallymark.llm.near_copies import alike, group_links, near_copies, shingles
+from tests.llm.common import AWKWARD, documents
+
+
+def jaccard(a, b):
+    def runs(text):
+        w = text.lower().split()
+        return {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+
+    a, b = runs(a), runs(b)
+    return len(a & b) / len(a | b)
+
+
+def planted(n=60):
+    """Pairs with a known similarity between 0.6 and 0.97, and texts like no other."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
+    rows = []
+    for k in range(n):
+        words = [word() for _ in range(rng.choice((60, 200, 900)))]
+        changed = list(words)
+        for _ in range(rng.randint(1, max(1, len(words) // 25))):
+            changed[rng.randrange(len(words))] = word()
+        rows += [(3 * k, " ".join(words)), (3 * k + 1, " ".join(changed)), (3 * k + 2, " ".join(word() for _ in range(80)))]
+    return rows
+
+
+def test_pipeline_passes_one_of_each_planted_pair_to_mixing(spark):
+    rows = planted()
+    text = dict(rows)
+    near = [k for k in range(0, len(rows), 3) if jaccard(text[k], text[k + 1]) >= 0.8]
+    assert sum(jaccard(text[k], text[k + 1]) < 0.95 for k in near) >= 10
+    assert len(near) < len(rows) // 3
+    docs = documents(spark, rows)
+    for name, stage in corpus_pipeline.STAGES[1:]:
+        if name == "mixing":
+            break
+        docs = stage(spark, docs, "")
+    assert {r.doc_id for r in docs.collect()} == set(text) - {k + 1 for k in near}
+
+
+def test_against_all_pairs_and_awkward_rows(spark):
+    rows = [*((r[0], r[1]) for r in AWKWARD), *[(k + 100, t) for k, t in planted(15)], (90, "a b c d e f g h i j k"), (91, "A b c d e f g  h i j k l"), (92, "z")]
+    root = {r[0]: r[0] for r in rows if r[0] is not None}
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    for a, s in rows:
+        for b, t in rows:
+            if a is not None and b is not None and a < b and jaccard(s or "", t or "") >= 0.8:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    found = near_copies(documents(spark, rows)).collect()
+    assert len(found) == len(rows)
+    assert {r.doc_id: r.component_id for r in found if r.doc_id is not None} == {k: find(k) for k in root}
+    assert [r.component_id for r in found if r.doc_id is None] == [None]
+    assert near_copies(documents(spark, [])).collect() == []
+
+
+def test_group_links_against_all_pairs():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+    sets = []
+    for _ in range(120):
+        own = base[rng.random(400) < rng.choice([0.3, 0.8, 0.9, 0.97])]
+        sets.append(np.unique(np.r_[own, rng.integers(0, 1 << 63, rng.integers(0, 40), dtype=np.uint64)]))
+    sets.sort(key=len)
+    bins = np.array([np.bincount((x % np.uint64(256)).astype(int), minlength=256) for x in sets])
+
+    def groups(pairs):
+        label = list(range(len(sets)))
+        for a, b in pairs:
+            label = [label[a] if x == label[b] else x for x in label]
+        return sorted(sorted(k for k, x in enumerate(label) if x == y) for y in set(label))
+
+    every = [(a, b) for a in range(len(sets)) for b in range(a) if len(set(sets[a].tolist()) & set(sets[b].tolist())) >= 0.8 * len(set(sets[a].tolist()) | set(sets[b].tolist()))]
+    assert groups(group_links(np.array([len(x) for x in sets]), bins, sets.__getitem__, 0.8)) == groups(every)
+    assert 1 < len(groups(every)) < len(sets)
+
+
+def test_similarity_is_inclusive():
+    a = shingles(b"a b c d e f g h")  # 4 shingles, one more in the other
+    assert alike(a, shingles(b"a b c d e f g h i"), 0.8)
+    assert not alike(a, shingles(b"a b c d e f g h i j"), 0.8)
