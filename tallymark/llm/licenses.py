@@ -47,8 +47,10 @@ TEMPLATES = {
 }
 #: Share of the best confirmed saving from which another template is compared by its wording.
 NEARLY = 0.8
-CUE = r"(?i)licen[cs]|copyright|redistribut|permission|public domain|mozilla public"
-_CUE_WORD = re.compile(r"licen[cs]|copyright|redistribut|permission|domain|mozilla", re.IGNORECASE)
+_CUES = r"licen[cs]|copyright|redistribut|permission|domain|mozilla"
+#: Texts are chosen by the cues that the scanner looks for within a word, so that line breaks hide none.
+CUE = f"(?iu){_CUES}"
+_CUE_WORD = re.compile(_CUES, re.IGNORECASE)
 _WORD = re.compile(r"[^ \t-\r]+")
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("first_word", pa.int64()), ("n_words", pa.int64()), ("license", pa.string()), ("saved_bytes", pa.int64()), ("changed_words", pa.int64()), ("removed", pa.string()), ("added", pa.string()), ("passage", pa.string())])
 

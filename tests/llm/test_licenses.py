@@ -16,6 +16,12 @@ def test_each_template_is_found_in_running_text(spark):
     assert found == {k: [name] * 2 for k, name in enumerate(TEMPLATES)}
 
 
+def test_each_template_is_found_with_any_white_space_between_its_words(spark):
+    wrapped = [(name, gap.join(text.split())) for name, text in TEMPLATES.items() for gap in ("\n", "\t", "  ", "\r\n")]
+    found = scan_licenses(documents(spark, list(enumerate(text for _, text in wrapped)))).collect()
+    assert sorted((r.doc_id, r.license, r.changed_words) for r in found) == [(k, name, 0) for k, (name, _) in enumerate(wrapped)]
+
+
 def test_changed_wording_is_reported_and_other_text_left_alone(spark):
     rows = [
         (1, "x " * 50 + "this WORK is licensed under the\n  GNU General Public Licence, version 3" + " y" * 50),
