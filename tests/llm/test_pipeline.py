@@ -1,3 +1,6 @@
+import random
+import string
+
 import corpus_pipeline
 from tallymark.llm.exact_dedup import exact_dedup
 from tallymark.llm.language import identify_language
@@ -35,3 +38,23 @@ def test_whole_run_and_awkward_rows(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+FOREIGN = [
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+    "Todos os seres humanos nascem livres e iguais em dignidade e em direitos. Dotados de razão e de consciência, devem agir uns para com os outros em espírito de fraternidade.",
+    "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione e di coscienza e devono agire gli uni verso gli altri in spirito di fratellanza.",
+    "Alle mensen worden vrij en gelijk in waardigheid en rechten geboren. Zij zijn begiftigd met verstand en geweten, en behoren zich jegens elkander in een geest van broederschap te gedragen.",
+]
+
+
+def test_language_stage_parts_learned_languages_from_others_and_noise(spark):
+    docs = spark.read.parquet(f"{SMALL.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    rng = random.Random(5)
+    letters = " ".join("".join(rng.choices(string.ascii_lowercase, k=rng.randint(2, 9))) for _ in range(200))
+    base64 = "".join(rng.choices(string.ascii_letters + string.digits + "+/", k=2000))
+    others = documents(spark, [(-1 - k, text) for k, text in enumerate([*FOREIGN, letters, base64])])
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs.unionByName(others), "").select("doc_id").collect()}
+    assert not {k for k in kept if k < 0}
+    assert kept == {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
