@@ -1,7 +1,7 @@
 """License scans by conditional compression.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. Around each cue word (such as *license* or *copyright*) lies a
-candidate block, ``reach`` words to either side. The block is compressed alone and with each template
+candidate block, ``reach`` words to either side; one for long notices, then one for short ones. The block is compressed alone and with each template
 as a raw zstandard dictionary; what a template saves says how much of its wording the block shares.
 Templates are ranked by that and confirmed if their exact wording differs from the block's in at most
 ``max_changed`` of their words: differences are taken word by word, case and outer punctuation aside. Of
@@ -28,11 +28,13 @@ from pyspark.sql import functions as F
 from tallymark.llm.arrow import batched
 from tallymark.session import ship_package
 
-#: Short public notices by license.
+#: Public notices by license, without disclaimers. An *-opening* is found where the conditions after it are not those of a notice here.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
-    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "BSD-opening": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
     "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
@@ -41,10 +43,13 @@ TEMPLATES = {
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "MIT": "Released under the MIT License.",
-    "MIT-permission": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction",
+    "MIT-opening": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction",
+    "MIT-permission": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
+#: Notices of more words than this are looked for first, in larger blocks.
+LONG = 50
 #: Share of the best confirmed saving from which another template is compared by its wording.
 NEARLY = 0.8
 _CUES = r"licen[cs]|copyright|redistribut|permission|domain|mozilla"
@@ -66,16 +71,19 @@ class Scanner:
     def __init__(self, templates: dict[str, str], max_changed: float):
         self.names = sorted(templates)
         self.words = {k: [plain(w) for w in _WORD.findall(v)] for k, v in templates.items()}
-        self.reach = max(map(len, self.words.values())) + 4
+        # Savings of a short notice are lost in a block that is cut for a long one, so each kind has blocks of its own.
+        kinds = [[k for k in self.names if (len(self.words[k]) > LONG) == long] for long in (True, False)]
+        self.kinds = [(max(len(self.words[k]) for k in names) + 4, names) for names in kinds if names]
+        self.reach = max(reach for reach, _ in self.kinds)
         self.max_changed = max_changed
         self.alone = zstandard.ZstdCompressor(level=3, write_content_size=False)
         self.given = {k: zstandard.ZstdCompressor(level=3, write_content_size=False, write_dict_id=False, dict_data=zstandard.ZstdCompressionDict(" ".join(v).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for k, v in self.words.items()}
 
-    def ranked(self, block: list[str]) -> list[tuple[int, str]]:
+    def ranked(self, block: list[str], names: list[str] | None = None) -> list[tuple[int, str]]:
         """(-saved bytes, name) of the templates that save something, best first."""
         data = " ".join(block).encode("utf-8", "replace")
         size = len(self.alone.compress(data))
-        return sorted((len(self.given[k].compress(data)) - size, k) for k in self.names if len(self.given[k].compress(data)) < size)
+        return sorted((len(self.given[k].compress(data)) - size, k) for k in names or self.names if len(self.given[k].compress(data)) < size)
 
     def differences(self, name: str, block: list[str]) -> tuple[int, int, list[str], list[str]] | None:
         """Where the template lies in the block (first, end) and which words were removed and added; None if nowhere."""
@@ -95,10 +103,10 @@ class Scanner:
         added = [w for tag, _, _, a, b in codes if tag != "equal" for w in part[a:b]]
         return low + codes[0][3], low + codes[-1][4], removed, added
 
-    def confirm(self, block: list[str]) -> tuple | None:
+    def confirm(self, block: list[str], names: list[str] | None = None) -> tuple | None:
         """(name, saved, first, end, removed, added) of the winner: of the confirmed templates that save nearly as much as the best of them, the one with the fewest changed words."""
         confirmed = []
-        for less, name in self.ranked(block):
+        for less, name in self.ranked(block, names):
             if confirmed and -less < NEARLY * confirmed[0][1]:
                 break
             found = self.differences(name, block)
@@ -117,9 +125,12 @@ class Scanner:
                 continue
             # A block may hold several passages: what is confirmed beside the cue bounds the next look at it.
             while not any(p[0] <= k < p[0] + p[1] for p in ready):
-                low = max([0, k - self.reach, *(p[0] + p[1] for p in ready if p[0] + p[1] <= k)])
-                high = min([len(words), k + self.reach, *(p[0] for p in ready if p[0] > k)])
-                found = self.confirm([plain(w) for w in words[low:high]])
+                for reach, names in self.kinds:
+                    low = max([0, k - reach, *(p[0] + p[1] for p in ready if p[0] + p[1] <= k)])
+                    high = min([len(words), k + reach, *(p[0] for p in ready if p[0] > k)])
+                    found = self.confirm([plain(w) for w in words[low:high]], names)
+                    if found:
+                        break
                 if not found:
                     break
                 name, saved, first, end, removed, added = found

@@ -51,3 +51,11 @@ def test_ranking_is_by_saved_bytes():
 def test_awkward_rows_and_empty_table(spark):
     assert scan_licenses(documents(spark, AWKWARD)).collect() == []
     assert scan_licenses(documents(spark, [])).collect() == []
+
+
+def test_conditions_tell_notices_with_one_opening_apart(spark):
+    two, three, mit = (TEMPLATES[k] for k in ("BSD-2-Clause", "BSD-3-Clause", "MIT-permission"))
+    warranty = " THIS SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND."
+    texts = [two + warranty, three + warranty, mit + warranty, two.split(" 1. ")[0] + " 1. Something else is asked for here, in words that no notice has.", mit.split(", including")[0] + warranty]
+    found = scan_licenses(documents(spark, list(enumerate(texts)))).collect()
+    assert sorted((r.doc_id, r.license, r.changed_words) for r in found) == [(0, "BSD-2-Clause", 0), (1, "BSD-3-Clause", 0), (2, "MIT-permission", 0), (3, "BSD-opening", 0), (4, "MIT-opening", 0)]
