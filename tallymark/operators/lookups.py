@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.functions.geo import degrees_of, haversine, plane_point
+from tallymark.functions.geo import RADIUS, degrees_of, haversine, plane_point
 
 #: A side is broadcast only if it has at most so many rows, which is checked; else it is shuffled.
 SMALL = 100_000
@@ -25,15 +26,13 @@ def within_radius(points: DataFrame, places: DataFrame, metres: float, key: str
     size, and a point is compared with the places of its own and the eight cells around it. A cell's
     places are distinct, so a cell with many points costs each of them only the places nearby.
     """
-    degrees = degrees_of(metres)
+    degrees = degrees_of(metres) if metric == "plane" else math.degrees(metres / RADIUS) * (1 + 1e-9)
 
     def coordinates(frame: DataFrame) -> tuple[Column, Column]:
         x, y = F.col(lng).cast("double"), F.col(lat).cast("double")
         return plane_point(x, y) if metric == "plane" else (x, y)
 
     x, y = coordinates(points)
-    # On the sphere a degree of longitude shrinks with latitude; bands of one degree of latitude share a width.
-    band = lambda c: F.lit(degrees) if metric == "plane" else F.lit(degrees) / F.greatest(F.cos(F.radians(F.least(F.floor(F.abs(c)) + 2.0, F.lit(89.0)))), F.lit(0.01))
     cell_y = lambda c: F.floor(c / degrees).cast("long")
     mine = points.select(F.col(key), x.alias("px"), y.alias("py")).where("px is not null and py is not null").dropDuplicates()
     px, py = coordinates(places)
@@ -45,11 +44,18 @@ def within_radius(points: DataFrame, places: DataFrame, metres: float, key: str
         cells = theirs.withColumn("c", around).select("qx", "qy", "c.cx", "c.cy")
         keys = ["cx", "cy"]
     else:
-        # A place is put into the cells of its neighbours' own band width.
+        # Rows of cells go around the sphere. A row's cells are as wide as the radius reaches in longitude from the
+        # row's edge nearer to a pole; a row from which it reaches a pole is one cell. A place is put into the cells
+        # around it in each row, by that row's width.
+        def column(lng: Column, row: Column, step: int = 0) -> Column:
+            edge = F.greatest(F.abs(row), F.abs(row + 1)) * degrees
+            reach = F.asin(F.least(F.lit(math.sin(math.radians(min(degrees, 90.0)))) / F.cos(F.radians(edge)), F.lit(1.0)))
+            n = F.when(edge + degrees < 90, F.greatest(F.floor(F.lit(2 * math.pi * (1 - 1e-9)) / reach), F.lit(1))).otherwise(1).cast("long")
+            return F.pmod(F.floor((lng + 180) * n / 360).cast("long") + step, n)
+
         rows = theirs.withColumn("cy", F.explode(F.array(*[cell_y(F.col("qy")) + b for b in (-1, 0, 1)])))
-        width = band(F.col("cy") * degrees)
-        cells = rows.withColumn("cx", F.explode(F.array(*[(F.floor(F.col("qx") / width) + a).cast("long") for a in (-1, 0, 1)]))).select("qx", "qy", "cx", "cy")
-        left = mine.withColumn("cy", cell_y(F.col("py"))).withColumn("cx", F.floor(F.col("px") / band(F.col("cy") * degrees)).cast("long"))
+        cells = rows.withColumn("cx", F.explode(F.array_distinct(F.array(*[column(F.col("qx"), F.col("cy"), a) for a in (-1, 0, 1)])))).select("qx", "qy", "cx", "cy")
+        left = mine.withColumn("cy", cell_y(F.col("py"))).withColumn("cx", column(F.col("px"), F.col("cy")))
         near = haversine(F.col("px"), F.col("py"), F.col("qx"), F.col("qy")) <= metres
         keys = ["cx", "cy"]
     joined = left.alias("l").join(cells.alias("r"), [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys] + [near], "left_semi")

@@ -186,3 +186,17 @@ def test_gram_classifier(spark):
     frame = spark.createDataFrame([(list(t), float("ab" in t)) for t in ("abab", "babab", "cdcd", "dcdcd")], "data array<string>, label double")
     found = gram_classifier(widths=(2, 3), size=64).fit(frame).transform(frame)
     assert found.where("prediction = label").count() == 4
+
+
+def test_within_radius_on_the_sphere_at_any_latitude_and_across_the_meridian(spark):
+    def apart(a, b):
+        (x, y), (u, v) = np.radians(a), np.radians(b)
+        return 2 * 6370996.81 * np.arcsin(np.sqrt(min(1.0, np.sin((y - v) / 2) ** 2 + np.cos(y) * np.cos(v) * np.sin((x - u) / 2) ** 2)))
+
+    rng = random.Random(4)
+    users = [(1, 0.0, 62.9), (2, 179.9, 10.0), (3, -179.95, -45.0), (4, 10.0, 89.9), *[(k, rng.uniform(-180, 180), math.degrees(math.asin(rng.uniform(-1, 1)))) for k in range(10, 400)]]
+    places = [(20.0, 62.9), (-179.9, 10.0), (179.95, -45.0), (-170.0, 89.9), *[(rng.uniform(-180, 180), math.degrees(math.asin(rng.uniform(-1, 1)))) for _ in range(12)]]
+    u, p = spark.createDataFrame(users, "aid long, lng double, lat double"), spark.createDataFrame(places, "lng double, lat double")
+    for metres in (30_000.0, 1_000_000.0, 1_100_000.0, 7_000_000.0):
+        want = sorted(k for k, x, y in users if any(apart((x, y), q) <= metres for q in places))
+        assert sorted(r.aid for r in within_radius(u, p, metres, metric="haversine").collect()) == want
