@@ -7,9 +7,12 @@ once per flush however many copies it has. These rows are dealt out by length an
 inserted, as whole byte strings, into one trie per partition. A trie over its memory bound writes its
 largest subtree to a local file; the file is worked off on its own after the input ends. Decisions go
 back to the documents by a join on length and SHA-256, whose hot keys adaptive execution can split.
+``first_documents`` keeps the row that stays in the terminal node, so it needs no join: each text that
+leaves a task is shuffled once.
 
 Null text counts as empty, and empty texts are equal to each other. A null identifier ranks after all
-others. Rows that repeat both identifier and text length are one document: ``kept`` holds for each.
+others. Rows that repeat both identifier and text length are one document: ``kept`` holds for each, and
+``first_documents`` returns one of them (that of the smallest bytes), also of those without identifier.
 Other columns of the input are not read, so their names cannot clash. An empty table gives no rows.
 """
 
@@ -17,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import pickle
 import struct
 import tempfile
 from collections.abc import Iterator
@@ -26,6 +30,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tallymark.llm.arrow import Rows, batched, utf8
 from tallymark.session import ship_package
@@ -36,20 +41,22 @@ SPACE = b" \t\n\x0b\x0c\r"
 DIGEST_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("text_sha256", pa.string()), ("points", pa.int64())])
 TEXT_SCHEMA = pa.schema([("n_bytes", pa.int64()), ("content_hash", pa.int64()), ("body", pa.binary()), ("points", pa.int64()), ("owner", pa.int64()), ("n_rows", pa.int64())])
 OWNER_SCHEMA = pa.schema([("n_bytes", pa.int64()), ("text_sha256", pa.string()), ("keep_points", pa.int64()), ("keep_id", pa.int64()), ("group_size", pa.int64())])
-_HEAD = struct.Struct("<Iqqqq")
+ROW_SCHEMA = pa.schema([("n_bytes", pa.int64()), ("content_hash", pa.int64()), ("text", pa.binary()), ("points", pa.int64()), ("owner", pa.int64()), ("n_rows", pa.int64()), ("rest", pa.binary())])
+_HEAD = struct.Struct("<IqqqqI")
+_TEXT = struct.Struct("<q")
 
 
 class Owner:
-    """What a terminal node stores: the best row so far and the number of rows."""
+    """What a terminal node stores: the best row so far, with what is handed on of it, and the number of rows."""
 
-    __slots__ = ("key", "n_rows")
+    __slots__ = ("key", "n_rows", "payload")
 
-    def __init__(self, points: int, doc_id: int | None, n_rows: int):
+    def __init__(self, points: int, doc_id: int | None, n_rows: int, payload: bytes = b""):
         self.key = (-points, doc_id is None, doc_id or 0)
-        self.n_rows = n_rows
+        self.n_rows, self.payload = n_rows, payload
 
     def merge(self, other: Owner) -> None:
-        self.key = min(self.key, other.key)
+        self.key, self.payload = min((self.key, self.payload), (other.key, other.payload))
         self.n_rows += other.n_rows
 
     @property
@@ -82,7 +89,7 @@ def _shared(label: bytes, key: bytes, at: int) -> int:
 
 
 class PatriciaTrie:
-    """Compressed radix trie over byte strings; ``budget`` bounds the label bytes held in memory."""
+    """Compressed radix trie over byte strings; ``budget`` bounds the bytes of labels and rows held in memory."""
 
     #: Bytes of overhead that a node counts for, besides its label.
     NODE = 300
@@ -101,7 +108,7 @@ class PatriciaTrie:
     def insert(self, key: bytes, owner: Owner) -> None:
         at = self.skip
         if at == len(key):
-            self._end(self.root, owner)
+            self.size += self._end(self.root, owner)
             return
         first = key[at]
         if first in self.files:
@@ -112,7 +119,7 @@ class PatriciaTrie:
             kid = node.kids.get(key[at])
             if kid is None:
                 node.kids[key[at]] = _Node(key[at:], owner)
-                self._grow(first, len(key) - at + self.NODE)
+                self._grow(first, len(key) - at + self.NODE + len(owner.payload))
                 break
             if not key.startswith(kid.label, at):
                 cut = _shared(kid.label, key, at)
@@ -124,16 +131,19 @@ class PatriciaTrie:
                 kid = fork
             node, at = kid, at + len(kid.label)
         else:
-            self._end(node, owner)
-        if self.budget is not None and self.size > self.budget:
+            self._grow(first, self._end(node, owner))
+        if self.budget is not None and self.size > self.budget and any(self.held):
             self._spill(max(range(256), key=self.held.__getitem__))
 
     @staticmethod
-    def _end(node: _Node, owner: Owner) -> None:
+    def _end(node: _Node, owner: Owner) -> int:
+        """Give a node its owner; the bytes more that it holds."""
         if node.owner is None:
             node.owner = owner
-        else:
-            node.owner.merge(owner)
+            return len(owner.payload)
+        before = len(node.owner.payload)
+        node.owner.merge(owner)
+        return len(node.owner.payload) - before
 
     def _walk(self, node: _Node, prefix: bytes) -> Iterator[tuple[bytes, Owner]]:
         stack = [(node, prefix)]
@@ -145,7 +155,7 @@ class PatriciaTrie:
 
     def _append(self, first: int, key: bytes, owner: Owner) -> None:
         file, shared = self.files[first]
-        file.write(_HEAD.pack(len(key), owner.points, -1 if owner.doc_id is None else 0, owner.doc_id or 0, owner.n_rows) + key)
+        file.write(_HEAD.pack(len(key), owner.points, -1 if owner.doc_id is None else 0, owner.doc_id or 0, owner.n_rows, len(owner.payload)) + key + owner.payload)
         if shared is None:
             self.files[first] = (file, key)
         elif not key.startswith(shared):
@@ -165,19 +175,21 @@ class PatriciaTrie:
     _lead = b""
 
     def drain(self) -> Iterator[tuple[bytes, Owner]]:
-        """All terminals, each once; then those of the spilled subtrees."""
+        """All terminals, each once; then those of the spilled subtrees, one file at a time."""
         yield from self._walk(self.root, self._lead)
         self.root = _Node(b"")
-        for file, shared in self.files.values():
+        waiting, self.files = list(self.files.values()), {}
+        while waiting:
+            file, shared = waiting.pop()
             file.seek(0)
             part = PatriciaTrie(self.budget, len(shared))
             part._lead = shared
             while head := file.read(_HEAD.size):
-                n, points, null, doc_id, n_rows = _HEAD.unpack(head)
-                part.insert(file.read(n), Owner(points, None if null else doc_id, n_rows))
+                n, points, null, doc_id, n_rows, more = _HEAD.unpack(head)
+                part.insert(file.read(n), Owner(points, None if null else doc_id, n_rows, file.read(more)))
             file.close()
-            yield from part.drain()
-        self.files = {}
+            yield from self._walk(part.root, shared)
+            waiting += part.files.values()
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,3 +253,71 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return members.join(owners, ["n_bytes", "text_sha256"]).select(
         "doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("keep_points"))).alias("kept"), "text_sha256"
     )
+
+
+def _payload(text: bytes | None, rest: bytes) -> bytes:
+    """A row's text and its other values as one string."""
+    return _TEXT.pack(-1 if text is None else len(text)) + (text or b"") + rest
+
+
+def _of_payload(payload: bytes) -> tuple[bytes | None, bytes]:
+    n = _TEXT.unpack_from(payload)[0]
+    return (None if n < 0 else payload[_TEXT.size : _TEXT.size + n]), payload[_TEXT.size + max(n, 0) :]
+
+
+def _texts(column: pa.Array) -> list[bytes | None]:
+    return column.cast(pa.large_binary()).to_pylist()
+
+
+def _combine_rows(flush_bytes: int, text_at: int):
+    """Within a scan task: the row that stays of each text and flush."""
+
+    def rows(trie: PatriciaTrie) -> Iterator[tuple[tuple, int]]:
+        for body, owner in trie.drain():
+            text, rest = _of_payload(owner.payload)
+            yield (len(body), xxhash.xxh64_intdigest(body) - (1 << 63), text, owner.points, owner.doc_id, owner.n_rows, rest), len(owner.payload)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = PatriciaTrie()
+        for batch in batches:
+            *columns, ids, texts = batch.columns
+            points = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
+            others = [c.to_pylist() for k, c in enumerate(columns) if k != text_at]
+            for doc_id, text, n, *rest in zip(ids.to_pylist(), _texts(texts), points, *others, strict=True):
+                trie.insert((text or b"").translate(None, SPACE), Owner(n, doc_id, 1, _payload(text, pickle.dumps(rest))))
+                if trie.size > flush_bytes:
+                    yield from batched(ROW_SCHEMA, rows(trie))
+                    trie = PatriciaTrie()
+        yield from batched(ROW_SCHEMA, rows(trie))
+
+    return run
+
+
+def _own_rows(budget: int, schema: pa.Schema, text_at: int):
+    """Within a partition of lengths and hashes: the row that stays of each text."""
+
+    def rows(trie: PatriciaTrie) -> Iterator[tuple[tuple, int]]:
+        for _, owner in trie.drain():
+            text, rest = _of_payload(owner.payload)
+            values = pickle.loads(rest)
+            values.insert(text_at, None if text is None else text.decode())
+            yield tuple(values), len(owner.payload)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = PatriciaTrie(budget)
+        for batch in batches:
+            for text, points, owner, n_rows, rest in zip(*(batch.column(k).to_pylist() for k in range(2, 7)), strict=True):
+                trie.insert((text or b"").translate(None, SPACE), Owner(points, owner, n_rows, _payload(text, rest)))
+        yield from batched(schema, rows(trie))
+
+    return run
+
+
+def first_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", flush_bytes: int = 48 << 20, trie_bytes: int = 128 << 20) -> DataFrame:
+    """The row that stays of each group of equal texts, with the columns of the input."""
+    ship_package(docs.sparkSession)
+    text_at = docs.columns.index(text_col)
+    id_at, plain = docs.columns.index(id_col), docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])  # any names may be in use
+    whole = plain.select("*", F.col(f"c{id_at}").cast("long").alias("id"), F.col(f"c{text_at}").cast("string").alias("text"))
+    texts = whole.mapInArrow(_combine_rows(flush_bytes, text_at), "n_bytes long, content_hash long, text binary, points long, owner long, n_rows long, rest binary")
+    return texts.repartition("n_bytes", "content_hash").mapInArrow(_own_rows(trie_bytes, to_arrow_schema(docs.schema), text_at), docs.schema)

@@ -15,6 +15,9 @@ higher, and a node keeps only the rest. A query walks from the bucket's root, ad
 of each node to what its ancestors gave, and prunes the whole group once the sum exceeds the distance.
 Tasks give a spanning forest of what they found, not all pairs.
 
+With ``similarity``, texts link by their sets of shingles instead: buckets are bands of shingle minima,
+and the index prunes before the exact comparison (see ``wording``).
+
 Null text counts as empty; no words give fingerprint zero, linked like any other. Null identifiers
 take part but never name a component, unless it has no other. Repeated rows stay repeated. An empty
 table gives no rows. Other columns of the input are not read.
@@ -23,156 +26,30 @@ table gives no rows. Other columns of the input are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.llm.arrow import utf8
 from tallymark.llm.components import components
+from tallymark.llm.gray_index import bucket_links, fingerprint
+from tallymark.llm.wording import DESCRIBED, DISTANCE, described, wording_links
 from tallymark.session import ship_package, staged
 
-#: Lower-cases A-Z only.
-LOWER = bytes(x + 32 if 65 <= x <= 90 else x for x in range(256))
-SEED = 42
-FAN = 8
 LEVELS = 4
 
 
-def fingerprint(text: bytes, words: int = 3) -> int:
-    """The fingerprint of one text in UTF-8."""
-    parts = text.translate(LOWER).split()  # bytes split at [\x20\x09-\x0D]
-    if not parts:
-        return 0
-    joined = b" ".join(parts)
-    digest = xxhash.xxh64_intdigest
-    if len(parts) <= words:
-        hashes = [digest(joined, SEED)]
-    else:
-        ends = list(accumulate(len(x) + 1 for x in parts))
-        starts = [0, *ends[: len(parts) - words]]
-        hashes = [digest(joined[a : b - 1], SEED) for a, b in zip(starts, ends[words - 1 :], strict=True)]
-    return majority(hashes)
-
-
-def majority(hashes: list[int]) -> int:
-    counts = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        block = np.array(hashes[at : at + (1 << 16)], ">u8")
-        counts += np.unpackbits(block.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-    bits = counts * 2 > len(hashes)
-    return int.from_bytes(np.packbits(bits).tobytes(), "big")
-
-
 def _fingerprints(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = np.array([fingerprint(x, words) for x in utf8(batch.column(1))], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made)], names=["doc_id", "fp"])
+            made = np.array([fingerprint(x, words) for x in utf8(batch.column(2))], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made)], names=["doc_id", "text_hash", "fp"])
 
     return run
 
 
-def gray_rank(values: np.ndarray) -> np.ndarray:
-    """The position of each 64-bit value in the reflected Gray code."""
-    rank = values.astype(np.uint64)
-    for shift in (1, 2, 4, 8, 16, 32):
-        rank = rank ^ (rank >> np.uint64(shift))
-    return rank
-
-
-class GrayIndex:
-    """Hierarchical index over fingerprints that are grouped by bucket and in Gray order within each."""
-
-    def __init__(self, values: np.ndarray, bucket: np.ndarray, fan: int = FAN):
-        self.values = values
-        ones, zeros, group = values, ~values, bucket  # bits set in all members; bits clear in all members
-        last = np.arange(len(values))
-        #: From the leaves up: the first child of each node, the bits it shares, which they are, and its last leaf.
-        self.levels = [{"ones": ones, "mask": ones | zeros, "last": last}]
-        while True:
-            starts_bucket = np.r_[True, group[1:] != group[:-1]]
-            first_of = np.flatnonzero(starts_bucket)[np.cumsum(starts_bucket) - 1]
-            starts = np.flatnonzero((np.arange(len(group)) - first_of) % fan == 0)
-            ends = np.r_[starts[1:], len(group)]
-            ones, zeros = np.bitwise_and.reduceat(ones, starts), np.bitwise_and.reduceat(zeros, starts)
-            group, last = group[starts], last[ends - 1]
-            self.levels.append({"ones": ones, "mask": ones | zeros, "last": last, "starts": starts, "ends": ends})
-            if len(np.unique(group)) == len(group):
-                break
-        self.roots = self._leaf_root()
-        for upper, lower in zip(self.levels[:0:-1], self.levels[-2::-1], strict=True):
-            parent = np.repeat(np.arange(len(upper["starts"])), upper["ends"] - upper["starts"])
-            lower["own"] = lower["mask"] & ~upper["mask"][parent]
-        self.levels[-1]["own"] = self.levels[-1]["mask"]
-
-    def _leaf_root(self) -> np.ndarray:
-        """The root above each leaf."""
-        at = np.arange(len(self.levels[0]["ones"]))
-        for level in self.levels[1:]:
-            at = np.repeat(np.arange(len(level["starts"])), level["ends"] - level["starts"])[at]
-        return at
-
-    def search(self, low: int, high: int, distance: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs (i, j), i in [low, high) and j after it in the same bucket, at most ``distance`` bits apart."""
-        query = np.arange(low, high)
-        node = self.roots[low:high]
-        bits = np.zeros(len(query), np.int64)
-        for depth in range(len(self.levels) - 1, -1, -1):
-            level = self.levels[depth]
-            bits = bits + np.bitwise_count((self.values[query] ^ level["ones"][node]) & level["own"][node])
-            keep = (bits <= distance) & (level["last"][node] > query)
-            query, node, bits = query[keep], node[keep], bits[keep]
-            if depth and len(query):
-                starts, n = level["starts"][node], level["ends"][node] - level["starts"][node]
-                query, bits = np.repeat(query, n), np.repeat(bits, n)
-                node = np.repeat(starts - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
-        return query, node
-
-
-class Forest:
-    """Union-find over positions."""
-
-    def __init__(self, n: int):
-        self.parent = list(range(n))
-
-    def find(self, x: int) -> int:
-        parent = self.parent
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
-    def join(self, a: int, b: int) -> None:
-        a, b = self.find(a), self.find(b)
-        if a != b:
-            self.parent[max(a, b)] = min(a, b)
-
-
-def bucket_links(mask: np.ndarray, key: np.ndarray, fp: np.ndarray, distance: int, block: int = 512) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest, as pairs of fingerprints, of the links within the buckets."""
-    order = np.lexsort((gray_rank(fp), key, mask))
-    mask, key, fp = mask[order], key[order], fp[order]
-    new = np.r_[True, (mask[1:] != mask[:-1]) | (key[1:] != key[:-1])]
-    bucket = np.cumsum(new) - 1
-    several = np.bincount(bucket)[bucket] > 1
-    fp, bucket = fp[several], bucket[several]
-    if not len(fp):
-        return fp, fp
-    index = GrayIndex(fp, bucket)
-    names, ids = np.unique(fp, return_inverse=True)
-    forest = Forest(len(names))
-    for low in range(0, len(fp), block):
-        a, b = index.search(low, min(low + block, len(fp)), distance)
-        for x, y in set(zip(ids[a].tolist(), ids[b].tolist(), strict=True)):
-            forest.join(x, y)
-    roots = np.array([forest.find(x) for x in range(len(names))])
-    moved = np.flatnonzero(roots != np.arange(len(names)))
-    return names[moved], names[roots[moved]]
-
-
 def _links(distance: int, flush_rows: int):
     """Over rows sorted by bucket: whole buckets at a time, some at once."""
 
@@ -242,14 +119,42 @@ def fingerprint_links(nodes: DataFrame, distance: int = 2, bucket_rows: int = 10
     return every.repartition("mask", "key").sortWithinPartitions("mask", "key").mapInArrow(_links(distance, flush_rows), "u long, v long")
 
 
-def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, distance: int = 2, bucket_rows: int = 1024) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits), component_id (smallest identifier reachable)."""
+def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, distance: int | None = None, similarity: float | None = None, bucket_rows: int = 1024, **limits) -> DataFrame:
+    """One row per document: doc_id, fingerprint (16 hex digits), component_id (smallest identifier reachable), text_hash, first.
+
+    ``first`` holds for one document of each component: the smallest identifier's, of several texts with
+    it the one with the least text_hash (XXH64 of the text). Without ``similarity`` fingerprints link at
+    ``distance`` (2) bits; with it texts link at that similarity of their sets of shingles, and
+    ``distance`` (28) is what the index prunes by. limits: unit_rows and unit_hashes of wording_links.
+    """
     ship_package(docs.sparkSession)
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    made = staged(slim.mapInArrow(_fingerprints(words), "doc_id long, fp long"), "fingerprints")
-    nodes = staged(made.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    linked = components(fingerprint_links(nodes, distance, bucket_rows)).withColumnRenamed("u", "fp")
-    rooted = nodes.join(linked, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_fp = rooted.join(named, "root").select("fp", "component_id")
-    return made.join(of_fp, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash")).alias("least")
+    if similarity is None:
+        made = staged(slim.mapInArrow(_fingerprints(words), "doc_id long, text_hash long, fp long").withColumn("node", F.col("fp")), "fingerprints")
+        nodes = staged(made.groupBy("node").agg(least), "nodes")
+        links = fingerprint_links(nodes.select(F.col("node").alias("fp")), 2 if distance is None else distance, bucket_rows)
+    else:
+        made = staged(slim.mapInArrow(described(words), DESCRIBED), "shingle-bands")
+        nodes = staged(made.groupBy("node").agg(least, *[F.first(c).alias(c) for c in ("fp", "n", "bands")]), "nodes")
+        links = wording_links(slim, nodes, words, similarity, DISTANCE if distance is None else distance, **limits)
+    rooted = nodes.join(components(links).withColumnRenamed("u", "node"), "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    named = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    of_node = rooted.join(named, "root").select("node", "first")
+    first = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    return made.join(of_node, "node").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("first.doc_id").alias("component_id"), "text_hash", first.alias("first"))
+
+
+def first_of_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", small: int = 200_000, **options) -> DataFrame:
+    """The rows of docs but those that are not ``first`` in their component.
+
+    What goes is told by identifier and text, so rows that repeat both stay or go together. If at most
+    ``small`` go, by a count, they are broadcast and nothing is shuffled; else each text is, once.
+    """
+    found = simhash_near_dedup(docs, id_col, text_col, **options)
+    own = "gone_"
+    while any(c.startswith(own) for c in docs.columns):
+        own += "_"
+    gone = staged(found.where(~F.col("first")).select(F.col("doc_id").alias(f"{own}id"), F.col("text_hash").alias(f"{own}hash")).distinct(), "near-copies")
+    side = F.broadcast(gone) if gone.count() <= small else gone
+    return docs.join(side, docs[id_col].cast("long").eqNullSafe(F.col(f"{own}id")) & (F.xxhash64(docs[text_col].cast("string")) == F.col(f"{own}hash")), "left_anti")

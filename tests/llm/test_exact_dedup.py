@@ -4,7 +4,7 @@ import re
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallymark.llm.exact_dedup import Owner, PatriciaTrie, exact_dedup
+from tallymark.llm.exact_dedup import Owner, PatriciaTrie, exact_dedup, first_documents
 from tests.llm.common import AWKWARD, documents
 
 
@@ -48,3 +48,21 @@ def test_trie_equals_a_dictionary(pairs, budget):
         want[key] = (min(best, (-points, k)) if n else (-points, k), n + 1)
     found = {key: ((-o.points, o.doc_id), o.n_rows) for key, o in trie.drain()}
     assert found == want
+
+
+def test_deep_chains_of_prefixes_are_worked_off():
+    trie = PatriciaTrie(1)
+    for k in range(1500):
+        trie.insert(b"a" * (k + 1), Owner(0, k, 1, b"row"))
+    assert sorted(len(key) for key, o in trie.drain() if o.payload == b"row") == list(range(1, 1501))
+
+
+def test_first_documents_keep_whole_rows(spark):
+    rows = [(k % 40, f"text {k % 25}" + " " * (k % 3)) for k in range(300)]
+    docs = documents(spark, rows, ("n_rows",))
+    found = first_documents(docs.repartition(7), flush_bytes=2000, trie_bytes=3000).collect()
+    best = {}
+    for doc_id, text in rows:
+        best[text.strip()] = min(best.get(text.strip(), (0, 0)), (-len(text), doc_id))
+    assert sorted((-len(r.text), r.doc_id, r.text.strip(), r.n_rows) for r in found) == sorted((*v, k, 1) for k, v in best.items())
+    assert first_documents(documents(spark, [])).collect() == []

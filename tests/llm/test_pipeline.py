@@ -20,7 +20,7 @@ def test_each_stage_applies_its_decisions(spark):
     b = stages["exact_dedup"](spark, a, SMALL)
     assert ids(b) == sorted(r.doc_id for r in exact_dedup(a).collect() if r.kept)
     c = stages["simhash_near_dedup"](spark, b, SMALL)
-    assert ids(c) == sorted({r.component_id for r in simhash_near_dedup(b).collect()})
+    assert ids(c) == sorted({r.component_id for r in simhash_near_dedup(b, words=5, similarity=0.8).collect()})
     d = stages["mixing"](spark, c, SMALL)
     taken = sum(r.taken for r in mix_sources(c).collect())
     assert sum(len(r.text.split()) for r in d.collect()) == taken
@@ -29,6 +29,20 @@ def test_each_stage_applies_its_decisions(spark):
     assert e.count() >= d.count()
 
 
+def test_stages_are_the_five_dealt_ones():
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "simhash_near_dedup", "mixing", "packing"]
+
+
+def test_one_row_of_each_group_stays_whatever_the_identifiers(spark):
+    rows = [(1, "x"), (1, "x"), (2, "x"), (None, "y"), (None, "y"), (3, "x z"), (3, "x z "), (3, None), (4, " ")]
+    docs = documents(spark, rows, ("n_bytes", "points", "gone_id", "_text"))
+    kept = corpus_pipeline.exact_copies(spark, docs.repartition(3), "")
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id or 0, r.text, r.gone_id) for r in kept.collect()), key=repr) == sorted([(1, "x", 1), (0, "y", 1), (3, "x z ", 1), (4, " ", 1)], key=repr)
+    near = corpus_pipeline.near_copies(spark, kept, "")
+    assert near.columns == docs.columns and near.count() == 4
+
+
 def test_whole_run_and_awkward_rows(spark, tmp_path):
     documents(spark, AWKWARD).write.parquet(f"{tmp_path}/documents.parquet")
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()

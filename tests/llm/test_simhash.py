@@ -7,7 +7,8 @@ import pytest
 import xxhash
 
 from tallymark.llm import simhash
-from tallymark.llm.simhash import Forest, GrayIndex, bucket_links, fingerprint, fingerprint_links, gray_rank, simhash_near_dedup
+from tallymark.llm.gray_index import Forest, GrayIndex, bucket_links, fingerprint, gray_rank
+from tallymark.llm.simhash import fingerprint_links, simhash_near_dedup
 from tests.llm.common import AWKWARD, documents
 
 
@@ -53,7 +54,7 @@ def test_gray_rank_is_the_inverse_of_the_gray_code():
 
 def test_awkward_rows_match_brute_force(spark):
     found = simhash_near_dedup(documents(spark, AWKWARD, ("fingerprint", "component_id", "fp", "root")))
-    assert sorted(repr(tuple(r)) for r in found.collect()) == expected([r[:2] for r in AWKWARD])
+    assert sorted(repr(tuple(r)[:3]) for r in found.collect()) == expected([r[:2] for r in AWKWARD])
 
 
 @pytest.mark.parametrize("bucket_rows", [4, 1024])
@@ -68,7 +69,7 @@ def test_near_copies_in_hot_buckets(spark, bucket_rows):
         rows.append((k, " ".join(words)))
     rows += [(1000 + k, " ".join(rng.choice(base) for _ in range(5))) for k in range(60)]
     found = simhash_near_dedup(documents(spark, rows), bucket_rows=bucket_rows)
-    assert sorted(repr(tuple(r)) for r in found.collect()) == expected(rows)
+    assert sorted(repr(tuple(r)[:3]) for r in found.collect()) == expected(rows)
 
 
 def test_index_finds_all_pairs_within_a_bucket():
@@ -89,7 +90,6 @@ def test_links_of_a_dense_ball(spark):
     links = fingerprint_links(nodes, bucket_rows=8).collect()
     forest, place = Forest(len(set(values))), {simhash._signed(x): k for k, x in enumerate(set(values))}
     for r in links:
-        assert simhash.np.bitwise_count(np.uint64((r.u ^ r.v) & (2**64 - 1))) <= 64
         forest.join(place[r.u], place[r.v])
     assert len({forest.find(k) for k in range(len(place))}) == 1
 
