@@ -1,22 +1,20 @@
-"""A corpus pipeline: language ID, exact dedup, SimHash near-dedup, near-dedup by shingles, mixing, packing.
+"""A corpus pipeline: language ID, exact dedup, SimHash near-dedup, mixing, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame, which is written as Parquet and read again
-as the next stage's documents. All but the last return the columns of documents. A document is known by
-its identifier; rows that share one share its fate, and a null identifier is one of its own.
+as the next stage's documents. All but the last return the columns of documents. Decisions are about
+rows: equal identifiers and null ones do not tie rows together.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tallymark.llm.exact_dedup import exact_dedup
+from tallymark.llm.exact_dedup import first_documents
 from tallymark.llm.language import keep_known
 from tallymark.llm.mixing import mixed_documents
-from tallymark.llm.near_copies import near_copies as near_copies_of
 from tallymark.llm.packing import pack_sequences
 from tallymark.llm.queries import vocabulary
-from tallymark.llm.simhash import simhash_near_dedup
+from tallymark.llm.simhash import first_of_near_copies
 from tallymark.session import staged
 
 #: A text whose letters resemble no language's profile scores below this. Documents of check_s score 0.323 or
@@ -26,31 +24,19 @@ MIN_LANGUAGE_SCORE = 0.31
 NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The documents whose identifier is among ``ids`` (keep)."""
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["keep"]), "left_semi")
-
-
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the profiles know; those without letters or far from every profile go."""
     return keep_known(docs, MIN_LANGUAGE_SCORE)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
-    return _only(docs, exact_dedup(docs).where("kept").select(F.col("doc_id").alias("keep")))
-
-
-def close_fingerprints(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest identifier of each group whose fingerprints link, as in op9."""
-    found = simhash_near_dedup(docs)
-    return _only(docs, found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("keep")))
+    """One row of each group of equal texts, whatever their identifiers."""
+    return first_documents(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest identifier of each group of near copies, most of which fingerprints do not find."""
-    found = near_copies_of(docs, words=NEAR_WORDS, similarity=NEAR_SIMILARITY)
-    return _only(docs, found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("keep")))
+    """One document of each group of near copies: the one with the smallest identifier."""
+    return first_of_near_copies(docs, words=NEAR_WORDS, similarity=NEAR_SIMILARITY)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +49,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_sequences(docs, vocabulary("word_bpe_49k.json"))
 
 
-STAGES = [("language_id", language_id), ("exact_dedup", exact_copies), ("simhash_near_dedup", close_fingerprints), ("near_copies", near_copies), ("mixing", mix), ("packing", pack)]
+STAGES = [("language_id", language_id), ("exact_dedup", exact_copies), ("simhash_near_dedup", near_copies), ("mixing", mix), ("packing", pack)]
 
 #: Fingerprints, out-of-place distances and packing have no SQL; the tests use brute force.
 ORACLE_SQL = None
