@@ -1,8 +1,12 @@
+import random
 import re
+from collections import Counter
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallymark.llm.licenses import TEMPLATES, Scanner, scan_licenses
+from tallymark.llm.licenses import TEMPLATES, Scanner, alignment, plain, scan_licenses
 from tests.conftest import SMALL
 from tests.llm.common import AWKWARD, documents
 
@@ -59,3 +63,66 @@ def test_conditions_tell_notices_with_one_opening_apart(spark):
     texts = [two + warranty, three + warranty, mit + warranty, two.split(" 1. ")[0] + " 1. Something else is asked for here, in words that no notice has.", mit.split(", including")[0] + warranty]
     found = scan_licenses(documents(spark, list(enumerate(texts)))).collect()
     assert sorted((r.doc_id, r.license, r.changed_words) for r in found) == [(0, "BSD-2-Clause", 0), (1, "BSD-3-Clause", 0), (2, "MIT-permission", 0), (3, "BSD-opening", 0), (4, "MIT-opening", 0)]
+
+
+def levenshtein(a, b):
+    row = list(range(len(b) + 1))
+    for k, x in enumerate(a, 1):
+        row, before = [k], row
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+    return row[-1]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from("abcd"), min_size=1, max_size=7), st.lists(st.sampled_from("abcde"), max_size=9))
+def test_alignment_has_the_fewest_changes(own, block):
+    changed, first, end, removed, added = alignment(own, block)
+    least = min(levenshtein(own, block[a:b]) for a in range(len(block) + 1) for b in range(a, len(block) + 1))
+    assert levenshtein(own, block[first:end]) == least == changed <= len(removed) + len(added)
+    assert max(len(removed), len(added)) <= least
+    assert Counter(own) + Counter(added) == Counter(block[first:end]) + Counter(removed)
+
+
+def test_scan_finds_what_an_exhaustive_comparison_finds():
+    """Every template with words removed, added and replaced, in running text: against an alignment with all of it, without cues or blocks."""
+    rng, scanner = random.Random(3), Scanner(TEMPLATES, 0.15)
+    filler = "the cat sat on a mat and some other words of this text were not about anything".split()
+    n_found = n_none = 0
+    for name, text in TEMPLATES.items():
+        for share in (0.0, 0.05, 0.1, 0.14, 0.2, 0.3):
+            words = text.split()
+            for _ in range(int(share * len(words))):
+                at, kind = rng.randrange(len(words)), rng.randrange(3)
+                words[at : at + (kind != 1)] = [] if kind == 0 else [f"changed{rng.randrange(9)}"]
+            around = [" ".join(rng.choices(filler, k=rng.randint(0, 300))) for _ in range(2)]
+            whole = rng.choice(["\n", " ", "\t\r\n"]).join([around[0], *words, around[1]])
+            plains = [plain(w) for w in whole.split()]
+            fits = {}
+            for other, own in scanner.words.items():
+                changed, first, end, *_ = alignment(own, plains)
+                if changed <= scanner.slack[other]:
+                    fits[other] = (changed, first, end - first)
+            found = list(scanner.scan(whole))
+            assert bool(found) == bool(fits), (name, share)
+            for first, n, license_, _, changed, *_ in found:
+                assert license_ in fits
+                if fits[license_][1:] == (first, n):
+                    assert changed == fits[license_][0]
+            n_found, n_none = n_found + bool(found), n_none + (not found)
+            if share == 0.0:
+                assert [(f[2], f[4]) for f in found] == [(name, 0)]
+    assert n_found > 60 and n_none > 20
+
+
+def test_own_templates_ties_and_repeated_rows(spark):
+    own = {"B": "zorp quux blim frab", "A": "Zorp quux, blim frab!", "empty": " ", "one": "xyzzyplugh"}
+    rows = [(1, "so zorp\nquux blim frab it is"), (1, "so zorp\nquux blim frab it is"), (2, "say xyzzyplugh twice: XYZZYPLUGH."), (3, "zorp quux frab")]
+    found = scan_licenses(documents(spark, rows), templates=own).collect()
+    assert sorted((r.doc_id, r.first_word, r.license, r.changed_words) for r in found) == [(1, 1, "A", 0), (1, 1, "A", 0), (2, 1, "one", 0), (2, 3, "one", 0)]
+    assert scan_licenses(documents(spark, rows), templates={}).collect() == []
+
+
+def test_unlicense_across_a_line_break(spark):
+    text = "This is free and unencumbered software released into the public\ndomain."
+    assert [r.license for r in scan_licenses(documents(spark, [(1, text)])).collect()] == ["Unlicense"]
