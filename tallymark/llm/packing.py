@@ -5,8 +5,11 @@ whole windows; what is left of it is an item. The items' lengths are a multiset
 bitset of reachable sums, with each count in binary steps, tells which fill is closest to a window.
 Walking back through the steps gives how many items of each length the window takes, and a window of
 the same counts is repeated while they last. If no multiset fills a window, one item is cut to fill it
-and its rest goes back. Only a group's last window is short; it is cut at powers of two, which need no
-padding. Nothing is shuffled, and a sequence identifier is made of partition, group and position.
+and its rest goes back. What is left of a group, less than a window, goes into the task's next group, and
+what is left of a task, its tail, is gathered with other tasks' tails and packed again, by as many tasks
+as there are ``tails`` of them at once, until one tail is left. Only that one gives short sequences: it is
+cut at powers of two, which need no padding. No text is shuffled, only tails; each round is written to the
+shared folder. A sequence identifier is made of round, partition, group and position.
 
 Null or empty text gives a document of its end id alone. Documents are told apart by position, so null
 or repeated identifiers and equal texts are each packed. An empty table gives no rows. Other columns
@@ -25,11 +28,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.arrow import BATCH_ROWS
+from tallymark.llm.arrow import batched
 from tallymark.llm.word_ids import encoder, slices
-from tallymark.session import ship_package
+from tallymark.session import ship_package, staged
 
-SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+ROWS = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
+SCHEMA = pa.schema([(name, pa.binary() if name == "ids" else pa.int64()) for name in (x.split()[0] for x in ROWS.split(", "))])
 
 
 def best_fill(counts: dict[int, int], room: int) -> list[tuple[int, int]]:
@@ -60,8 +64,8 @@ def best_fill(counts: dict[int, int], room: int) -> list[tuple[int, int]]:
     return list(used.items())
 
 
-def pack(lengths: list[int], window: int) -> Iterator[list[tuple[int, int, int]]]:
-    """Sequences as lists of (document, start, length); every token of every document is in one piece."""
+def windows(lengths: list[int], window: int) -> Iterator[list[tuple[int, int, int]]]:
+    """Full windows as lists of (document, start, length), and last what is left, less than a window."""
     counts: dict[int, int] = defaultdict(int)
     items: dict[int, list[tuple[int, int]]] = defaultdict(list)  # by length: (document, start)
     total = 0
@@ -104,10 +108,14 @@ def pack(lengths: list[int], window: int) -> Iterator[list[tuple[int, int, int]]
             yield sequence
             if slack:
                 break
-    rest = [take(k) for k in sorted(counts, reverse=True) for _ in range(counts[k])]
-    at = 0
-    short = sum(x[2] for x in rest)
-    for power in (1 << k for k in range(short.bit_length() - 1, -1, -1) if short >> k & 1):
+    yield [take(k) for k in sorted(counts, reverse=True) for _ in range(counts[k])]
+
+
+def short(rest: list[tuple[int, int, int]]) -> Iterator[list[tuple[int, int, int]]]:
+    """Sequences of less than a window, each of a power of two."""
+    rest, at = list(rest), 0
+    size = sum(x[2] for x in rest)
+    for power in (1 << k for k in range(size.bit_length() - 1, -1, -1) if size >> k & 1):
         sequence, left = [], power
         while left:
             doc, start, length = rest[at]
@@ -121,50 +129,104 @@ def pack(lengths: list[int], window: int) -> Iterator[list[tuple[int, int, int]]
         yield sequence
 
 
-def _packed(path: str, end_id: int, window: int, group_docs: int, group_tokens: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = encoder(path, keep_space=False)
+def pack(lengths: list[int], window: int) -> Iterator[list[tuple[int, int, int]]]:
+    """Sequences as lists of (document, start, length); every token of every document is in one piece."""
+    *full, rest = windows(lengths, window)
+    yield from full
+    yield from short(rest)
+
+
+class _Packer:
+    """A task's pieces, in groups; its rows are those of ROWS, a tail's with their ids."""
+
+    def __init__(self, dtype: str, window: int, group_docs: int, group_tokens: int, base: int):
+        self.dtype, self.window, self.group_docs, self.group_tokens, self.base = dtype, window, group_docs, group_tokens, base
+        self.size = np.dtype(dtype).itemsize
+        self.group = self.tokens = 0
+        self.held: list[tuple[int | None, int, bytes, int]] = []  # doc_id, start, ids, doc_tokens
+
+    def add(self, doc_id: int | None, start: int, ids: bytes, doc_tokens: int) -> Iterator[tuple]:
+        self.held.append((doc_id, start, ids, doc_tokens))
+        self.tokens += len(ids) // self.size
+        if len(self.held) >= self.group_docs or self.tokens >= self.group_tokens:
+            yield from self._pack()
+
+    def _pack(self) -> Iterator[tuple]:
+        *full, rest = windows([len(x[2]) // self.size for x in self.held], self.window)
+        yield from self._rows(full)
+        kept = []
+        for doc, start, length in rest:
+            doc_id, first, ids, doc_tokens = self.held[doc]
+            kept.append((doc_id, first + start, ids[start * self.size : (start + length) * self.size], doc_tokens))
+        self.held, self.tokens = kept, sum(x[2] for x in rest)
+
+    def _rows(self, sequences: list) -> Iterator[tuple]:
+        wide = {}
+        for number, sequence in enumerate(sequences):
+            offset = 0
+            for doc, start, length in sequence:
+                doc_id, first, ids, doc_tokens = self.held[doc]
+                if doc not in wide:
+                    wide[doc] = np.frombuffer(ids, self.dtype).astype("<u4")
+                yield doc_id, first + start, length, zlib.crc32(wide[doc][start : start + length]), doc_tokens, self.base + (self.group << 24) + number, offset, None
+                offset += length
+        self.group += 1
+
+    def ended(self, last: bool) -> Iterator[tuple]:
+        """The rest as short sequences, if this is the last tail, or as a tail."""
+        yield from self._pack()
+        if last:
+            yield from self._rows(list(short([(k, 0, len(x[2]) // self.size) for k, x in enumerate(self.held)])))
+        else:
+            for doc_id, start, ids, doc_tokens in self.held:
+                yield doc_id, start, len(ids) // self.size, None, doc_tokens, self.base, None, ids
+
+
+def _packed(path: str, end_id: int, window: int, group_docs: int, group_tokens: int, special_as_text: bool):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, int]]:
+        ids_of = encoder(path, special_as_text=special_as_text)
         end = np.array([end_id], ids_of.dtype).tobytes()
-        size = len(end)
-        base, group = TaskContext.get().partitionId() << 40, 0
-        held: list[tuple[int | None, bytes]] = []
-        tokens = 0
-
-        def packed() -> Iterator[pa.RecordBatch]:
-            nonlocal group, held, tokens
-            rows = []
-            lengths = [len(x) // size for _, x in held]
-            wide = [np.frombuffer(x, ids_of.dtype).astype("<u4") for _, x in held]
-            for number, sequence in enumerate(pack(lengths, window)):
-                offset = 0
-                for doc, start, length in sequence:
-                    rows.append((held[doc][0], start, length, zlib.crc32(wide[doc][start : start + length]), lengths[doc], base + (group << 24) + number, offset))
-                    offset += length
-            group, held, tokens = group + 1, [], 0
-            names = [x.split()[0] for x in SCHEMA.split(", ")]
-            for at in range(0, len(rows), BATCH_ROWS):
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows[at : at + BATCH_ROWS], strict=True)], names=names)
-
+        packer = _Packer(ids_of.dtype, window, group_docs, group_tokens, TaskContext.get().partitionId() << 40)
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
             for a, b in slices(texts):
                 for doc_id, ids in zip(doc_ids[a:b], ids_of.encode(texts[a:b]), strict=True):
-                    held.append((doc_id, ids + end))
-                    tokens += len(ids) // size + 1
-                    if len(held) >= group_docs or tokens >= group_tokens:
-                        yield from packed()
-        if held:
-            yield from packed()
+                    yield from packer.add(doc_id, 0, ids + end, len(ids) // packer.size + 1)
+        yield from packer.ended(False)
+
+    return lambda batches: batched(SCHEMA, ((row, 0) for row in rows(batches)))
+
 
-    return run
+def _packed_tails(dtype: str, window: int, group_tokens: int, number: int, last: bool):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, int]]:
+        packer = _Packer(dtype, window, group_tokens, group_tokens, (number << 60) + (TaskContext.get().partitionId() << 40))
+        for batch in batches:
+            for doc_id, start, ids, doc_tokens in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                yield from packer.add(doc_id, start, ids, doc_tokens)
+        yield from packer.ended(last)
+
+    return lambda batches: batched(SCHEMA, ((row, 0) for row in rows(batches)))
 
 
-def pack_sequences(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1, window: int = 2048, group_docs: int = 8192, group_tokens: int = 8 << 20) -> DataFrame:
+def pack_sequences(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1, window: int = 2048, group_docs: int = 8192, group_tokens: int = 8 << 20, tails: int = 4096, special_as_text: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     group_docs and group_tokens bound what one packing problem, and so a task's memory, holds; every
-    document is in some group. A partition may hold 2**16 groups.
+    document is in some group. A partition may hold 2**16 groups, a table 2**20 partitions; tails is 8 at
+    least, so seven rounds are enough.
     """
-    ship_package(docs.sparkSession)
+    spark = docs.sparkSession
+    ship_package(spark)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return slim.mapInArrow(_packed(tokenizer, end_id, window, group_docs, group_tokens), SCHEMA)
+    made = staged(slim.mapInArrow(_packed(tokenizer, end_id, window, group_docs, group_tokens, special_as_text), ROWS), "packed")
+    out = made.where("ids is null")
+    for number in range(1, 8):
+        left = made.where("ids is not null")
+        n = left.select(F.count_distinct("sequence_id")).first()[0]
+        if not n:
+            break
+        parts = -(-n // max(tails, 8))
+        dealt = left.select("doc_id", "start", "ids", "doc_tokens").repartition(parts)
+        made = staged(dealt.mapInArrow(_packed_tails("<u2", window, group_tokens, number, parts == 1), ROWS), "packed-tails")
+        out = out.unionByName(made.where("ids is null"))
+    return out.drop("ids")

@@ -13,7 +13,8 @@ writes a file of its own under a fresh name in the shared folder and reports it;
 count, so retries and speculation do no harm. A document's global start is its shard's, from a running
 sum over one row per shard, and its offset.
 
-Null text counts as empty: the end id alone. Repeated identifiers are kept: the key is the identifier
+Strings of special tokens in a text give these tokens, as the tokenizers library encodes by default;
+``special_as_text`` makes them ordinary text. Null text counts as empty: the end id alone. Repeated identifiers are kept: the key is the identifier
 and the number of the row among its equals in the shard, ordered by the text's hash. Null identifiers
 come first and have a key of their own. An empty table gives no files and no rows. Other columns of
 the input are not read.
@@ -157,6 +158,19 @@ class Shard:
         size = np.dtype(self.dtype).itemsize
         return self._at(int(self.offsets[record]) * size, int(self.counts[record]) * size)
 
+    def checksums(self, block: int = 8 << 20) -> np.ndarray:
+        """CRC-32 of each record's ids as unsigned 32-bit integers; the payload is read once, in order."""
+        size, ends = np.dtype(self.dtype).itemsize, np.cumsum(self.counts)
+        out, at = np.zeros(len(self.counts), np.int64), 0
+        while at < len(self.counts):
+            low = int(self.offsets[at])
+            stop = max(at + 1, int(np.searchsorted(ends, low + block // size, "right")))
+            ids = np.frombuffer(self._at(low * size, int(ends[stop - 1] - low) * size), self.dtype).astype("<u4")
+            for k in range(at, stop):
+                out[k] = zlib.crc32(ids[int(self.offsets[k]) - low : int(ends[k]) - low])
+            at = stop
+        return out
+
     def ids(self, doc_id: int | None, occurrence: int = 0) -> np.ndarray | None:
         """The ids of a document, or None if the shard has no such key."""
         key = np.array([[doc_id or 0, 0]], np.int64).view(np.uint64)
@@ -168,9 +182,9 @@ class Shard:
         self.file.close()
 
 
-def _written(folder: str, path: str, end_id: int, dtype: str, shard_bytes: int):
+def _written(folder: str, path: str, end_id: int, dtype: str, shard_bytes: int, special_as_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = encoder(path, keep_space=True, dtype=dtype)
+        ids_of = encoder(path, dtype, special_as_text)
         end = np.array([end_id], dtype).tobytes()
         system, base = fs.FileSystem.from_uri(folder)
         system.create_dir(base, recursive=True)
@@ -205,13 +219,13 @@ def _written(folder: str, path: str, end_id: int, dtype: str, shard_bytes: int):
     return run
 
 
-def write_token_files(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, dtype: str = "<u2", shard_bytes: int = 256 << 20) -> DataFrame:
+def write_token_files(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, dtype: str = "<u2", shard_bytes: int = 256 << 20, special_as_text: bool = False) -> DataFrame:
     """Write the shards; one row per shard, in document order by (part, nth): path, part, nth, n_ids, n_docs, start."""
     spark = docs.sparkSession
     ship_package(spark)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
     ordered = slim.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text", F.spark_partition_id().alias("part"))
-    made = staged(ordered.mapInArrow(_written(shared_path(spark, "tokens"), tokenizer, end_id, dtype, shard_bytes), "path string, part int, nth long, n_ids long, n_docs long"), "manifest")
+    made = staged(ordered.mapInArrow(_written(shared_path(spark, "tokens"), tokenizer, end_id, dtype, shard_bytes, special_as_text), "path string, part int, nth long, n_ids long, n_docs long"), "manifest")
     running = Window.orderBy("part", "nth").rowsBetween(Window.unboundedPreceding, -1)
     return made.withColumn("start", F.coalesce(F.sum("n_ids").over(running), F.lit(0)))
 
@@ -224,7 +238,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if (records < 0).any():
                 raise ValueError(f"{path}: a key is missing from the index")
             null = (shard.keys[:, 1] & np.uint64(1)).astype(bool)
-            crc = [zlib.crc32(np.frombuffer(shard.payload(k), shard.dtype).astype("<u4")) for k in records.tolist()]
+            crc = shard.checksums()[records].tolist()
             columns = [pa.array(shard.keys[:, 0].view(np.int64), mask=null), pa.array(shard.offsets[records] + start), pa.array(shard.counts[records]), pa.array(crc, pa.int64())]
             shard.close()
             made = pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids_crc32"])

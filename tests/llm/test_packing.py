@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -38,7 +39,6 @@ def test_pieces_of_awkward_documents(spark):
 
     path = vocabulary("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     rows = [(k, r[1]) for k, r in enumerate(AWKWARD)] + [(100, "<|endoftext|> há it's Isn'T 12 a!b"), (101, "a" * 500)]
     ids = {k: np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], "<u4") for k, t in rows}
     found = pack_sequences(documents(spark, rows, ("start", "length", "offset")).repartition(3), path, group_docs=4).collect()
@@ -61,3 +61,32 @@ def test_pieces_of_awkward_documents(spark):
 
 def test_empty_table(spark):
     assert pack_sequences(documents(spark, []), vocabulary("word_bpe_49k.json")).collect() == []
+
+
+def test_null_and_repeated_identifiers(spark):
+    rows = [(None, "a b"), (None, "a b"), (1, "c d e"), (1, "c d e"), (1, "f")]
+    found = pack_sequences(documents(spark, rows), vocabulary("word_bpe_49k.json")).collect()
+    assert sorted((r.doc_id or 0, r.doc_tokens) for r in found if r.start == 0) == [(0, 3), (0, 3), (1, 2), (1, 4), (1, 4)]
+    assert sum(r.length for r in found) == 16
+
+
+@pytest.mark.parametrize("tails", [8, 4096])
+def test_only_the_last_tail_is_short_however_rows_are_dealt(spark, tails):
+    rng = np.random.default_rng(4)
+    rows = [(k, " ".join(["word"] * int(n))) for k, n in enumerate(rng.integers(0, 900, 300))]
+    tokens = sum(len(t.split()) + 1 for _, t in rows)
+    want = tokens // 512 + bin(tokens % 512).count("1")
+    for partitions in (1, 5, 40):
+        found = pack_sequences(documents(spark, rows).repartition(partitions), vocabulary("word_bpe_49k.json"), window=512, group_docs=30, tails=tails).collect()
+        sizes, pieces = {}, {}
+        for r in found:
+            sizes[r.sequence_id] = sizes.get(r.sequence_id, 0) + r.length
+            pieces.setdefault(r.doc_id, []).append((r.start, r.length, r.doc_tokens))
+        for held in pieces.values():
+            at = 0
+            for start, length, whole in sorted(held):
+                assert start == at
+                at += length
+            assert at == whole
+        assert len(pieces) == len(rows)
+        assert len(sizes) == want and sum(n < 512 for n in sizes.values()) == bin(tokens % 512).count("1")

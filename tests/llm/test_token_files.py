@@ -12,18 +12,19 @@ from tests.llm.common import AWKWARD, documents
 def tokenizer(path):
     from tokenizers import Tokenizer
 
-    made = Tokenizer.from_file(path)
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(path)
 
 
-TEXTS = ["", " ", "  a", "a  ", "a\n\nb", "a \n b", "a  b", "a   b", "a\x1c b!\x1c", "it's  'll we'Re", "1 22  333", "x\t\t y z", "<|endoftext|> x", "é́ é Σς ΟΔΟΣ", "😀 a😀b  😀", "\r\n\r\n x", "a" * 300 + "  " + "b" * 70]
+TEXTS = ["", " ", "  a", "a  ", "a\n\nb", "a \n b", "a  b", "a   b", "a\x1c b!\x1c", "it's  'll we'Re", "1 22  333", "x\t\t y z", "<|endoftext|> x", "hello <|endoftext|> world", "a<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "<|x", "é́ é Σς ΟΔΟΣ", "😀 a😀b  😀", "\r\n\r\n x", "a" * 300 + "  " + "b" * 70]
 
 
+@pytest.mark.parametrize("special_as_text", [False, True])
 @pytest.mark.parametrize(("name", "keep_space"), [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
-def test_chunks_give_the_ids_of_whole_texts(name, keep_space):
+def test_chunks_give_the_ids_of_whole_texts(name, keep_space, special_as_text):
     path = vocabulary(name)
-    whole, chunked = tokenizer(path), WordIds(path, keep_space, "<u2")
+    whole, chunked = tokenizer(path), WordIds(path, "<u2", special_as_text)
+    whole.encode_special_tokens = special_as_text
+    assert chunked.keep_space is keep_space
     texts = TEXTS + [a + b for a in TEXTS for b in TEXTS]
     assert [np.frombuffer(x, "<u2").tolist() for x in chunked.encode(texts)] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
 
@@ -63,3 +64,22 @@ def test_perfect_hash_is_minimal():
 
 def test_empty_table(spark):
     assert read_token_files(write_token_files(documents(spark, []), vocabulary("byte_bpe_50k.json"))).collect() == []
+
+
+def test_special_strings_give_what_the_library_gives():
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        text = "hello <|endoftext|> world"
+        want = tokenizer(vocabulary(name)).encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(WordIds(vocabulary(name), "<u2").encode([text])[0], "<u2").tolist() == want and len(want) in (3, 4)
+
+
+def test_a_tokenizer_of_another_layout_encodes_whole_texts(tmp_path):
+    """The same vocabulary with a normalizer that the lookup of chunks does not know."""
+    import json
+
+    file = json.loads(open(vocabulary("byte_bpe_50k.json"), encoding="utf8").read())
+    file["normalizer"] = {"type": "Prepend", "prepend": "_"}
+    (tmp_path / "other.json").write_text(json.dumps(file))
+    ours, whole = WordIds(f"{tmp_path}/other.json", "<u2"), tokenizer(f"{tmp_path}/other.json")
+    assert ours.keep_space is None
+    assert [np.frombuffer(x, "<u2").tolist() for x in ours.encode(TEXTS)] == [whole.encode(t, add_special_tokens=False).ids for t in TEXTS]
