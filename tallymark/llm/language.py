@@ -23,12 +23,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.session import ship_package
+from tallymark.session import ship_package, staged
 
 UNKNOWN = "und"
 PROFILE = 300
-MAX_LANGUAGES = 1000
 SHIFT = np.uint64(21)
+#: Labels whose shares are broadcast at most, by a count.
+FEW = 1_000_000
 
 _FOLDED: list[np.ndarray] = []
 
@@ -69,15 +70,18 @@ def ranked(codes: np.ndarray, counts: np.ndarray, size: int = PROFILE) -> np.nda
 
 
 class Profiles:
-    """Language profiles as one sorted code table with a row of ranks for each language."""
+    """Language profiles as an index from a code to the languages that rank it."""
 
     def __init__(self, profiles: dict[str, list[int]], size: int = PROFILE):
         self.names, self.size = sorted(profiles), size
-        self.codes = np.unique(np.array([c for name in self.names for c in profiles[name]], np.uint64))
-        #: One more column, for codes in no profile.
-        self.ranks = np.full((len(self.names), len(self.codes) + 1), -1, np.int64)
-        for k, name in enumerate(self.names):
-            self.ranks[k, np.searchsorted(self.codes, np.array(profiles[name], np.uint64))] = np.arange(len(profiles[name]))
+        codes = np.array([c for name in self.names for c in profiles[name]], np.uint64)
+        lengths = [len(profiles[name]) for name in self.names]
+        order = np.argsort(codes, kind="stable")
+        self.languages = np.repeat(np.arange(len(self.names)), lengths)[order]
+        self.ranks = np.concatenate([np.arange(n) for n in lengths])[order] if lengths else np.zeros(0, np.int64)
+        self.codes, starts = np.unique(codes[order], return_index=True)
+        #: One more code, for those in no profile.
+        self.starts = np.r_[starts, len(codes), len(codes)]
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The nearest language, and one less its distance as a share of the largest possible."""
@@ -86,10 +90,13 @@ class Profiles:
             return UNKNOWN, 0.0
         at = np.minimum(np.searchsorted(self.codes, mine), len(self.codes) - 1)
         at = np.where(self.codes[at] == mine, at, len(self.codes))
-        theirs = self.ranks[:, at]
-        apart = np.where(theirs < 0, self.size, np.abs(theirs - np.arange(len(mine)))).sum(1)
+        n = self.starts[at + 1] - self.starts[at]
+        held = np.repeat(self.starts[at] - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())
+        nearer = self.size - np.abs(self.ranks[held] - np.repeat(np.arange(len(mine)), n))
+        most = self.size * len(mine)
+        apart = most - np.bincount(self.languages[held], nearer, len(self.names)).astype(np.int64)
         best = int(apart.argmin())
-        return self.names[best], float(1 - apart[best] / (self.size * len(mine)))
+        return self.names[best], float(1 - apart[best] / most)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,26 +117,20 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit_profiles(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs_per_lang: int = 2000, size: int = PROFILE) -> Profiles:
     """Profiles from a sample of about docs_per_lang documents a language.
 
-    What comes to the driver is a count and ``size`` codes for each of at most MAX_LANGUAGES labels;
-    more labels are an error.
+    What comes to the driver, and goes to each worker, is a count and ``size`` codes for each label that
+    occurs, some 5 KB a language.
     """
     ship_package(labelled.sparkSession)
     slim = labelled.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).where("lang is not null and doc_id is not null")
     spread = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    found = slim.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
-    if len(found) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages: {lang_col} is no language label")
-    if not found:
-        return Profiles({}, size)
-    share = F.create_map(*[F.lit(x) for row in found for x in (row.lang, docs_per_lang / row["count"])])
-    sample = slim.where(spread < F.element_at(share, F.col("lang"))).select("lang", "text")
+    shares = staged(slim.groupBy("lang").agg((F.lit(docs_per_lang) / F.count(F.lit(1))).alias("share")), "languages")
+    side = F.broadcast(shares) if shares.count() <= FEW else shares
+    sample = slim.join(side, "lang").where(spread < F.col("share")).select("lang", "text")
     counts = sample.mapInArrow(_counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     first = Window.partitionBy("lang").orderBy(F.desc("n"), F.asc("gram"))
     top = counts.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= size)
-    profiles: dict[str, list[int]] = {}
-    for row in sorted(top.select("lang", "rank", "gram").collect()):
-        profiles.setdefault(row.lang, []).append(row.gram)
-    return Profiles(profiles, size)
+    rows = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "gram"))).alias("grams")).select("lang", "grams.gram").collect()
+    return Profiles({r.lang: r.gram for r in rows}, size)
 
 
 def language_of(text: Column, profiles: Profiles) -> Column:

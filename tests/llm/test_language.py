@@ -70,3 +70,18 @@ def test_awkward_rows(spark):
     unlabelled = identify_language(documents(spark, [(1, "some text"), (2, None)])).collect()
     assert {(r.lang_pred, r.score) for r in unlabelled} == {("und", 0.0)}
     assert identify_language(documents(spark, [])).collect() == []
+
+
+def test_ties_go_to_the_smaller_name(spark):
+    rows = [(k, "same words here", lang) for k, lang in enumerate(["zz", "aa", "mm"] * 12)]
+    assert {r.lang_pred for r in identify_language(documents(spark, rows)).collect()} == {"aa"}
+
+
+def test_any_number_of_labels(spark):
+    """Each of 1,500 labels has a text of its own."""
+    word = lambda k: "".join(chr(97 + k // 26**n % 26) for n in range(3))
+    rows = [(k, f"{word(k % 1500)} " * 3, f"l{k % 1500}") for k in range(6000)]
+    found = {r.doc_id: r for r in identify_language(documents(spark, rows)).collect()}
+    learned = {lang for k, _, lang in rows if crc32(str(k).encode()) % 4 != 2}
+    assert len(learned) > 1400
+    assert all(found[k].lang_pred == lang for k, _, lang in rows if lang in learned)
