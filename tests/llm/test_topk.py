@@ -1,6 +1,8 @@
 import math
 import random
 
+import pytest
+
 from tallymark.llm.topk import top_k
 
 SCHEMA = "vec_id long, embedding array<float>, label int, score long, rank int"
@@ -52,3 +54,19 @@ def test_large_components_stay_exact(spark):
 
 def test_empty_table(spark):
     assert top_k(frame(spark, [])).collect() == []
+
+
+def test_parts_that_cancel_and_repeated_rows(spark):
+    """Parts of more than a long whose sum is small; two lists of two dimensions."""
+    big = 2.0**100
+    rows = [(0, [1.0, 0.0, 1.0, 0.0]), (1, [big, 0.0, -big, 0.0]), (2, [0.5, 0.0, 0.0, 0.0]), (2, [0.5, 0.0, 0.0, 0.0]), (3, [-big, 0.0, 0.0, 0.0]), (4, [big, 0.0, 0.0, 0.0])]
+    found = {r.vec_id: r.score for r in top_k(frame(spark, rows)).collect()}
+    assert found == {1: 0, 2: 512 * 1024, 3: -(2**63), 4: 2**63 - 1}
+
+
+@pytest.mark.parametrize("lists", [1, 2, 3, 5])
+def test_long_vectors_and_any_number_of_lists(spark, lists):
+    rng = random.Random(9)
+    rows = [(k, [c * (1 + k % 7) for c in unit(rng, rng.choice((40, 64, 70)))]) for k in range(400)]
+    found = top_k(frame(spark, rows), lists=lists, query_block=2, row_block=60)
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in found.collect()) == brute(rows)
