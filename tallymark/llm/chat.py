@@ -8,8 +8,11 @@ becomes ``&amp;``, ``<`` becomes ``&lt;`` and ``"`` becomes ``&quot;``, so ``<``
 the template and reading back is exact.
 
 Conversations are dealt out by identifier and sorted by turn; a task holds one conversation's text at a
-time, and the examples leave in batches of bounded size. A conversation is the unit of this operator:
-its examples, by definition, repeat its earlier turns.
+time, and the examples leave in batches of bounded size. By definition, examples repeat earlier turns. A
+conversation whose examples may have more than ``unit_chars`` characters is written by several tasks: its
+turns are put in order by ranges, their numbers come from running sums over ranges, and each task gets a
+run of examples and the turns that these hold. One example, which is one value, is the least unit; reading
+back puts a conversation's text into one value, as its digest asks.
 
 Null text and role count as empty. Rows with a null turn come first; equal turns are ordered by role
 and text. Repeated rows are turns of their own. Rows with a null identifier are one conversation. An
@@ -21,13 +24,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.llm.arrow import Rows
+from tallymark.llm.mixing import earlier
 from tallymark.session import ship_package, staged
 
 SCHEMA = pa.schema([("conv_id", pa.int64()), ("example", pa.int64()), ("formatted", pa.string()), ("loss_start", pa.int64()), ("loss_end", pa.int64()), ("final", pa.bool_())])
+#: Long conversations whose identifiers are broadcast at most, by a count.
+SMALL = 100_000
 #: What is escaped, in the order of escaping.
 ESCAPES = (("&", "&amp;"), ("<", "&lt;"), ('"', "&quot;"))
 TURN = '<turn role="([^"]*)">([^<]*)</turn>\n'
@@ -46,32 +52,44 @@ def unescaped(text: Column) -> Column:
 
 
 def _expanded(target: str):
+    """Over rows (conv_id, chunk, per, last, role, text) by conversation and chunk, in order: a chunk's examples.
+
+    A chunk holds ``per`` examples, or all if it is null; the last one also the record of all turns.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = Rows(SCHEMA)
-        open_, conv, context, example, waiting = False, None, "", 0, None
+        current, is_last = None, False
+        parts, length, example, waiting = [], 0, 0, None
 
         def put(row: tuple | None) -> None:
             if row is not None:
                 out.add(row, len(row[2]))
 
         def ended() -> None:
-            if waiting is not None and len(waiting[2]) == len(context):
+            if is_last and waiting is not None and len(waiting[2]) == length:
                 put((*waiting[:5], True))
-            elif open_:
+            else:
                 put(waiting)
-                put((conv, example, context, 0, 0, True))
+                if is_last and current:
+                    put((current[0], example, "".join(parts), 0, 0, True))
 
         for batch in batches:
-            for conv_id, role, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                if not open_ or conv_id != conv:
+            for conv_id, chunk, per, last, role, text in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
+                if (conv_id, chunk) != current:
                     ended()
-                    open_, conv, context, example, waiting = True, conv_id, "", 0, None
+                    current, is_last = (conv_id, chunk), last
+                    parts, length, example, waiting = [], 0, 0, None
                 head, body = f'<turn role="{escape(role or "")}">', escape(text or "")
-                start = len(context) + len(head)
-                context += f"{head}{body}</turn>\n"
+                start = length + len(head)
+                parts.append(f"{head}{body}</turn>\n")
+                length += len(parts[-1])
                 if role == target:
                     put(waiting)
-                    waiting = (conv, example, context, start, start + len(body), False)
+                    waiting = None
+                    if per is None or chunk * per <= example < (chunk + 1) * per:
+                        parts = ["".join(parts)]
+                        waiting = (conv_id, example, parts[0], start, start + len(body), False)
                     example += 1
                 while out.full:
                     yield out.take()
@@ -81,12 +99,39 @@ def _expanded(target: str):
     return run
 
 
-def format_chats(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", target: str = "assistant") -> DataFrame:
+def _chunked(turns: DataFrame, long: DataFrame, target: str, unit_chars: int) -> DataFrame:
+    """(conv_id, chunk, per, last, role, text, at) of the long conversations: each turn for every chunk that holds it."""
+    order = [F.col(c) for c in ("conv_id", "turn", "role", "text")]
+    dealt = staged(turns.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id()), "long-conversations")
+    slim = dealt.select("conv_id", "at", F.shiftright("at", 33).alias("part"), F.coalesce(F.col("role") == target, F.lit(False)).cast("long").alias("hit"))
+    before = earlier(slim.groupBy("conv_id", "part").agg(F.sum("hit").alias("hits")), "conv_id", "hits").withColumnsRenamed({"conv_id": "_conv", "part": "_part"})
+    within = Window.partitionBy("conv_id", "part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = slim.withColumn("nth", F.coalesce(F.sum("hit").over(within), F.lit(0))).join(before, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("part") == F.col("_part"))).select("at", (F.col("nth") + F.col("before")).alias("earlier"))
+    sizes = long.select(F.col("conv_id").alias("_conv"), F.greatest(F.floor(F.lit(unit_chars) / F.col("chars")), F.lit(1)).cast("long").alias("per"), "targets")
+    whole = dealt.join(sizes, F.col("conv_id").eqNullSafe(F.col("_conv"))).join(numbered, "at")
+    most = F.greatest(F.ceil(F.col("targets") / F.col("per")) - 1, F.lit(0)).cast("long")
+    each = whole.withColumn("_most", most).withColumn("chunk", F.explode(F.sequence(F.least(F.floor(F.col("earlier") / F.col("per")), F.col("_most")), F.col("_most"))))
+    return each.select("conv_id", "chunk", "per", (F.col("chunk") == F.col("_most")).alias("last"), "role", "text", "at")
+
+
+def format_chats(turns: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", target: str = "assistant", unit_chars: int = 256 << 20) -> DataFrame:
     """Examples: conv_id, example, formatted, loss_start, loss_end (in code points), final."""
     ship_package(turns.sparkSession)
     slim = turns.select(F.col(id_col).cast("long").alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), F.col(role_col).cast("string").alias("role"), F.col(text_col).cast("string").alias("text"))
-    ordered = slim.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
-    return ordered.mapInArrow(_expanded(target), "conv_id long, example long, formatted string, loss_start long, loss_end long, final boolean")
+    columns, schema = ["conv_id", "chunk", "per", "last", "role", "text"], "conv_id long, example long, formatted string, loss_start long, loss_end long, final boolean"
+    chars = F.coalesce(F.length("text"), F.lit(0)) + F.coalesce(F.length("role"), F.lit(0)) + 21
+    sizes = slim.groupBy("conv_id").agg(F.sum(chars).alias("chars"), F.sum(F.when(F.col("role") == target, 1).otherwise(0)).alias("targets"))
+    long = staged(sizes.where(F.col("chars").cast("double") * (F.col("targets") + 1) > unit_chars), "long-sizes")
+    n_long = long.count()
+    few = F.broadcast(long) if n_long <= SMALL else long
+    is_long = slim["conv_id"].eqNullSafe(few["conv_id"])
+    short = slim.join(few, is_long, "left_anti") if n_long else slim
+    ordered = short.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", F.lit(0).cast("long").alias("chunk"), F.lit(None).cast("long").alias("per"), F.lit(True).alias("last"), "role", "text")
+    out = ordered.mapInArrow(_expanded(target), schema)
+    if not n_long:
+        return out
+    chunks = _chunked(slim.join(few, is_long, "left_semi"), few, target, unit_chars)
+    return out.unionByName(chunks.repartition("conv_id", "chunk").sortWithinPartitions("conv_id", "chunk", "at").select(*columns).mapInArrow(_expanded(target), schema))
 
 
 def write_chats(turns: DataFrame, **options) -> DataFrame:

@@ -1,6 +1,8 @@
 import hashlib
 import html
 
+import pytest
+
 from tallymark.llm.chat import format_chats, read_chats, write_chats
 
 SCHEMA = "conv_id long, turn long, role string, text string, example long, final boolean"
@@ -53,3 +55,11 @@ def test_each_reply_is_the_only_text_under_its_mask(spark):
 
 def test_empty_table(spark):
     assert read_chats(write_chats(frame(spark, []))).collect() == []
+
+
+@pytest.mark.parametrize("unit_chars", [1, 60, 2000])
+def test_long_conversations_are_written_by_several_tasks(spark, unit_chars):
+    rows = [*ROWS, *((9, k, ("user", "assistant", "assistant")[k % 3], f"turn {k} <" * (1 + k % 5)) for k in range(70)), *((10, k, "user", f"no reply {k}") for k in range(20)), (11, 0, "assistant", "long " * 5000)]
+    whole, parts = (format_chats(frame(spark, rows), unit_chars=n) for n in (1 << 40, unit_chars))
+    assert sorted(map(repr, parts.collect())) == sorted(map(repr, whole.collect()))
+    assert sum(r.formatted_chars for r in read_chats(parts).collect()) == sum(len(r.formatted) for r in whole.collect())

@@ -29,6 +29,11 @@ def test_round_trip(spark):
     assert archives.count() > 3
 
 
+def test_many_revisits_are_taken_out_by_a_shuffle(spark):
+    found = read_archives(write_archives(frame(spark, ROWS), small=0))
+    assert sorted(repr(tuple(r)) for r in found.collect()) == expected(ROWS)
+
+
 def test_small_payloads_stay_responses(spark):
     found = read_archives(write_archives(frame(spark, ROWS), min_bytes=4))
     assert sorted(repr(tuple(r)) for r in found.collect()) == expected(ROWS, 4)
