@@ -29,11 +29,22 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir`` as a URI; a temporary one only where it is unset."""
-    application = spark.sparkContext.applicationId
-    root = spark.conf.get("spark.checkpoint.dir", None) or _ROOTS.get(application)
+    """The folder in ``spark.checkpoint.dir``, or the context's checkpoint folder, as a URI.
+
+    Where neither is set, a temporary one serves a local session, whose driver is its only executor;
+    elsewhere that is an error, as executors would not see it.
+    """
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or _ROOTS.get(context.applicationId)
     if not root:
-        root = _ROOTS[application] = tempfile.mkdtemp(prefix="tallymark-shared-")
+        found = context._jsc.sc().getCheckpointDir()
+        if found.isDefined():
+            root = found.get()
+        elif context.master.split("[")[0] == "local":
+            root = tempfile.mkdtemp(prefix="tallymark-shared-")
+        else:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors see")
+        _ROOTS[context.applicationId] = root
     return root if "://" in root or root.startswith("file:") else f"file://{root}"
 
 
@@ -42,9 +53,15 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(frame: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+def staged(frame: DataFrame, name: str, compression: str = "snappy", path: str | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it again: cuts lineage and survives lost executors."""
     spark = frame.sparkSession
-    path = shared_path(spark, name)
+    path = path or shared_path(spark, name)
     frame.write.option("compression", compression).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def unstaged(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that no frame in use reads any more."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
