@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.session import staged
+from tallymark.session import shared_path, staged, unstaged
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -29,12 +29,17 @@ def _state(edges: DataFrame) -> tuple[int, int]:
 def components(edges: DataFrame) -> DataFrame:
     """(u, root) for each node of ``edges`` (u long, v long) but the roots, which are the smallest nodes.
 
-    Each step is written to the shared folder. A hub's edges are joined to one row of its minimum, so
+    Each step is written to the shared folder, and all but the last two are deleted. A hub's edges are joined to one row of its minimum, so
     adaptive execution can split them; minima are combined before the shuffle. No nulls are allowed.
     """
-    edges = staged(edges.where("u <> v").select("u", "v"), "edges")
+    spark = edges.sparkSession
+    paths = [shared_path(spark, "edges")]
+    edges = staged(edges.where("u <> v").select("u", "v"), "edges", path=paths[0])
     before = None
     while (now := _state(edges)) != before and now[0]:
         before = now
-        edges = staged(_small_star(_large_star(edges)), "edges")
+        paths.append(shared_path(spark, "edges"))
+        edges = staged(_small_star(_large_star(edges)), "edges", path=paths[-1])
+        if len(paths) > 2:  # what the table before last was read for is written
+            unstaged(spark, paths[-3])
     return edges.select("u", F.col("v").alias("root"))
