@@ -194,11 +194,13 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     own = "mix_"
     while any(c.lower().startswith(own) for c in docs.columns):
         own += "_"
-    taken = plan_mix(docs, **options).taken().where("size > 0").groupBy(F.col("doc_id").alias(f"{own}id"), F.col("text_hash").alias(f"{own}hash")).agg(F.sum("taken").alias(f"{own}all"), F.count(F.lit(1)).alias(f"{own}n"), F.max("size").alias(f"{own}size")).where(F.col(f"{own}all") > 0)
-    text = docs[text_col].cast("string")
-    matched = docs.join(taken, docs[id_col].cast("long").eqNullSafe(F.col(f"{own}id")) & (F.xxhash64(text) == F.col(f"{own}hash")))
-    # The join has dealt the rows out by what tells repeats, so numbering them shuffles nothing.
-    nth = F.row_number().over(Window.partitionBy(f"{own}id", f"{own}hash").orderBy(F.xxhash64(*[docs[c] for c in docs.columns]))) - 1
+    taken = plan_mix(docs, **options).taken().where("size > 0").groupBy(F.col("doc_id").alias(f"{own}id"), F.col("text_hash").alias(f"{own}text")).agg(F.sum("taken").alias(f"{own}all"), F.count(F.lit(1)).alias(f"{own}n"), F.max("size").alias(f"{own}size")).where(F.col(f"{own}all") > 0)
+    # Keys without nulls on both sides, so that numbering repeats after the join shuffles nothing more.
+    keys = [f"{own}{k}" for k in ("given", "none", "hash")]
+    keyed = lambda frame, doc_id, text_hash: frame.withColumns(dict(zip(keys, (F.coalesce(doc_id, F.lit(0)), doc_id.isNull(), text_hash), strict=True)))
+    ids = docs[id_col].cast("long")
+    matched = keyed(docs, ids, F.xxhash64(docs[text_col].cast("string"))).join(keyed(taken, F.col(f"{own}id"), F.col(f"{own}text")).drop(f"{own}id", f"{own}text"), keys)
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))) - 1
     part = F.expr(f"{own}all div {own}n") + (F.col(f"{own}nth") < F.expr(f"{own}all % {own}n")).cast("long")
     shared = matched.withColumn(f"{own}nth", F.when(F.col(f"{own}n") > 1, nth).otherwise(0)).withColumn(f"{own}taken", part)
     rest = F.col(f"{own}taken") % F.col(f"{own}size")
