@@ -22,10 +22,10 @@ COEFFICIENTS = (
     (3.09191371068437e-9, 0.000008983055096812155, 0.00006995724062, 23.10934304144901, -0.00023663490511, -0.6321817810242, -0.00663494467273, 0.03430082397953, -0.00466043876332, 2555164.4),
     (2.890871144776878e-9, 0.000008983055095805407, -3.068298e-8, 7.47137025468032, -0.00000353937994, -0.02145144861037, -0.00001234426596, 0.00010322952773, -0.00000323890364, 826088.5),
 )
-#: Series of the inland shift, as (amplitude, divisor of the angle).
-SHIFT_COMMON = ((20.0, 1 / 6), (20.0, 1 / 2))
-SHIFT_LAT = ((20.0, 1.0), (40.0, 3.0), (160.0, 12.0), (320.0, 30.0))
-SHIFT_LNG = ((20.0, 1.0), (40.0, 3.0), (150.0, 12.0), (300.0, 30.0))
+#: Series of the inland shift, as (amplitude, multiplier and divisor of the angle).
+SHIFT_COMMON = ((20.0, 6.0, 1.0), (20.0, 2.0, 1.0))
+SHIFT_LAT = ((20.0, 1.0, 1.0), (40.0, 1.0, 3.0), (160.0, 1.0, 12.0), (320.0, 1.0, 30.0))
+SHIFT_LNG = ((20.0, 1.0, 1.0), (40.0, 1.0, 3.0), (150.0, 1.0, 12.0), (300.0, 1.0, 30.0))
 
 Point = tuple[Column, Column]
 
@@ -67,8 +67,8 @@ def out_of_china(lng: Column, lat: Column) -> Column:
 
 def _series(angle: Column, terms: tuple) -> Column:
     total = F.lit(0.0)
-    for amplitude, divisor in terms:
-        total = total + amplitude * F.sin(angle * (math.pi / divisor))
+    for amplitude, multiplier, divisor in terms:
+        total = total + amplitude * F.sin(angle * (multiplier * math.pi / divisor))
     return total * (2.0 / 3.0)
 
 
@@ -136,3 +136,15 @@ def plane_point(lng: Column, lat: Column, metres: float = 1000.0, places: int =
     half = math.sin(metres / 2 / RADIUS)
     d_lng = 2 * F.degrees(F.asin(F.lit(half) / F.cos(F.radians(lat))))
     return F.bround(lng * (F.lit(degrees_of(metres)) / d_lng), places), lat
+
+
+def poi_row(name: Column, x: Column, y: Column, alias: Column, std_tag: Column, separator: str = ";") -> Column:
+    """A place of the map service as a CSV line: name, its coordinates in three datums, joined aliases, tag.
+
+    x and y are hundredths of projected metres. Null aliases and tag are empty; a null name or coordinate gives null.
+    """
+    bd = mercator_to_bd09(x / 100, y / 100)
+    gcj = bd09_to_gcj02(*bd)
+    numbers = [c.cast("string") for c in (*bd, *gcj, *gcj02_to_wgs84(*gcj))]
+    aliases = F.array_join(F.coalesce(alias, F.array().cast("array<string>")), separator)
+    return F.when(name.isNotNull() & x.isNotNull() & y.isNotNull(), F.concat_ws(",", name, *numbers, aliases, F.coalesce(std_tag, F.lit(""))))

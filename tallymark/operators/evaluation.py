@@ -13,6 +13,11 @@ def confusion(frame: DataFrame, label: str = "label", prediction: str = "predict
     return counts.join(totals, F.col("label").eqNullSafe(F.col("_label"))).select("label", "prediction", "n", (F.col("n") / F.col("_total")).alias("share"))
 
 
+def accuracy(frame: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """One row (accuracy, n): the share of right predictions among rows with both; null without rows."""
+    return frame.where(F.col(label).isNotNull() & F.col(prediction).isNotNull()).agg(F.avg((F.col(label) == F.col(prediction)).cast("double")).alias("accuracy"), F.count(F.lit(1)).alias("n"))
+
+
 def confusion_matrix(frame: DataFrame, categories: int, label: str = "label", prediction: str = "prediction") -> tuple[list[list[float]], float]:
     """The row-normalised matrix, with NaN for a label without rows, and the accuracy."""
     found = {(int(r.label), int(r.prediction)): r.n for r in confusion(frame.where(F.col(label).between(0, categories - 1) & F.col(prediction).between(0, categories - 1)), label, prediction).collect()}

@@ -187,6 +187,11 @@ def cosine(a: Column, b: Column) -> Column:
     return F.when(norm > 0, dot(a, b) / norm)
 
 
+def is_similar(a: Column, b: Column, least: float = 0.5) -> Column:
+    """The category of a pair: 1 if its similarity is at least ``least``, else 0; null if one is all zeros."""
+    return F.when(cosine(a, b) >= least, 1.0).when(cosine(a, b) < least, 0.0)
+
+
 class LineEncoder(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """The encoder as a pipeline stage: with a ``data`` column it replaces data and applist and adds appfreq, appdur and appsys; with applist alone it replaces that."""
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.operators.arrays import latest_merge, strict_argmax
+from tallymark.operators.rules import once
 from tallymark.operators.tagging import with_label
 
 
@@ -29,7 +30,7 @@ def label_then_merge(lines: DataFrame, rules: list[str], user: str = "userid", d
     """Label each day's row, merge the labelled rows by user, and label again from the summed tags."""
     labelled = with_label(lines, rules, data=data, **options).drop("label")
     merged = latest_merge(labelled, user, date, data, limit, "tags", len(rules))
-    return merged.withColumn("label", strict_argmax(F.col("tags"))).where("label is not null")
+    return once(merged, "label", strict_argmax(F.col("tags"))).where("label is not null")
 
 
 def merge_then_label(lines: DataFrame, rules: list[str], user: str = "userid", date: str = "date", data: str = "data", limit: int = 1000, **options) -> DataFrame:
@@ -37,20 +38,34 @@ def merge_then_label(lines: DataFrame, rules: list[str], user: str = "userid", d
     return with_label(latest_merge(lines, user, date, data, limit), rules, data=data, **options)
 
 
-def balanced(frame: DataFrame, count: int, label: str = "label", values: tuple = (0.0, 1.0), seed: int = 17) -> DataFrame:
-    """About ``count`` rows of each label, all if there are fewer; other labels go."""
+def draw(key: str, seed: int) -> Column:
+    """A number below 2**32 that depends on a key alone: the first eight digits of the MD5 of seed and key."""
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), 1, 8), 16, 10).cast("long")
+
+
+def balanced(frame: DataFrame, count: int, label: str = "label", values: tuple = (0.0, 1.0), seed: int = 17, key: str | None = None) -> DataFrame:
+    """About ``count`` rows of each label, all if there are fewer; other labels go.
+
+    With a key, rows are drawn by it, so that reruns agree however the rows lie; a null key is not drawn.
+    """
+    if key is not None:
+        counts = frame.where(F.col(label).isin(list(values))).groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
+        drawn = frame.join(F.broadcast(counts), F.col(label) == F.col("_label"))  # a row for each of the values
+        return drawn.where(draw(key, seed) * F.col("_n") < F.lit(count * (1 << 32))).drop("_label", "_n")
     found = {r[label]: r["count"] for r in frame.where(F.col(label).isin(list(values))).groupBy(label).count().collect()}
     return frame.sampleBy(label, {k: min(1.0, count / n) for k, n in found.items()}, seed)
 
 
-def uniform(frame: DataFrame, share: float, seed: int = 17) -> DataFrame:
+def uniform(frame: DataFrame, share: float, seed: int = 17, key: str | None = None) -> DataFrame:
+    """A share of the rows; with a key drawn by it."""
+    if key is not None:
+        return frame.where(draw(key, seed) < round(share * (1 << 32)))
     return frame.sample(False, share, seed)
 
 
 def hash_split(frame: DataFrame, key: str, share: float = 0.7, seed: int = 17) -> tuple[DataFrame, DataFrame]:
     """Two parts by a hash of a key: the same key is always in the same part, however the rows lie. A null key is in the first."""
-    draw = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(1_000_000))
-    first = F.col(key).isNull() | (draw < round(share * 1_000_000))
+    first = F.col(key).isNull() | (draw(key, seed) < round(share * (1 << 32)))
     return frame.where(first), frame.where(~first)
 
 
@@ -86,3 +101,23 @@ def buffered_shuffle(rows: Iterable, flat_map: Callable[..., Iterable] = lambda
     yield from buffer
 
 
+def buffered(frame: DataFrame, buffer_size: int = 2000, refill: int = 10, seed: int | None = None) -> DataFrame:
+    """The rows of each partition in the order of buffered_shuffle, without a shuffle between partitions."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        held: list = []
+        rows = (row for batch in batches for row in batch.to_pylist())
+        for row in buffered_shuffle(rows, buffer_size=buffer_size, refill=refill, seed=seed):
+            held.append(row)
+            if len(held) >= buffer_size:
+                yield pa.RecordBatch.from_pylist(held, schema)
+                held = []
+        if held:
+            yield pa.RecordBatch.from_pylist(held, schema)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    schema = to_arrow_schema(frame.schema)
+    return frame.mapInArrow(run, frame.schema)

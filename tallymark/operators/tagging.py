@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.operators.arrays import any_nonzero, positive_map, strict_argmax, sum_arrays
-from tallymark.operators.rules import RuleSet, compile_rules, tag_values, with_slots
+from tallymark.operators.rules import RuleSet, compile_rules, once, tag_values, with_slots
 
 
 def _scored(frame: DataFrame, rules: RuleSet, data: str, apps: str, matcher: str) -> DataFrame:
@@ -22,7 +22,7 @@ def _scored(frame: DataFrame, rules: RuleSet, data: str, apps: str, matcher: str
 def with_tags(frame: DataFrame, rules: list[str], data: str = "data", apps: str = "apps", tags: str = "tags", scores: str | None = "scores", matcher: str = "auto") -> DataFrame:
     """The frame with its rows' tags and, unless scores is None, their slots."""
     compiled = compile_rules(rules)
-    scored = _scored(frame, compiled, data, apps, matcher).withColumn(tags, tag_values(compiled, F.col("_slots")))
+    scored = once(_scored(frame, compiled, data, apps, matcher).drop(tags), tags, tag_values(compiled, F.col("_slots")))
     return scored.withColumn(scores, F.col("_slots")).drop("_slots") if scores else scored.drop("_slots")
 
 
@@ -31,7 +31,7 @@ def with_label(frame: DataFrame, rules: list[str], data: str = "data", apps: str
     if len(rules) < 2:
         raise ValueError("a label needs two rules at least")
     tagged = with_tags(frame, rules, data, apps, tags, None, matcher)
-    return tagged.withColumn(label, strict_argmax(F.col(tags))).where(F.col(label).isNotNull())
+    return once(tagged.drop(label), label, strict_argmax(F.col(tags))).where(F.col(label).isNotNull())
 
 
 def row_tags(frame: DataFrame, rules: list[str], user: str = "userid", date: str = "date", **options) -> DataFrame:
@@ -56,7 +56,7 @@ def user_tags(scores: DataFrame, rules: list[str], user: str = "userid") -> Data
     if scores.schema["sub_scores"].dataType.typeName() != "array":
         scores = scores.withColumn("sub_scores", vector_to_array("sub_scores").cast("array<int>"))
     summed = sum_arrays(scores, user, "sub_scores", len(compiled.slots))
-    return summed.withColumn("tags", tag_values(compiled, F.col("sub_scores"))).where(any_nonzero(F.col("tags")))
+    return once(summed, "tags", tag_values(compiled, F.col("sub_scores"))).where(any_nonzero(F.col("tags")))
 
 
 def tag_map(tagged: DataFrame, names: list[str], tags: str = "tags") -> DataFrame:

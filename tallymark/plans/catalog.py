@@ -103,10 +103,22 @@ def sample_label_argmax(read) -> DataFrame:
     return found.select("userid", *[F.col("tags")[k].alias(f"tag_{k}") for k in range(3)], "label")
 
 
-@register()
+_MANY_WORDS = [a + b for a in ("th", "in", "er", "qu", "sch", "ei", "on") for b in ("e", "g", "en", "i")]
+
+
+def _overlapping(column: str, word: str) -> str:
+    """SQL that counts a word whose occurrences may share their one end: where it is doubled they do not."""
+    shared = word[0]
+    return occurrences(f"replace({column}, '{shared}', '{shared}{shared}')" if word[-1] == shared else column, word)
+
+
+@register(f"""
+with d as (select doc_id as userid, coalesce(text, '') as x from documents), t as (select userid, {", ".join(f"({' + '.join(_overlapping('x', w) for w in _MANY_WORDS[k::4])})::int as t{k}" for k in range(4))} from d)
+select * from t where {" or ".join(f"t{k} <> 0" for k in range(4))}
+""")
 def rule_many_words(read) -> DataFrame:
-    """Enough words for the automaton; the tests hold it against the native matcher."""
-    words = [a + b for a in ("th", "in", "er", "qu", "sch", "ei", "on") for b in ("e", "g", "en", "i")]
+    """Enough words for the automaton."""
+    words = _MANY_WORDS
     rules = [f"data_word=all:0:{','.join(words[k::4])}" for k in range(4)]
     return tagging.row_tags(_document_lines(read), rules).select("userid", *[F.col("tags")[k].alias(f"t{k}") for k in range(4)])
 
@@ -211,9 +223,26 @@ def date_window_public(read) -> DataFrame:
     return orders.where(samples.last_days(F.col("date"), "19970331", 90) & samples.public_version(F.col("o_orderpriority"))).select("o_orderkey", "o_orderpriority")
 
 
-@register()
+def draw_sql(key: str, seed: int = 17) -> str:
+    return f"('0x' || substr(md5('{seed}:' || {key}), 1, 8))::bigint"
+
+
+@register(f"""
+with n as (select quality, count(*) as n from labels where quality in (0, 1) group by quality)
+select doc_id, quality, toxic, quality::double as label from labels join n using (quality) where {draw_sql("doc_id")} * n < 100 * 4294967296
+""")
 def balanced_sample(read) -> DataFrame:
-    return samples.balanced(read("labels").withColumn("label", F.col("quality").cast("double")), 100)
+    return samples.balanced(read("labels").withColumn("label", F.col("quality").cast("double")), 100, key="doc_id")
+
+
+@register(f"select o_orderkey, o_custkey from orders where {draw_sql('o_orderkey', 5)} < {round(0.2 * (1 << 32))}")
+def uniform_sample(read) -> DataFrame:
+    return samples.uniform(read("orders").select("o_orderkey", "o_custkey"), 0.2, 5, "o_orderkey")
+
+
+@register("select supplier.* from supplier")
+def buffered_rows(read) -> DataFrame:
+    return samples.buffered(read("supplier"), buffer_size=16, refill=4, seed=3)
 
 
 @register("select quality, count(*) as n from labels group by quality")
@@ -221,12 +250,15 @@ def count_by_label(read) -> DataFrame:
     return read("labels").groupBy("quality").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("select count(*) as n, count(distinct c_custkey) as keys, 0::bigint as in_both from customer")
+@register(f"""
+with p as (select c_custkey, case when {draw_sql("c_custkey")} < {round(0.7 * (1 << 32))} then 1 else 2 end as part from customer)
+select count(*) as n, count(distinct c_custkey) as keys, 0::bigint as in_both, count(*) filter (part = 1) as first_part from p
+""")
 def hash_split(read) -> DataFrame:
     a, b = samples.hash_split(read("customer"), "c_custkey")
     both = a.select("c_custkey", F.lit(1).alias("part")).unionByName(b.select("c_custkey", F.lit(2).alias("part")))
-    per = both.groupBy("c_custkey").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("part").alias("parts"))
-    return per.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("keys"), F.sum(F.when(F.col("parts") > 1, 1).otherwise(0)).cast("long").alias("in_both"))
+    per = both.groupBy("c_custkey").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("part").alias("parts"), F.min("part").alias("first"))
+    return per.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("keys"), F.sum(F.when(F.col("parts") > 1, 1).otherwise(0)).cast("long").alias("in_both"), F.sum((F.col("first") == 1).cast("long")).alias("first_part"))
 
 
 @register("select s_suppkey, 3::bigint as n from supplier")
@@ -393,7 +425,7 @@ def _points(read) -> DataFrame:
 
 
 def _series_sql(angle: str, terms: tuple) -> str:
-    return "(" + " + ".join(f"{a} * sin(({angle}) * (pi() / {d!r}))" for a, d in terms) + ") * (2.0::double / 3.0)"
+    return "(" + " + ".join(f"{a} * sin(({angle}) * ({m!r} * pi() / {d!r}))" for a, m, d in terms) + ") * (2.0::double / 3.0)"
 
 
 _GCJ = "x - 0.0065 as gx, y - 0.006 as gy"
@@ -521,9 +553,9 @@ def ip_city(read) -> DataFrame:
     return found.select("o_orderkey", "c.province", "c.city")
 
 
-@register("select max(n_nationkey::bigint * 160000000 + 1000) as ip_begin from nation")
+@register(f"select max(n_nationkey::bigint * 160000000 + 1000) as ip_begin, [{', '.join(f"'{x}'" for x in _NAMES)}][max(n_nationkey) % {len(_NAMES)} + 1] as country from nation")
 def ip_last_range(read) -> DataFrame:
-    return _ranges(read).agg(F.max_by(F.struct("ip_begin", "country"), "ip_begin").alias("r")).select("r.ip_begin")
+    return _ranges(read).agg(F.max_by(F.struct("ip_begin", "country"), "ip_begin").alias("r")).select("r.ip_begin", "r.country")
 
 
 @register("""
@@ -581,3 +613,4 @@ def stacking_predict(read) -> DataFrame:
     return model.transform(rows).select("vec_id", "prediction", "prob")
 
 
+from tallymark.plans import catalog_files, catalog_models  # noqa: E402, F401  register more queries
