@@ -125,7 +125,7 @@ def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``first`` holds for one document of each component: the smallest identifier's, of several texts with
     it the one with the least text_hash (XXH64 of the text). Without ``similarity`` fingerprints link at
     ``distance`` (2) bits; with it texts link at that similarity of their sets of shingles, and
-    ``distance`` (28) is what the index prunes by. limits: unit_rows and unit_hashes of wording_links.
+    ``distance`` (28) is what the index prunes by. limits: unit_rows, unit_hashes and small of wording_links.
     """
     ship_package(docs.sparkSession)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")

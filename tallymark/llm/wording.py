@@ -223,11 +223,12 @@ def _units(rows: Column, hashes: Column, unit_rows: int, unit_hashes: int) -> Co
     return F.greatest(F.ceil(rows / unit_rows), F.ceil(hashes / unit_hashes), F.lit(1)).cast("int")
 
 
-def wording_links(slim: DataFrame, nodes: DataFrame, words: int, similarity: float, distance: int = DISTANCE, unit_rows: int = 4096, unit_hashes: int = 1 << 22) -> DataFrame:
+def wording_links(slim: DataFrame, nodes: DataFrame, words: int, similarity: float, distance: int = DISTANCE, unit_rows: int = 4096, unit_hashes: int = 1 << 22, small: int = 200_000) -> DataFrame:
     """Links (u, v) that connect all nodes at ``similarity`` or more.
 
     slim: doc_id, text_hash, text; nodes: node, fp, n, bands, and ``least``, a struct of the identifier
-    and the text's hash of one document of the node.
+    and the text's hash of one document of the node. At most ``small`` nodes with candidates, by a count,
+    are broadcast to the texts; else each text is shuffled once.
     """
     linked = components(_candidates(nodes))
     grouped = linked.union(linked.select(F.col("root").alias("u"), "root").distinct()).select(F.col("u").alias("node"), "root")
@@ -235,6 +236,7 @@ def wording_links(slim: DataFrame, nodes: DataFrame, words: int, similarity: flo
     units = members.groupBy("root").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("hashes")).select("root", _units(F.col("rows"), F.col("hashes"), unit_rows, unit_hashes).alias("units"))
     dealt = staged(members.join(units, "root").withColumn("unit", F.pmod(F.xxhash64(F.lit("unit"), "node"), "units").cast("int")).withColumn("part", F.col("node")), "candidate-groups")
     wanted = dealt.select(F.col("least.doc_id").alias("_id"), F.col("least.text_hash").alias("_hash"))
+    wanted = F.broadcast(wanted) if dealt.count() <= small else wanted
     own = slim.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left_semi").select("text")
     sets = staged(own.mapInArrow(_sets(words), "node long, hashes binary"), "shingle-sets")
     columns = ["root", "unit", "sent", "node", "fp", "part", "hashes"]

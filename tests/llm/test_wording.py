@@ -102,7 +102,7 @@ def test_groups_beyond_one_unit_lose_no_link(spark, unit_rows):
     rows = chained()
     want = groups(rows)
     assert 1 < len(set(want.values())) < 40
-    found = simhash_near_dedup(documents(spark, rows), words=5, similarity=0.8, unit_rows=unit_rows).collect()
+    found = simhash_near_dedup(documents(spark, rows), words=5, similarity=0.8, unit_rows=unit_rows, small=unit_rows).collect()
     assert {r.doc_id: r.component_id for r in found} == want
 
 
