@@ -14,8 +14,6 @@ from tallymark.functions.geo import RADIUS, degrees_of, haversine, plane_point
 
 #: A side is broadcast only if it has at most so many rows, which is checked; else it is shuffled.
 SMALL = 100_000
-#: Pieces of a hot cell or bucket that the large side is dealt into.
-SALT = 16
 
 
 def within_radius(points: DataFrame, places: DataFrame, metres: float, key: str = "aid", lng: str = "lng", lat: str = "lat", metric: str = "plane") -> DataFrame:
