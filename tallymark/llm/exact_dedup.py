@@ -265,6 +265,13 @@ def _of_payload(payload: bytes) -> tuple[bytes | None, bytes]:
     return (None if n < 0 else payload[_TEXT.size : _TEXT.size + n]), payload[_TEXT.size + max(n, 0) :]
 
 
+def _sliced(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time, as whole rows become Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _texts(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
@@ -279,10 +286,11 @@ def _combine_rows(flush_bytes: int, text_at: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = PatriciaTrie()
-        for batch in batches:
-            *columns, ids, texts = batch.columns
+        for batch in _sliced(batches):
+            *columns, ids = batch.columns
+            texts = columns.pop(text_at)
             points = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
-            others = [c.to_pylist() for k, c in enumerate(columns) if k != text_at]
+            others = [c.to_pylist() for c in columns]
             for doc_id, text, n, *rest in zip(ids.to_pylist(), _texts(texts), points, *others, strict=True):
                 trie.insert((text or b"").translate(None, SPACE), Owner(n, doc_id, 1, _payload(text, pickle.dumps(rest))))
                 if trie.size > flush_bytes:
@@ -305,7 +313,7 @@ def _own_rows(budget: int, schema: pa.Schema, text_at: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = PatriciaTrie(budget)
-        for batch in batches:
+        for batch in _sliced(batches):
             for text, points, owner, n_rows, rest in zip(*(batch.column(k).to_pylist() for k in range(2, 7)), strict=True):
                 trie.insert((text or b"").translate(None, SPACE), Owner(points, owner, n_rows, _payload(text, rest)))
         yield from batched(schema, rows(trie))
@@ -313,11 +321,11 @@ def _own_rows(budget: int, schema: pa.Schema, text_at: int):
     return run
 
 
-def first_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", flush_bytes: int = 48 << 20, trie_bytes: int = 128 << 20) -> DataFrame:
-    """The row that stays of each group of equal texts, with the columns of the input."""
+def first_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", flush_bytes: int = 16 << 20, trie_bytes: int = 64 << 20) -> DataFrame:
+    """The row that stays of each group of equal texts, with the columns of the input; the text is a string."""
     ship_package(docs.sparkSession)
     text_at = docs.columns.index(text_col)
     id_at, plain = docs.columns.index(id_col), docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])  # any names may be in use
-    whole = plain.select("*", F.col(f"c{id_at}").cast("long").alias("id"), F.col(f"c{text_at}").cast("string").alias("text"))
+    whole = plain.select("*", F.col(f"c{id_at}").cast("long").alias("id"))
     texts = whole.mapInArrow(_combine_rows(flush_bytes, text_at), "n_bytes long, content_hash long, text binary, points long, owner long, n_rows long, rest binary")
     return texts.repartition("n_bytes", "content_hash").mapInArrow(_own_rows(trie_bytes, to_arrow_schema(docs.schema), text_at), docs.schema)
