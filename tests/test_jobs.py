@@ -166,3 +166,11 @@ def test_entry_works_without_the_optional_operators(tmp_path):
     shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
     code = "import __spark_entry__ as e; q = e.queries(); assert 'rule_tag_direct' in q and not any(k.startswith('op1_') for k in q) and set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": ""})
+
+
+@pytest.mark.parametrize("name", ["rule_tag_direct", "rule_combo_threshold", "rule_query_flag", "rule_many_words", "rule_two_phase", "rule_sub_scores", "rule_app_atoms", "sample_label_argmax", "label_then_merge", "merge_then_label"])
+def test_lines_are_parsed_and_counted_once_a_row(spark, name):
+    """No filter of the optimised plan parses lines or records, and the automaton runs at most once."""
+    plan = catalog.QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in plan.split("\n") if "Filter" in x and ("substring_index" in x or "split(" in x)]
+    assert plan.count("ArrowEvalPython") <= 1 and (plan.count("ArrowEvalPython") == 1 or name != "rule_many_words")
