@@ -5,13 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallymark.llm.alignment import align_tokens
 from tallymark.llm.chat import read_chats, write_chats
 from tallymark.llm.exact_dedup import exact_dedup
+from tallymark.llm.filter_audit import filter_audit
 from tallymark.llm.language import identify_language
 from tallymark.llm.licenses import scan_licenses
 from tallymark.llm.mixing import mix_sources
 from tallymark.llm.packing import pack_sequences
+from tallymark.llm.pieces import decode_pieces, encode_pieces
 from tallymark.llm.simhash import simhash_near_dedup
 from tallymark.llm.token_files import read_token_files, write_token_files
 from tallymark.llm.topk import top_k
@@ -75,8 +79,28 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op11_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = vocabulary("piece_bpe_32k.model")
+    found = decode_pieces(encode_pieces(_table(spark, sf_dir, "documents"), model), model)
+    ids = F.concat_ws(",", F.col("piece_ids").cast("array<string>"))
+    return found.select("doc_id", F.size("piece_ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = align_tokens(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"), keep=lambda groups: F.when(groups == "", "").otherwise(F.sha2(groups, 256)))
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_packing, op3_language_id, op4_token_files, op5_top_k, op6_mixing, op7_chat, op8_warc, op9_simhash, op10_license_scan)}
+    found = (
+        op1_exact_dedup, op2_packing, op3_language_id, op4_token_files, op5_top_k, op6_mixing, op7_chat, op8_warc, op9_simhash, op10_license_scan, op11_pieces, op12_alignment, op13_filter_audit,
+    )
+    return {f.__name__: f for f in found}
 
 
 _OP1 = r"""
@@ -117,7 +141,31 @@ select page_id, payload_bytes,
 from b
 """
 
+_OP13 = r"""
+with l as (select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as bad from labels where doc_id is not null group by doc_id),
+w as (select doc_id, coalesce(source, '') as part, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+m as (select w.part, coalesce(l.good, 0) as good, coalesce(l.bad, 0) as bad,
+  [len(words) < 50, 100 * len(list_distinct(words)) < 65 * len(words), 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 5 * length(t),
+   regexp_matches(t, '[#$%&*|]'), coalesce(w.doc_id > min(w.doc_id) over (partition by t), min(w.doc_id) over (partition by t) is not null)] as f
+  from w left join l using (doc_id)),
+k as (select part, f, count(*) as n, sum(good) as good, sum(bad) as bad from m group by part, f),
+o as (select [a.x, b.x, c.x, d.x, e.x] as p from range(1, 6) a(x), range(1, 6) b(x), range(1, 6) c(x), range(1, 6) d(x), range(1, 6) e(x) where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s as (select p, list_aggregate([substr('ABCDE', x::int, 1) for x in p], 'string_agg', '') as filter_order, step, p[step] as own, p[1:step - 1] as earlier from o, range(1, 6) r(step)),
+c as (select part, filter_order, step, own,
+  sum(n) filter (not f[own] and not list_bool_or([f[x] for x in earlier] || [false])) as kept,
+  sum(n) filter (f[own] and not list_bool_or([f[x] for x in earlier] || [false])) as removed,
+  sum(n) filter (f[own] and list_bool_or([f[x] for x in earlier] || [false])) as redundant,
+  sum(n) filter (f[own] and len([x for x in f if x]) = 1) as unique_fails,
+  sum(good) filter (f[own] and not list_bool_or([f[x] for x in earlier] || [false])) as good_lost,
+  sum(bad) filter (f[own] and not list_bool_or([f[x] for x in earlier] || [false])) as toxic_lost
+  from k, s group by part, filter_order, step, own)
+select part, filter_order, step::int as step, coalesce(kept, 0)::bigint as kept, coalesce(removed, 0)::bigint as removed, coalesce(redundant, 0)::bigint as redundant,
+  coalesce(unique_fails, 0)::bigint as unique_fails, coalesce(good_lost, 0)::bigint as good_lost, coalesce(toxic_lost, 0)::bigint as toxic_lost,
+  (sum(coalesce(removed, 0)) over (partition by part, own))::bigint as shapley
+from c
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """For the others SQL gives no result: the tests hold them against brute force and exact round trips."""
-    return {"op1_exact_dedup": _OP1, "op5_top_k": _OP5, "op7_chat": _OP7, "op8_warc": _OP8}
+    return {"op1_exact_dedup": _OP1, "op5_top_k": _OP5, "op7_chat": _OP7, "op8_warc": _OP8, "op13_filter_audit": _OP13}
