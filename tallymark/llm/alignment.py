@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.llm.arrow import BATCH_ROWS
-from tallymark.llm.pieces import piece_encoder
+from tallymark.llm.pieces import HELD, piece_encoder
 from tallymark.llm.word_ids import PRINTED, encoder, slices
 from tallymark.session import ship_package, staged
 
@@ -43,7 +43,7 @@ _SCHEMA = pa.schema(
     [("row", pa.int64()), ("doc_id", pa.int64()), *[(x, pa.int64()) for x in ("n_a", "n_b", "n_groups", "n_links")], ("groups", pa.string()), ("pair", pa.int64()), ("n", pa.int32()), ("postings", pa.binary())]
 )
 #: Characters of a block of documents, inverted at once, and rows from whose number a partition's documents are counted.
-BLOCK_CHARS = 4 << 20
+BLOCK_CHARS = 2 << 20
 ROWS_OF_PART = 1 << 33
 
 _SIDES: dict[tuple[str, str], Sides] = {}
@@ -54,6 +54,7 @@ class Sides:
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = encoder(path_a, "<u4", special_as_text=True), piece_encoder(path_b)
+        self.a.held = HELD  # two encoders' tables lie in one process
         byte_of = {chr(c): b for b in range(256) for c in [PRINTED.get(b, b)]}
         with open(path_a, encoding="utf-8") as file:
             model = json.load(file)

@@ -47,7 +47,7 @@ CHARSMAP, DUMMY_PREFIX, REMOVE_EXTRA, ESCAPE = 2, 3, 4, 5
 NORMAL, UNKNOWN, BYTE, MERGES = 1, 2, 6, 2
 USER_DEFINED, UNUSED = 4, 5
 #: Entries of a table's newer half, and characters of a chunk in it at most.
-HELD, LONGEST = 400_000, 64
+HELD, LONGEST = 250_000, 64
 #: Ids of a decoder's call at most, one text at least.
 DECODED_IDS = 1 << 20
 
@@ -149,7 +149,10 @@ class _Lookup(dict):
             self.before = dict(self)
             self.clear()
         made = self.before.get(key)
-        self[key] = made = self.make(key) if made is None else made
+        if made is None:
+            made = self.make(key)
+        if len(key) <= LONGEST:
+            self[key] = made
         return made
 
 
@@ -165,7 +168,7 @@ class PieceIds:
         self.chunked = model.by_bytes and not any(SPACE in piece.lstrip(SPACE) for piece in model.ids)
         before = {a for piece in model.ids for a, b in pairwise(piece) if b in MARKS}  # these share a piece with a mark after them
         word = f"[^{re.escape(''.join(sorted(before | {SPACE, *MARKS})))}]+"
-        self.chunk = re.compile(f"{SPACE}+{word}(?=[{MARKS}])|{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+        self.chunk = re.compile(f"{SPACE}+{word}(?:(?=[{MARKS}])|[^{SPACE}]*)|{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
         self.fits = _Lookup(self._fits)
         self.shorter = _Lookup(self._shorter)
         self.known = _Lookup(self._chunk)
@@ -212,13 +215,13 @@ class PieceIds:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes."""
-        known, out = self.known, []
+        known, out = self.known.__getitem__, []
         for text in texts:
             escaped = text.replace(" ", SPACE)
             if text and self.model.prefix:
                 escaped = SPACE + escaped
             if self.chunked:
-                out.append(b"".join([known[x] if len(x) <= LONGEST else self._chunk(x) for x in self.chunk.findall(escaped)]))
+                out.append(b"".join(map(known, self.chunk.findall(escaped))))
             else:
                 out.append(self._chunk(escaped))
         return out

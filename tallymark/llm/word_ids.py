@@ -85,7 +85,7 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
         file = json.loads(self.tokenizer.to_str())
-        self.keep_space, self.dtype = keeps_space(file), dtype
+        self.keep_space, self.dtype, self.held = keeps_space(file), dtype, HELD
         # Strings that would be found by their own, in whatever case; all begin with the part that is searched for first.
         added = [x["content"] for x in file["added_tokens"] if not (special_as_text and x["special"])]
         self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
@@ -126,7 +126,7 @@ class WordIds:
             chunks = self.chunks(text)
             out.append(self._whole(text) if chunks is None else b"".join(map(ids, chunks)))
             for held in (self.known, self.pieces):
-                if len(held) > HELD:
+                if len(held) > self.held:
                     held.clear()
         return out
 
