@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallymark.operators import features
 from tallymark.operators.learners import BatchModel, StackingClassifier, StackingModel, boosted_trees, sparse_logistic, to_bytes
+from tallymark.operators.trainer import DenseNetwork, Plan, last_state, train
 from tallymark.plans.catalog import _APPS, _VOCABULARY_SQL, VOCABULARY, fixed, fixed_sql, register
 from tallymark.session import shared_path
 
@@ -131,3 +132,15 @@ def learners_on_separable_rows(read) -> DataFrame:
     same = again.select("vec_id", "prediction").exceptAll(stacked.transform(rows).select("vec_id", "prediction")).isEmpty()
     scores = (rows.count(), right(loaded) >= 0.95, right(trees.fit(rows).transform(rows)) >= 0.95, right(again) >= 0.95, same)
     return spark.createDataFrame([scores], "n long, logistic boolean, trees boolean, stacked boolean, reloaded boolean")
+
+
+@register("select count(*) as n, true as accurate, true as falling, true as kept from embeddings")
+def network_by_barrier(read) -> DataFrame:
+    """A network trained by all ranks of barrier stages, its states in the shared folder: which side of 0 a component lies on."""
+    rows = read("embeddings").select("vec_id", "embedding", (F.col("embedding")[0] > 0).cast("int").alias("label"))
+    network, folder = DenseNetwork((64, 2)), shared_path(rows.sparkSession, "network-states")
+    state = train(rows, network, ["embedding"], plan=Plan(epochs=8, batch_rows=1 << 20, rate=8.0), folder=folder)
+    found = BatchModel(network=network.to_bytes(state.best), inputCols=["embedding"]).transform(rows)
+    n, right = found.agg(F.count("*"), F.count_if(F.col("prediction") == F.col("label"))).first()
+    scores = (n, right >= 0.95 * n, state.best_loss < 0.5 * state.losses[0], last_state(folder).losses == state.losses)
+    return rows.sparkSession.createDataFrame([scores], "n long, accurate boolean, falling boolean, kept boolean")
