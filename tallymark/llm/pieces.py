@@ -47,7 +47,7 @@ CHARSMAP, DUMMY_PREFIX, REMOVE_EXTRA, ESCAPE = 2, 3, 4, 5
 NORMAL, UNKNOWN, BYTE, MERGES = 1, 2, 6, 2
 USER_DEFINED, UNUSED = 4, 5
 #: Entries of a table's newer half, and characters of a chunk in it at most.
-HELD, LONGEST = 250_000, 64
+HELD, LONGEST = 350_000, 64
 #: Ids of a decoder's call at most, one text at least.
 DECODED_IDS = 1 << 20
 
@@ -126,6 +126,8 @@ class PieceModel:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
     def ids_of(self, pieces: list[str]) -> array:
+        if all(map(self.ids.__contains__, pieces)):
+            return array("I", map(self.ids.__getitem__, pieces))
         out, unknown = array("I"), False
         for piece in pieces:
             known = self.ids.get(piece)
@@ -163,7 +165,7 @@ class PieceIds:
         self.model = model = PieceModel(path)
         self.longest = ahocorasick.Automaton()
         for piece in model.ids:
-            self.longest.add_word(piece[::-1], len(piece))
+            self.longest.add_word(piece[::-1], piece)
         self.longest.make_automaton()
         self.chunked = model.by_bytes and not any(SPACE in piece.lstrip(SPACE) for piece in model.ids)
         before = {a for piece in model.ids for a, b in pairwise(piece) if b in MARKS}  # these share a piece with a mark after them
@@ -187,26 +189,29 @@ class PieceIds:
     def pieces(self, text: str) -> list[str]:
         """The pieces of an escaped text."""
         n = len(text)
-        longest, ended = [1] * n, -1
-        for end, length in self.longest.iter(text[::-1]):
+        longest, ended = list(text), -1
+        for end, piece in self.longest.iter(text[::-1]):
             if end != ended:  # the first that ends here is the longest
-                longest[-1 - end] = length
+                longest[-1 - end] = piece
                 ended = end
-        failed, fits, shorter = bytearray(n // 8 + 1), self.fits, self.shorter
+        failed, fits, shorter = None, self.fits, self.shorter
         out: list[str] = []
-        at, piece = 0, text[: longest[0]] if n else ""
+        at, last, piece = 0, "", longest[0] if n else ""
         while at < n:
             end = at + len(piece)
-            if not failed[end >> 3] >> (end & 7) & 1 and fits[out[-1] if out else "", piece]:
+            if (failed is None or not failed[end >> 3] >> (end & 7) & 1) and fits[last, piece]:
                 out.append(piece)
-                at = end
+                at, last = end, piece
                 if at < n:
-                    piece = text[at : at + longest[at]]
+                    piece = longest[at]
             elif len(piece) > 1:
                 piece = shorter[piece]
             else:
+                if failed is None:
+                    failed = bytearray(n // 8 + 1)
                 failed[at >> 3] |= 1 << (at & 7)
                 piece = out.pop()
+                last = out[-1] if out else ""
                 at -= len(piece)
         return out
 
