@@ -260,9 +260,9 @@ def train(frame: DataFrame, network: Network, inputs: list[str], label: str = "l
     return state
 
 
-def barrier_training(rows: DataFrame, options: dict) -> bytes:
+def barrier_training(rows: DataFrame, options: dict, rate: float = 0.05) -> bytes:
     """A function for ``NetworkClassifier(train=...)``: a dense network, fitted by ``train``, as npz bytes."""
     first = rows.select(F.size(F.concat(*[_numbers(rows, x) for x in options["input_cols"]]))).first()
     network = DenseNetwork((first[0] if first else 1, *options["hidden"], options["classes"]))
-    plan = Plan(epochs=options["epochs"], batch_rows=options["batch_size"], seed=options["seed"])
+    plan = Plan(epochs=options["epochs"], batch_rows=options["batch_size"], rate=rate, seed=options["seed"])
     return network.to_bytes(train(rows, network, options["input_cols"], options["label"], plan).best)
