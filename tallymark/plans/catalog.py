@@ -13,7 +13,7 @@ from tallymark.functions.des import des_decrypt, des_encrypt
 from tallymark.functions.ids import combined_id, from_long_form, md5_id, to_long_form
 from tallymark.functions.ip import LONG_NAMES, MUNICIPALITIES, PROVINCES, REGIONS, ip_number, province_city
 from tallymark.functions.records import app_record, first_geo, impressions
-from tallymark.operators import evaluation, features, samples, tagging
+from tallymark.operators import evaluation, features, programs, samples, tagging
 from tallymark.operators.arrays import latest_merge, sum_maps
 from tallymark.operators.learners import StackingClassifier, boosted_trees, sparse_logistic
 from tallymark.operators.lookups import college_places, hash_lookup, range_lookup, within_radius
@@ -123,6 +123,31 @@ def rule_many_words(read) -> DataFrame:
     return tagging.row_tags(_document_lines(read), rules).select("userid", *[F.col("tags")[k].alias(f"t{k}") for k in range(4)])
 
 
+#: Words of two different letters, so that none overlaps itself.
+_SYLLABLES = [a + b for a in "bcdfghjklmnpqrstvwxz" for b in "aeiou"]
+
+
+@register(f"""
+with w as (select unnest({_SYLLABLES}) as w, unnest(range({len(_SYLLABLES)})) as k),
+c as (select doc_id, k, ((length(x) - length(replace(x, w, ''))) // 2)::int as n from (select doc_id, coalesce(text, '') as x from documents), w),
+t as (select a.doc_id, a.k * {len(_SYLLABLES)} + b.k as place, least(a.n, b.n) as score from c a join c b on a.doc_id = b.doc_id and a.n > 0 and b.n > 0),
+s as (select doc_id, count(*)::int as n_tags, sum(score)::bigint as total, sum((place % 997) * score)::bigint as weighted from t group by doc_id)
+select d.doc_id, coalesce(n_tags, 0)::int as n_tags, coalesce(total, 0)::bigint as total, coalesce(weighted, 0)::bigint as weighted,
+  case when regexp_full_match(source, 'src[0-9]{{1,5}}') then {occurrences("coalesce(text, '')", "the")} else 0 end::int as by_apps from documents d left join s using (doc_id)
+""")
+def rule_thousands(read) -> DataFrame:
+    """Ten thousand rules, and one that names a hundred thousand apps, as one program."""
+    pairs = [f"data_word=all:0:{a}+{b}" for a in _SYLLABLES for b in _SYLLABLES]
+    apps = f"data_word={','.join(f'src{k}' for k in range(100_000))}:0:the"
+    found = programs.with_program_tags(_document_lines(read).select(F.col("userid").alias("doc_id"), "data"), [*pairs, apps])
+    of_pairs, last = F.filter("tags", lambda x: x["place"] < len(pairs)), F.filter("tags", lambda x: x["place"] == len(pairs))
+    add = lambda column, value: F.aggregate(column, F.lit(0).cast("long"), lambda acc, x: acc + value(x))
+    return found.select(
+        "doc_id", F.size(of_pairs).alias("n_tags"), add(of_pairs, lambda x: x["score"]).alias("total"), add(of_pairs, lambda x: (x["place"] % 997) * x["score"]).alias("weighted"),
+        add(last, lambda x: x["score"]).cast("int").alias("by_apps"),
+    )
+
+
 # Rules over events: a user's day is a row; a line is event_type:event_id:props:flag.
 
 EVENT_RULES = ["data_word=click,view:0:{9}[5-60]", "data_word=all:1:1+2,3", "apps_days=click+view & !apps_freq=signup", "(apps_list=purchase|apps_freq=error)\r3-30\f"]
@@ -141,17 +166,29 @@ r as (select userid, date, coalesce(sum({occurrences("p", "9")}) filter (app in
 """
 
 
-@register(f"""
+_EVENT_TAGS = f"""
 with {_EVENT_SLOTS},
 u as (select userid, {", ".join(f"sum(s{k})::int as s{k}" for k in range(8))} from r group by userid),
 t as (select *, case when s0 between 5 and 60 then s0 else 0 end as t0, s1 + s2 as t1, least(least(s3, s4), case when s5 > 0 then 0 else 1 end) as t2, case when s6 + s7 between 3 and 30 then s6 + s7 else 0 end as t3 from u)
 select userid, {", ".join(f"s{k}" for k in range(8))}, {", ".join(f"t{k}::int as t{k}" for k in range(4))} from t where t0 <> 0 or t1 <> 0 or t2 <> 0 or t3 <> 0
-""")
+"""
+
+
+@register(_EVENT_TAGS)
 def rule_two_phase(read) -> DataFrame:
     found = tagging.user_tags(tagging.sub_scores(_event_rows(read), EVENT_RULES), EVENT_RULES)
     return found.select("userid", *[F.col("sub_scores")[k].alias(f"s{k}") for k in range(8)], *[F.col("tags")[k].alias(f"t{k}") for k in range(4)])
 
 
+@register(_EVENT_TAGS)
+def rule_program_two_phase(read) -> DataFrame:
+    """The same by a compiled program: sparse slots of a day, summed by user."""
+    found = programs.program_user_tags(programs.with_program_slots(_event_rows(read), EVENT_RULES), EVENT_RULES)
+    place = lambda column, k: F.coalesce(F.get(F.filter(column, lambda x: x["place"] == k), F.lit(0))["score"], F.lit(0))
+    return found.select("userid", *[place("slots", k).alias(f"s{k}") for k in range(8)], *[place("tags", k).alias(f"t{k}") for k in range(4)])
+
+
+
 @register(f"with {_EVENT_SLOTS} select userid, {', '.join(f's{k}::int as s{k}' for k in range(8))} from r where {' or '.join(f's{k} <> 0' for k in range(8))}")
 def rule_sub_scores(read) -> DataFrame:
     return tagging.sub_scores(_event_rows(read), EVENT_RULES).select("userid", *[F.col("sub_scores")[k].alias(f"s{k}") for k in range(8)])
