@@ -15,12 +15,21 @@ from tallymark.functions import geo
 from tallymark.functions.des import des_encrypt
 from tallymark.functions.ids import cell_values
 from tallymark.operators import evaluation, tagging
-from tallymark.operators.lookups import city_centres, city_of, range_lookup
+from tallymark.operators.lookups import city_centres, range_lookup
+from tallymark.operators.polygons import with_city, with_shapes
 from tallymark.plans.catalog import _IP_SQL, _addresses, _event_rows, _ranges, _scored, fixed, fixed_sql, register
 from tallymark.session import shared_path
 from tallymark.sources import ip_ranges, readers, writers
 
 
+def _dictionary(frame: DataFrame, size: int = 100_000) -> list:
+    """The rows of a dictionary that a driver holds; a larger table is an error."""
+    rows = frame.limit(size + 1).collect()
+    if len(rows) > size:
+        raise ValueError(f"more than {size} rows for a dictionary")
+    return rows
+
+
 def _put(path: str, data: bytes) -> str:
     """A small file in the shared folder."""
     system, name = fs.FileSystem.from_uri(path)
@@ -101,7 +110,7 @@ def key_value_dictionary(read) -> DataFrame:
 def vocabulary_lines(read) -> DataFrame:
     nation = read("nation")
     spark = nation.sparkSession
-    names = [r.n_name for r in nation.select("n_name").orderBy("n_name").limit(1000).collect()]
+    names = [r.n_name for r in _dictionary(nation.select("n_name").orderBy("n_name"))]
     path = _put(f"{shared_path(spark, 'vocabulary')}/vocab.txt", "".join(f" {x} \n" for x in names).encode())
     return readers.numbered_lines(spark, path)
 
@@ -216,7 +225,7 @@ def ip_dictionary_file(read) -> DataFrame:
 
     ranges = _ranges(read)
     spark = ranges.sparkSession
-    rows = sorted((r.ip_begin, r.ip_end, r.country, "area") for r in ranges.limit(1000).collect())
+    rows = sorted((r.ip_begin, r.ip_end, r.country, "area") for r in _dictionary(ranges))
     packed, state, head = zlib.compress(ip_ranges.build(rows)), 77, bytearray()
     for byte in packed[:0x200]:
         state = (state * 0x805 + 1) & 0xFF
@@ -232,9 +241,9 @@ def ip_dictionary_file(read) -> DataFrame:
 _CENTRE = "(80.0 + (n_nationkey % 5) * 8.0)::double as clng, (10.0 + (n_nationkey // 5) * 7.0)::double as clat"
 
 
-def _districts(spark, nation: DataFrame) -> tuple[DataFrame, dict]:
-    """The districts' file, as a frame, and shapes from a folder of GeoJSON: a square of six degrees around each centre."""
-    rows = [(r.n_name, 80.0 + (r.n_nationkey % 5) * 8.0, 10.0 + (r.n_nationkey // 5) * 7.0) for r in nation.orderBy("n_nationkey").limit(1000).collect()]
+def _districts(spark, nation: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The districts' file and the shapes as frames: shapes from a folder of GeoJSON: a square of six degrees around each centre."""
+    rows = [(r.n_name, 80.0 + (r.n_nationkey % 5) * 8.0, 10.0 + (r.n_nationkey // 5) * 7.0) for r in _dictionary(nation.orderBy("n_nationkey"))]
     centre = lambda x, y: {"longitude": x, "latitude": y}
     whole = {"districts": [{"name": "P", "center": centre(0.0, 0.0), "districts": [{"name": f"市{name}市", "center": centre(x, y)} for name, x, y in rows]}]}
     folder = shared_path(spark, "places")
@@ -243,7 +252,7 @@ def _districts(spark, nation: DataFrame) -> tuple[DataFrame, dict]:
         features = [{"type": "Feature", "properties": {"name": name}, "geometry": {"type": "Polygon", "coordinates": [[[x - 3, y - 3], [x + 3, y - 3], [x + 3, y + 3], [x - 3, y + 3], [x - 3, y - 3]]]}} for name, x, y in rows[k : k + 10]]
         _put(f"{folder}/shapes/{k}.json", json.dumps([{"type": "FeatureCollection", "features": features}]).encode())
     schema = "districts array<struct<name:string,center:struct<longitude:double,latitude:double>,districts:array<struct<name:string,center:struct<longitude:double,latitude:double>>>>>"
-    return spark.read.schema(schema).option("multiLine", True).json(path), readers.geojson_shapes(spark, f"{folder}/shapes")
+    return spark.read.schema(schema).option("multiLine", True).json(path), readers.geojson_polygons(spark, f"{folder}/shapes")
 
 
 @register(f"select 'P' as province, n_name as city, clng as lng, clat as lat from (select n_name, {_CENTRE} from nation)")
@@ -262,10 +271,28 @@ def city_of_point(read) -> DataFrame:
     customer, nation = read("customer"), read("nation")
     spark = nation.sparkSession
     districts, shapes = _districts(spark, nation)
-    centres = {r.city: (r.lng, r.lat) for r in city_centres(districts).limit(1000).collect()}
+    centres = {r.city: (r.lng, r.lat) for r in _dictionary(city_centres(districts))}
     k = F.col("c_custkey")
     points = customer.select(k, (F.lit(70.05) + (k * 37 % 6900) / 100.0).alias("lng"), (F.lit(2.03) + (k * 53 % 5300) / 100.0).alias("lat"))
-    return points.select("c_custkey", city_of(F.col("lng"), F.col("lat"), centres, shapes).alias("city"))
+    return with_city(points, "lng", "lat", centres, shapes).select("c_custkey", "city")
+
+
+@register("""
+with p as (select c_custkey, (70.055 + (c_custkey * 37 % 6900) / 100.0)::double as x, (2.035 + (c_custkey * 53 % 5300) / 100.0)::double as y from customer),
+s as (select n_nationkey, 80.0 + (n_nationkey % 5) * 8.0 as cx, 10.0 + (n_nationkey // 5) * 7.0 as cy from nation),
+h as (select c_custkey, n_nationkey from p, s where greatest(abs(x - cx), abs(y - cy)) < 3 and greatest(abs(x - cx), abs(y - cy)) > 1.015 or abs(x - cx - 4) + abs(y - cy) < 1)
+select c_custkey, count(n_nationkey)::int as n_shapes, coalesce(sum(n_nationkey), 0)::bigint as keys from p left join h using (c_custkey) group by c_custkey
+""")
+def points_in_polygons(read) -> DataFrame:
+    """Polygons of two parts, a square with a hole and a diamond that may lie over a neighbour, from the nations' keys."""
+    k, n = F.col("c_custkey"), F.col("n_nationkey")
+    points = read("customer").select(k, (F.lit(70.055) + (k * 37 % 6900) / 100.0).alias("lng"), (F.lit(2.035) + (k * 53 % 5300) / 100.0).alias("lat"))
+    x, y = 80.0 + (n % 5) * 8.0, 10.0 + F.floor(n / 5) * 7.0
+    ring = lambda at: F.array(*[F.struct((x + a).alias("x"), (y + b).alias("y")) for a, b in at])
+    square = lambda r: ring([(-r, -r), (r, -r), (r, r), (-r, r), (-r, -r)])
+    holed, diamond = F.array(square(3), square(1.015)), F.array(ring([(3, 0), (4, 1), (5, 0), (4, -1)]))
+    shapes = read("nation").select(n.cast("string").alias("name"), F.posexplode(F.array(holed, diamond)).alias("part", "rings"))
+    return with_shapes(points, "lng", "lat", shapes).select("c_custkey", F.size("shapes").alias("n_shapes"), F.aggregate("shapes", F.lit(0).cast("long"), lambda a, s: a + s.cast("long")).alias("keys"))
 
 
 @register("select count(*) as n, count(distinct n_name) as names from nation")

@@ -73,6 +73,20 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return rows.groupBy(F.trim(F.col("line")).alias("token")).agg(F.max("id").alias("id"))
 
 
+def geojson_polygons(spark: SparkSession, folder: str) -> DataFrame:
+    """(name, part, rings) of all polygons of a folder's GeoJSON files, each one collection or a list of them.
+
+    A row for each part of a MultiPolygon; other geometries and features without a name or place give none.
+    """
+    feature = "struct<properties:struct<name:string>,geometry:struct<type:string,coordinates:string>>"
+    whole = spark.read.text(folder, wholetext=True).select(F.from_json("value", f"array<struct<features:array<{feature}>>>").alias("c"))
+    each = whole.select(F.explode("c").alias("c")).select(F.explode("c.features").alias("f")).select("f.properties.name", "f.geometry.type", "f.geometry.coordinates")
+    rings = "array<array<array<double>>>"
+    parts = F.when(F.col("type") == "Polygon", F.array(F.from_json("coordinates", rings))).when(F.col("type") == "MultiPolygon", F.from_json("coordinates", f"array<{rings}>"))
+    found = each.where("name is not null").select("name", F.posexplode(parts).alias("part", "rings"))
+    return found.select("name", "part", F.transform("rings", lambda ring: F.transform(ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))).alias("rings"))
+
+
 def geojson_shapes(spark: SparkSession, folder: str) -> dict[str, dict]:
     """name -> geometry of all features of the GeoJSON files of a folder: a dictionary of places."""
     rows = spark.read.text(folder, wholetext=True).collect()
