@@ -14,6 +14,7 @@ from tallymark.functions.ids import combined_id, from_long_form, md5_id, to_long
 from tallymark.functions.ip import LONG_NAMES, MUNICIPALITIES, PROVINCES, REGIONS, ip_number, province_city
 from tallymark.functions.records import app_record, first_geo, impressions
 from tallymark.operators import evaluation, features, programs, samples, tagging
+from tallymark.operators import matches as matching
 from tallymark.operators.arrays import latest_merge, sum_maps
 from tallymark.operators.learners import StackingClassifier, boosted_trees, sparse_logistic
 from tallymark.operators.lookups import college_places, hash_lookup, range_lookup, within_radius
@@ -123,6 +124,33 @@ def rule_many_words(read) -> DataFrame:
     return tagging.row_tags(_document_lines(read), rules).select("userid", *[F.col("tags")[k].alias(f"t{k}") for k in range(4)])
 
 
+#: Words of which some lie in others; none overlaps itself.
+_NESTED = ["tion", "ion", "the", "he", "then", "sch", "und", "der", "er", "que", "ción", "qu"]
+_RARE = ["benchmark", "license", "@", "password", "zz"]
+
+
+@register(f"""
+with w as (select unnest({_NESTED}) as word), p as (select doc_id, word, string_split(text, word) as parts from documents, w where text is not null),
+u as (select doc_id, word, unnest(parts) as part, unnest(range(len(parts))) as k, len(parts) as n from p where len(parts) > 1),
+b as (select doc_id, word, k, n, sum(length(part)) over (partition by doc_id, word order by k) + k * length(word) as place from u)
+select doc_id, word, count(*)::bigint as n, sum(place)::bigint as begins, sum(place + length(word))::bigint as ends from b where k < n - 1 group by doc_id, word
+""")
+def word_matches(read) -> DataFrame:
+    each = read("documents").select("doc_id", F.inline(matching.matches(F.col("text"), _NESTED)))
+    return each.groupBy("doc_id", "word").agg(F.count("*").alias("n"), F.sum("begin").alias("begins"), F.sum("end").alias("ends"))
+
+
+@register(f"select doc_id, list_aggregate(list_sort([w for w in {_NESTED} if contains(text, w)]), 'string_agg', ',') as words from documents where text is not null")
+def word_matches_distinct(read) -> DataFrame:
+    found = read("documents").where("text is not null").select("doc_id", matching.matched_words(F.col("text"), _NESTED).alias("w"))
+    return found.select("doc_id", F.when(F.size("w") > 0, F.concat_ws(",", "w")).alias("words"))
+
+
+@register(f"select doc_id, {' or '.join(f"contains(text, '{w}')" for w in _RARE)} as found from documents")
+def word_matches_any(read) -> DataFrame:
+    return read("documents").select("doc_id", matching.has_match(F.col("text"), _RARE).alias("found"))
+
+
 #: Words of two different letters, so that none overlaps itself.
 _SYLLABLES = [a + b for a in "bcdfghjklmnpqrstvwxz" for b in "aeiou"]
 
