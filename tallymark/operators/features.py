@@ -4,18 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import SparseVector, Vectors, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallymark.functions.records import app_records
+from tallymark.operators.sparse import PARTS, Places, number_of, numbers_of, parts_of, rows_of, sparse_list, to_dense, to_vector
+from tallymark.operators.sparse import sparse as sparse_of
 
 # Ids of the vocabulary's first entries, as the encoder uses them.
 PAD, UNKNOWN, END, QUERY, NO_QUERY = 0, 1, 2, 4, 5
@@ -86,19 +89,16 @@ class Encoder:
 
     def app_list(self, apps: Column) -> Column:
         """Multi-hot array<int> over the app list; unknown apps and malformed records are skipped."""
-        return self._apps(apps, "list")
+        return self.app_features(apps)["list"]
 
     def app_index(self, apps: Column) -> Column:
         """Places in the app list, unknown as 1, cut and padded with 0 to app_length."""
         length = self.app_length or len(self.apps)
-        places = F.create_map(*[F.lit(x) for pair in self.apps.items() for x in pair]) if self.apps else F.create_map().cast("map<string,int>")
-        names = F.transform(F.filter(F.coalesce(apps, F.array().cast("array<string>")), lambda x: x.isNotNull()), lambda x: F.coalesce(F.try_element_at(places, F.substring_index(x, ":", 1)), F.lit(UNKNOWN)))
+        apps = F.filter(F.coalesce(apps, F.array().cast("array<string>")), lambda x: x.isNotNull())
+        names = numbers_of(F.transform(F.slice(apps, 1, length), lambda x: F.substring_index(x, ":", 1)), self.apps, UNKNOWN)
         cut = F.slice(names, 1, length)
         return F.concat(cut, F.array_repeat(F.lit(PAD), F.lit(length) - F.size(cut)))
 
-    def _apps(self, apps: Column, what: str) -> Column:
-        return self.app_features(apps)[what]
-
     def app_features(self, apps: Column, data: Column | None = None, sparse: bool = False) -> Column:
         """struct(list, freq, dur, sys) over the app list, dense arrays or sparse vectors.
 
@@ -106,69 +106,72 @@ class Encoder:
         record with a malformed number or too few fields is skipped; of an app's records the last
         counts. With ``data``, the apps of the lines are in the list too.
         """
-        places, n = self.apps, len(self.apps)
-
-        def row(records, lines) -> tuple[dict, dict, dict, dict]:
-            found = ({}, {}, {}, {})
-            for record in records if records is not None else ():
-                part = record.split(":") if record is not None else []
-                place = places.get(part[0]) if len(part) >= 4 else None
-                if place is None:
-                    continue
-                try:
-                    values = 1.0, float(part[2] or 0), float(part[3] or 0), -1.0 if part[1] in ("", "2") else float(part[1])
-                except ValueError:
-                    continue
-                for target, value in zip(found, values, strict=True):
-                    target[place] = value
-            for line in lines if lines is not None else ():
-                place = places.get(line.split(":", 1)[0]) if line is not None else None
-                if place is not None:
-                    found[0][place] = 1.0
-            return found
-
-        if sparse:
-            kind = T.StructType([T.StructField(k, VectorUDT()) for k in ("list", "freq", "dur", "sys")])
-
-            @F.udf(kind)
-            def vectors(records, lines):
-                return tuple(Vectors.sparse(n, {k: v for k, v in sorted(x.items()) if v}) for x in row(records, lines))
-
-            return vectors(apps, data if data is not None else F.lit(None).cast("array<string>"))
-
-        @F.pandas_udf("list array<double>, freq array<double>, dur array<double>, sys array<double>")
-        def dense(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-            for records, lines in batches:
-                made = [[[x.get(k, 0.0) for k in range(n)] for x in row(r, d)] for r, d in zip(records, lines, strict=True)]
-                yield pd.DataFrame(made, columns=["list", "freq", "dur", "sys"])
-
-        return dense(apps, data if data is not None else F.lit(None).cast("array<string>"))
+        parts = self.app_parts(apps, data)
+        kinds = ("list", "freq", "dur", "sys")
+        made = [sparse_of(len(self.apps), parts[k]) for k in kinds]
+        return F.struct(*[(to_vector(x) if sparse else to_dense(x)).alias(k) for k, x in zip(kinds, made, strict=True)])
+
+    def app_parts(self, apps: Column, data: Column | None = None) -> Column:
+        """app_features as struct(list, freq, dur, sys) of struct(indices, values)."""
+        places = Places(self.apps)
+        records = F.transform(F.filter(F.coalesce(apps, F.array().cast("array<string>")), lambda x: x.isNotNull()), _app_values)
+        records = F.filter(records, lambda r: r["freq"].isNotNull() & r["dur"].isNotNull() & r["sys"].isNotNull())
+        lines = F.transform(F.coalesce(F.lit(None) if data is None else data, F.array()).cast("array<string>"), lambda x: F.substring_index(x, ":", 1))
+
+        @F.arrow_udf(f"struct<list:{PARTS},freq:{PARTS},dur:{PARTS},sys:{PARTS}>")
+        def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            for own, more in batches:
+                n, items = len(own), own.flatten()
+                row, place = rows_of(own), places(items.field("name"))
+                order = np.lexsort((np.arange(len(row)), place, row))  # of an app's records the last counts
+                key = row[order] * (1 << 32) + place[order]
+                order = order[np.r_[key[1:] != key[:-1], True] & (place[order] >= 0)] if len(order) else order
+                row, place = row[order], place[order]
+                found, line = places(more.flatten()), rows_of(more)
+                key = np.unique(np.r_[row * (1 << 32) + place, line[found >= 0] * (1 << 32) + found[found >= 0]])
+                parts = [parts_of(key >> 32, key & 0xFFFFFFFF, np.ones(len(key)), n)]
+                parts += [parts_of(row, place, items.field(k).to_numpy(zero_copy_only=False)[order], n) for k in ("freq", "dur", "sys")]
+                yield pa.StructArray.from_arrays(parts, ["list", "freq", "dur", "sys"])
+
+        return run(records, lines)
 
     def profile(self, fields: dict[str, Column]) -> Column:
         """Concatenated one-hot array<double> of the fields in the dictionaries; an unknown value gives zeros."""
-        parts = []
+        found = self.profile_sparse(fields)
+        return to_dense(found)
+
+    def profile_sparse(self, fields: dict[str, Column]) -> Column:
+        """profile as struct(size, indices, values)."""
+        places, before = [], 0
         for name, values in self.categories.items():
             value = F.coalesce(fields[name].cast("string") if name in fields else F.lit(None).cast("string"), F.lit("-1"))
-            parts.append(F.array(*[F.when(value == v, 1.0).otherwise(0.0) for v in sorted(values, key=values.get)]))
-        return F.concat(*parts) if parts else F.array().cast("array<double>")
+            places.append(number_of(value, {v: before + k for k, v in enumerate(sorted(values, key=values.get))}))
+            before += len(values)
+        indices = F.array_compact(F.array(*places)) if places else F.array().cast("array<int>")
+        return F.struct(F.lit(before).alias("size"), indices.alias("indices"), F.transform(indices, lambda _: F.lit(1.0)).alias("values"))
 
 
-def dense_to_sparse(vector: Column) -> Column:
-    """A vector with only its non-zero values stored."""
+# Fixed value: how the numbers of an app record may be written.
+NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 
-    @F.udf(VectorUDT())
-    def run(v):
-        if v is None:
-            return None
-        values = v.toArray()
-        kept = values.nonzero()[0]
-        return SparseVector(len(values), kept.tolist(), values[kept].tolist())
 
-    return run(vector)
+def _app_values(record: Column) -> Column:
+    """struct(name, freq, dur, sys) of a record app:is_sys:freq:dur[:...]; a malformed or missing number is null."""
+    part = F.split(record, ":", -1)
+    number = lambda k: F.when(F.get(part, F.lit(k)) == "", 0.0).when(F.get(part, F.lit(k)).rlike(NUMBER), F.get(part, F.lit(k)).try_cast("double"))
+    system = F.when(F.get(part, F.lit(1)).isin("", "2"), -1.0).otherwise(number(1))
+    return F.struct(part[0].alias("name"), number(2).alias("freq"), number(3).alias("dur"), system.alias("sys"))
+
+
+def dense_to_sparse(vector: Column) -> Column:
+    """A vector with only its non-zero values stored."""
+    values = vector_to_array(F.coalesce(vector, array_to_vector(F.array().cast("array<double>"))))  # which takes no null
+    return F.when(vector.isNotNull(), to_vector(sparse_list(values)))
 
 
 def list_to_sparse(values: Column) -> Column:
-    return dense_to_sparse(array_to_vector(values.cast("array<double>")))
+    """A list of numbers as such a vector."""
+    return to_vector(sparse_list(values))
 
 
 def vectors_to_arrays(frame: DataFrame, columns: list[str]) -> DataFrame:
