@@ -52,7 +52,7 @@ HELD, LONGEST = 350_000, 64
 DECODED_IDS = 1 << 20
 
 _ENCODERS: dict[str, PieceIds] = {}
-_DECODERS: dict[str, SentencePieceProcessor] = {}
+_DECODERS: dict[str, PieceText] = {}
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -126,8 +126,6 @@ class PieceModel:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
     def ids_of(self, pieces: list[str]) -> array:
-        if all(map(self.ids.__contains__, pieces)):
-            return array("I", map(self.ids.__getitem__, pieces))
         out, unknown = array("I"), False
         for piece in pieces:
             known = self.ids.get(piece)
@@ -142,12 +140,12 @@ class PieceModel:
 class _Lookup(dict):
     """A bounded table that is filled when asked; entries not asked for while it filled twice are dropped."""
 
-    def __init__(self, make):
+    def __init__(self, make, held: int):
         super().__init__()
-        self.make, self.before = make, {}
+        self.make, self.held, self.before = make, held, {}
 
     def __missing__(self, key):
-        if len(self) >= HELD:
+        if len(self) >= self.held:
             self.before = dict(self)
             self.clear()
         made = self.before.get(key)
@@ -171,9 +169,9 @@ class PieceIds:
         before = {a for piece in model.ids for a, b in pairwise(piece) if b in MARKS}  # these share a piece with a mark after them
         word = f"[^{re.escape(''.join(sorted(before | {SPACE, *MARKS})))}]+"
         self.chunk = re.compile(f"{SPACE}+{word}(?:(?=[{MARKS}])|[^{SPACE}]*)|{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-        self.fits = _Lookup(self._fits)
-        self.shorter = _Lookup(self._shorter)
-        self.known = _Lookup(self._chunk)
+        self.fits, self.shorter = _Lookup(self._fits, HELD), _Lookup(self._shorter, HELD)
+        self.known = _Lookup(self._chunk, HELD)
+        self.written = {piece: k.to_bytes(4, "little") for piece, k in model.ids.items()}
 
     def _fits(self, pair: tuple[str, str]) -> bool:
         """Whether two neighbours (the first may be empty) stay as they are when merged again."""
@@ -216,7 +214,11 @@ class PieceIds:
         return out
 
     def _chunk(self, chunk: str) -> bytes:
-        return self.model.ids_of(self.pieces(chunk)).tobytes()
+        pieces = self.pieces(chunk)
+        try:
+            return b"".join(map(self.written.__getitem__, pieces))
+        except KeyError:  # a character without a piece
+            return self.model.ids_of(pieces).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes."""
@@ -239,9 +241,32 @@ def piece_encoder(path: str) -> PieceIds:
     return _ENCODERS[path]
 
 
-def _decoder(path: str) -> SentencePieceProcessor:
+class PieceText:
+    """Decodes ids as the library does: by the pieces' bytes, and by the library where ids are no plain pieces."""
+
+    def __init__(self, path: str):
+        self.library, model = SentencePieceProcessor(model_file=path), PieceModel(path)
+        self.prefix = model.prefix
+        self.first = set(model.ids.values())
+        self.spaced = {k for piece, k in model.ids.items() if piece.startswith(SPACE)}
+        plain = self.first | set(model.byte_ids.values())
+        self.bytes_of = [x if k in plain else None for k, x in enumerate(model.bytes_of)]
+
+    def decode(self, ids: list[int]) -> str:
+        if not ids:
+            return ""
+        if ids[0] in self.first:
+            try:
+                text = b"".join(map(self.bytes_of.__getitem__, ids)).decode()
+                return text[1:] if self.prefix and ids[0] in self.spaced else text
+            except (IndexError, TypeError, UnicodeDecodeError):  # ids without bytes, or bytes that are no text
+                pass
+        return self.library.decode(ids)
+
+
+def _decoder(path: str) -> PieceText:
     if path not in _DECODERS:
-        _DECODERS[path] = SentencePieceProcessor(model_file=path)
+        _DECODERS[path] = PieceText(path)
     return _DECODERS[path]
 
 
@@ -276,7 +301,8 @@ def _decoded(path: str):
             while at < batch.num_rows:
                 stop = max(at + 1, int(np.searchsorted(ends, ends[at] + DECODED_IDS, "right")) - 1)
                 part = ids.slice(at, stop - at)
-                texts = decoder.decode(part.to_pylist(), num_threads=1)
+                held, cuts = part.flatten().to_numpy().tolist(), (ends[at : stop + 1] - ends[at]).tolist()
+                texts = [decoder.decode(held[a:b]) for a, b in pairwise(cuts)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, stop - at), part, pa.array(texts, pa.string())], names=["doc_id", "piece_ids", "decoded"])
                 at = stop
 
