@@ -139,7 +139,7 @@ def network_by_barrier(read) -> DataFrame:
     """A network trained by all ranks of barrier stages, its states in the shared folder: which side of 0 a component lies on."""
     rows = read("embeddings").select("vec_id", "embedding", (F.col("embedding")[0] > 0).cast("int").alias("label"))
     network, folder = DenseNetwork((64, 2)), shared_path(rows.sparkSession, "network-states")
-    state = train(rows, network, ["embedding"], plan=Plan(epochs=8, batch_rows=1 << 20, rate=8.0), folder=folder)
+    state = train(rows, network, ["embedding"], plan=Plan(epochs=16, batch_rows=1 << 20, rate=8.0), folder=folder)
     found = BatchModel(network=network.to_bytes(state.best), inputCols=["embedding"]).transform(rows)
     n, right = found.agg(F.count("*"), F.count_if(F.col("prediction") == F.col("label"))).first()
     scores = (n, right >= 0.95 * n, state.best_loss < 0.5 * state.losses[0], last_state(folder).losses == state.losses)
