@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.llm.arrow import BATCH_ROWS
-from tallymark.llm.pieces import HELD, piece_encoder
+from tallymark.llm.pieces import PieceIds
 from tallymark.llm.word_ids import PRINTED, encoder, slices
 from tallymark.session import ship_package, staged
 
@@ -44,6 +44,8 @@ _SCHEMA = pa.schema(
 )
 #: Characters of a block of documents, inverted at once, and rows from whose number a partition's documents are counted.
 BLOCK_CHARS = 2 << 20
+#: Entries of an encoder's tables.
+HELD = 180_000
 ROWS_OF_PART = 1 << 33
 
 _SIDES: dict[tuple[str, str], Sides] = {}
@@ -53,8 +55,9 @@ class Sides:
     """Both tokenizers' encoders, their tokens' bytes, and their ids as text."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.a, self.b = encoder(path_a, "<u4", special_as_text=True), piece_encoder(path_b)
-        self.a.held = HELD  # two encoders' tables lie in one process
+        self.a, self.b = encoder(path_a, "<u4", special_as_text=True), PieceIds(path_b)
+        # Two encoders' tables lie in one process.
+        self.a.held = self.b.known.held = self.b.fits.held = HELD
         byte_of = {chr(c): b for b in range(256) for c in [PRINTED.get(b, b)]}
         with open(path_a, encoding="utf-8") as file:
             model = json.load(file)

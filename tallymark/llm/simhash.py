@@ -153,7 +153,7 @@ def first_of_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """
     found = simhash_near_dedup(docs, id_col, text_col, **options)
     own = "gone_"
-    while any(c.startswith(own) for c in docs.columns):
+    while any(c.lower().startswith(own) for c in docs.columns):  # Spark's names know no case
         own += "_"
     gone = staged(found.where(~F.col("first")).select(F.col("doc_id").alias(f"{own}id"), F.col("text_hash").alias(f"{own}hash")).distinct(), "near-copies")
     side = F.broadcast(gone) if gone.count() <= small else gone

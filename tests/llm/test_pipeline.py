@@ -7,6 +7,7 @@ from tallymark.llm.language import identify_language
 from tallymark.llm.mixing import mix_sources
 from tallymark.llm.simhash import simhash_near_dedup
 from tests.conftest import SMALL
+from tallymark.llm.simhash import first_of_near_copies
 from tests.llm.common import AWKWARD, documents
 
 
@@ -72,3 +73,10 @@ def test_language_stage_parts_learned_languages_from_others_and_noise(spark):
     kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs.unionByName(others), "").select("doc_id").collect()}
     assert not {k for k in kept if k < 0}
     assert kept == {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
+
+
+def test_near_copies_with_clashing_names_in_other_case(spark):
+    docs = documents(spark, [(1, "x"), (2, "y")], ("GONE_ID", "Gone_hash"))
+    for frame in (docs, docs.limit(0)):
+        kept = first_of_near_copies(frame, words=5, similarity=0.8)
+        assert kept.columns == docs.columns and kept.count() == frame.count()
