@@ -108,7 +108,7 @@ class Mix:
         ship_package(docs.sparkSession)
         slim = docs.select(
             F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col).cast("string")).alias("size"), F.xxhash64(F.col(text_col).cast("string")).alias("text_hash")
-        ).withColumn("spread", F.xxhash64(F.lit("mix"), F.col("doc_id")))
+        ).withColumn("spread", F.xxhash64(F.lit("mix"), "doc_id", "text_hash"))
         self.sized = staged(slim, "sizes")
         per = staged(self.sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n")), "sources")
         self.n_sources, n_docs = per.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()

@@ -160,3 +160,10 @@ def test_exact_repeats_share_what_they_take(spark):
     docs = documents(spark, rows)
     taken = sum(r.taken for r in mix_sources(docs).collect())
     assert sum(len(r.text.split()) for r in mixed_documents(docs).collect()) == taken
+
+
+def test_documents_without_identifiers_are_spread_over_ranges(spark):
+    mix = plan_mix(documents(spark, [(None, f"w {k}", "en", "a") for k in range(2000)]), range_docs=100)
+    parts = {r[0]: r[1] for r in mix.sized.groupBy(F.pmod(F.shiftright("spread", 20), F.lit(mix.n_ranges))).count().collect()}
+    assert len(parts) == mix.n_ranges and max(parts.values()) < 200
+    assert sum(r.taken for r in mix_sources(documents(spark, [(None, f"w {k}", "en", "a") for k in range(2000)])).collect()) == 4000
