@@ -162,6 +162,8 @@ class _Packer:
 
     def _rows(self, sequences: list) -> Iterator[tuple]:
         wide = {}
+        if self.group >= 1 << 16 or len(sequences) >= 1 << 24:
+            raise OverflowError("a partition has 2**16 groups or a group 2**24 sequences: identifiers would meet")
         for number, sequence in enumerate(sequences):
             offset = 0
             for doc, start, length in sequence:
@@ -182,11 +184,18 @@ class _Packer:
                 yield doc_id, start, len(ids) // self.size, None, doc_tokens, self.base, None, ids
 
 
+def first_id(number: int, partition: int) -> int:
+    """The first sequence identifier of a partition of a round; an error where those of two would meet."""
+    if partition >= 1 << 20 or number >= 8:
+        raise OverflowError(f"round {number}, partition {partition}: at most 8 rounds of 2**20 partitions have identifiers")
+    return (number << 60) + (partition << 40)
+
+
 def _packed(path: str, end_id: int, window: int, group_docs: int, group_tokens: int, special_as_text: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, int]]:
         ids_of = encoder(path, special_as_text=special_as_text)
         end = np.array([end_id], ids_of.dtype).tobytes()
-        packer = _Packer(ids_of.dtype, window, group_docs, group_tokens, TaskContext.get().partitionId() << 40)
+        packer = _Packer(ids_of.dtype, window, group_docs, group_tokens, first_id(0, TaskContext.get().partitionId()))
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
             for a, b in slices(texts):
@@ -197,9 +206,9 @@ def _packed(path: str, end_id: int, window: int, group_docs: int, group_tokens:
     return lambda batches: batched(SCHEMA, ((row, 0) for row in rows(batches)))
 
 
-def _packed_tails(dtype: str, window: int, group_tokens: int, number: int, last: bool):
+def _packed_tails(dtype: np.dtype, window: int, group_tokens: int, number: int, last: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, int]]:
-        packer = _Packer(dtype, window, group_tokens, group_tokens, (number << 60) + (TaskContext.get().partitionId() << 40))
+        packer = _Packer(dtype, window, group_tokens, group_tokens, first_id(number, TaskContext.get().partitionId()))
         for batch in batches:
             for doc_id, start, ids, doc_tokens in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 yield from packer.add(doc_id, start, ids, doc_tokens)
@@ -212,12 +221,13 @@ def pack_sequences(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     group_docs and group_tokens bound what one packing problem, and so a task's memory, holds; every
-    document is in some group. A partition may hold 2**16 groups, a table 2**20 partitions; tails is 8 at
-    least, so seven rounds are enough.
+    document is in some group. A partition may hold 2**16 groups, a table 2**20 partitions; more are an
+    error. tails is 8 at least, so seven rounds are enough.
     """
     spark = docs.sparkSession
     ship_package(spark)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    dtype = encoder(tokenizer, special_as_text=special_as_text).dtype
     made = staged(slim.mapInArrow(_packed(tokenizer, end_id, window, group_docs, group_tokens, special_as_text), ROWS), "packed")
     out = made.where("ids is null")
     for number in range(1, 8):
@@ -227,6 +237,6 @@ def pack_sequences(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text
             break
         parts = -(-n // max(tails, 8))
         dealt = left.select("doc_id", "start", "ids", "doc_tokens").repartition(parts)
-        made = staged(dealt.mapInArrow(_packed_tails("<u2", window, group_tokens, number, parts == 1), ROWS), "packed-tails")
+        made = staged(dealt.mapInArrow(_packed_tails(dtype, window, group_tokens, number, parts == 1), ROWS), "packed-tails")
         out = out.unionByName(made.where("ids is null"))
     return out.drop("ids")

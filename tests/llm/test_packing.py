@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallymark.llm.packing import best_fill, pack, pack_sequences
+from tallymark.llm.packing import best_fill, first_id, pack, pack_sequences
 from tallymark.llm.queries import vocabulary
 from tests.llm.common import AWKWARD, documents
 
@@ -90,3 +90,10 @@ def test_only_the_last_tail_is_short_however_rows_are_dealt(spark, tails):
             assert at == whole
         assert len(pieces) == len(rows)
         assert len(sizes) == want and sum(n < 512 for n in sizes.values()) == bin(tokens % 512).count("1")
+
+
+def test_identifiers_that_would_meet_are_an_error():
+    assert first_id(7, (1 << 20) - 1) + (((1 << 16) - 1) << 24) + (1 << 24) - 1 == (1 << 63) - 1
+    for number, partition in ((0, 1 << 20), (8, 0)):
+        with pytest.raises(OverflowError):
+            first_id(number, partition)
