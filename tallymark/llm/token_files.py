@@ -34,7 +34,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.llm.arrow import BATCH_ROWS
+from tallymark.llm.arrow import BATCH_ROWS, batched
 from tallymark.llm.word_ids import encoder, slices
 from tallymark.session import shared_path, ship_package, staged
 
@@ -178,11 +178,30 @@ class Shard:
         record = int(self.index.find(key)[0])
         return None if record < 0 else np.frombuffer(self.payload(record), self.dtype)
 
+    def records(self, doc_ids: list[int | None]) -> Iterator[tuple[int, int, int]]:
+        """(position in ``doc_ids``, occurrence, record) of all rows of these documents, each by the index and its stored key."""
+        keys = np.zeros((len(doc_ids), 2), np.uint64)
+        keys[:, 0] = np.array([x or 0 for x in doc_ids], np.int64).view(np.uint64)
+        keys[:, 1] = [x is None for x in doc_ids]
+        left, occurrence = np.arange(len(doc_ids)), 0
+        while len(left):
+            record = self.index.find(keys[left])
+            left, record = left[record >= 0], record[record >= 0]
+            same = (self.keys[record] == keys[left]).all(1)
+            left, record = left[same], record[same]
+            yield from ((k, occurrence, r) for k, r in zip(left.tolist(), record.tolist(), strict=True))
+            keys[left, 1] += np.uint64(2)
+            occurrence += 1
+
     def close(self) -> None:
         self.file.close()
 
 
-def _written(folder: str, path: str, end_id: int, dtype: str, shard_bytes: int, special_as_text: bool):
+#: One row for each shard; ``low`` and ``high`` are its least and largest identifier, null if it has only null ones.
+MANIFEST = "path string, part int, nth long, n_ids long, n_docs long, low long, high long, nulls boolean"
+
+
+def _written(folder: str, path: str, end_id: int, dtype: str, shard_bytes: int, shard_docs: int, special_as_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = encoder(path, dtype, special_as_text)
         end = np.array([end_id], dtype).tobytes()
@@ -194,7 +213,11 @@ def _written(folder: str, path: str, end_id: int, dtype: str, shard_bytes: int,
             name, file, doc_ids, counts, size = open_.pop()
             write_shard(file, dtype, doc_ids, counts, size)
             file.close()
-            return pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"]), pa.array([part], pa.int32()), pa.array([nth], pa.int64()), pa.array([sum(counts)], pa.int64()), pa.array([len(counts)], pa.int64())], names=["path", "part", "nth", "n_ids", "n_docs"])
+            known = next((k for k, x in enumerate(doc_ids) if x is not None), None)  # sorted, nulls first
+            low, high = (None, None) if known is None else (doc_ids[known], doc_ids[-1])
+            values = [f"{folder}/{name}", part, nth, sum(counts), len(counts), low, high, known != 0]
+            kinds = [pa.string(), pa.int32(), *[pa.int64()] * 5, pa.bool_()]
+            return pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in zip(values, kinds, strict=True)], names=[x.split()[0] for x in MANIFEST.split(", ")])
 
         part = nth = 0
         for batch in batches:
@@ -210,7 +233,7 @@ def _written(folder: str, path: str, end_id: int, dtype: str, shard_bytes: int,
                     own.append(doc_id)
                     counts.append(len(ids) // len(end) + 1)
                     open_[0][4] += len(ids) + len(end)
-                    if open_[0][4] >= shard_bytes:
+                    if open_[0][4] >= shard_bytes or len(own) >= shard_docs:
                         yield closed()
                         nth += 1
         if open_:
@@ -219,13 +242,16 @@ def _written(folder: str, path: str, end_id: int, dtype: str, shard_bytes: int,
     return run
 
 
-def write_token_files(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, dtype: str = "<u2", shard_bytes: int = 256 << 20, special_as_text: bool = False) -> DataFrame:
-    """Write the shards; one row per shard, in document order by (part, nth): path, part, nth, n_ids, n_docs, start."""
+def write_token_files(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0, dtype: str = "<u2", shard_bytes: int = 256 << 20, shard_docs: int = 1 << 20, special_as_text: bool = False) -> DataFrame:
+    """Write the shards; one row per shard, in document order by (part, nth): MANIFEST's columns and start.
+
+    A shard ends at ``shard_bytes`` of ids or at ``shard_docs`` documents, whichever comes first.
+    """
     spark = docs.sparkSession
     ship_package(spark)
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
     ordered = slim.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "text", F.spark_partition_id().alias("part"))
-    made = staged(ordered.mapInArrow(_written(shared_path(spark, "tokens"), tokenizer, end_id, dtype, shard_bytes, special_as_text), "path string, part int, nth long, n_ids long, n_docs long"), "manifest")
+    made = staged(ordered.mapInArrow(_written(shared_path(spark, "tokens"), tokenizer, end_id, dtype, shard_bytes, shard_docs, special_as_text), MANIFEST), "manifest")
     running = Window.orderBy("part", "nth").rowsBetween(Window.unboundedPreceding, -1)
     return made.withColumn("start", F.coalesce(F.sum("n_ids").over(running), F.lit(0)))
 
@@ -251,3 +277,74 @@ def read_token_files(shards: DataFrame) -> DataFrame:
     ship_package(shards.sparkSession)
     return shards.select("path", "start").repartition(max(1, shards.count()), "path").mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
+
+#: Shards whose ranges a lookup sends to its tasks: 24 bytes each.
+MOST_SHARDS = 1 << 22
+FOUND = pa.schema([("doc_id", pa.int64()), ("occurrence", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int64()))])
+
+
+def _routed(low: np.ndarray, high: np.ndarray, nulls: np.ndarray):
+    """Over distinct keys: (shard, doc_id) for each shard, by its number in document order, whose range holds the key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(0)
+            known = keys.drop_null().to_numpy()
+            first = np.searchsorted(high, known, "left")
+            n = np.maximum(np.searchsorted(low, known, "right") - first, 0)
+            shard = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            own = pa.array(np.repeat(known, n), pa.int64())
+            if keys.null_count:
+                shard, own = np.r_[shard, nulls], pa.concat_arrays([own, pa.nulls(len(nulls), pa.int64())])
+            yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int64)), own], names=["shard", "doc_id"])
+
+    return run
+
+
+def _looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over (path, start, doc_id) sorted by path: the documents' rows; each shard is opened once."""
+    path = shard = None
+
+    def rows() -> Iterator[tuple[tuple, int]]:
+        nonlocal path, shard
+        for batch in batches:
+            paths, starts, keys = (batch.column(k).to_pylist() for k in range(3))
+            cuts = [0, *(k for k in range(1, len(paths)) if paths[k] != paths[k - 1]), len(paths)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if a == b:
+                    continue
+                if paths[a] != path:
+                    if shard is not None:
+                        shard.close()
+                    path, shard = paths[a], Shard(paths[a])
+                for k, occurrence, record in shard.records(keys[a:b]):
+                    ids = np.frombuffer(shard.payload(record), shard.dtype).tolist()
+                    yield (keys[a + k], occurrence, starts[a] + int(shard.offsets[record]), len(ids), ids), 8 * len(ids)
+        if shard is not None:
+            shard.close()
+
+    yield from batched(FOUND, rows())
+
+
+def find_documents(shards: DataFrame, wanted: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Keyed access over the whole table: one row per wanted document: doc_id, occurrence, start, n_tokens, ids.
+
+    A key goes to the shards whose range in the manifest holds it, usually one, and there through the
+    perfect hash to its record; only these records' ids are read. Rows that repeat an identifier are all
+    found (occurrence counts them within a shard, which they share unless it is full). Repeated and null
+    wanted keys count once; null finds documents without an identifier. Keys that were never written
+    give no row, empty tables none at all.
+    """
+    spark = shards.sparkSession
+    ship_package(spark)
+    ordered = shards.orderBy("part", "nth").select("path", "start", "low", "high", "nulls").limit(MOST_SHARDS + 1).collect()
+    if len(ordered) > MOST_SHARDS:
+        raise ValueError(f"more than {MOST_SHARDS} shards: write larger ones")
+    least = np.iinfo(np.int64).min
+    low, high = (np.array([least if r[name] is None else r[name] for r in ordered], np.int64) for name in ("low", "high"))
+    nulls = np.flatnonzero([r.nulls for r in ordered])
+    keys = wanted.select(F.col(id_col).cast("long").alias("doc_id")).distinct()
+    routed = keys.mapInArrow(_routed(low, high, nulls), "shard long, doc_id long")
+    numbered = spark.createDataFrame([(k, r.path, r.start) for k, r in enumerate(ordered)], "_shard long, path string, start long")
+    placed = routed.join(numbered, F.col("shard") == F.col("_shard")).select("path", "start", "doc_id")
+    return placed.repartition("path").sortWithinPartitions("path", "doc_id").mapInArrow(_looked_up, "doc_id long, occurrence long, start long, n_tokens long, ids array<long>")

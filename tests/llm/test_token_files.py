@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from tallymark.llm.queries import vocabulary
-from tallymark.llm.token_files import PerfectHash, Shard, read_token_files, write_token_files
+from tallymark.llm.token_files import PerfectHash, Shard, find_documents, read_token_files, write_token_files
 from tallymark.llm.word_ids import WordIds
 from tests.llm.common import AWKWARD, documents
 
@@ -83,3 +83,27 @@ def test_a_tokenizer_of_another_layout_encodes_whole_texts(tmp_path):
     ours, whole = WordIds(f"{tmp_path}/other.json", "<u2"), tokenizer(f"{tmp_path}/other.json")
     assert ours.keep_space is None
     assert [np.frombuffer(x, "<u2").tolist() for x in ours.encode(TEXTS)] == [whole.encode(t, add_special_tokens=False).ids for t in TEXTS]
+
+
+def test_documents_are_found_by_key_over_all_shards(spark):
+    path = vocabulary("byte_bpe_50k.json")
+    whole = tokenizer(path)
+    rows = AWKWARD + [(None, "another"), (8, "a third eight")] + [(k * 3, f"text {k}") for k in range(20, 300)]
+    shards = write_token_files(documents(spark, rows).repartition(5), path, shard_bytes=300)
+    assert shards.count() > 5
+    wanted = [None, 8, 8, 7, 60, 61, 897, -5, 10**12, None]
+    found = find_documents(shards, documents(spark, [(k, "x") for k in wanted], ("path", "start", "shard"))).collect()
+    want = sorted((r[0] or 0, whole.encode(r[1] or "", add_special_tokens=False).ids + [0]) for r in rows if r[0] in wanted)
+    assert sorted((r.doc_id or 0, r.ids) for r in found) == want
+    places = {(r.doc_id, r.start, r.n_tokens) for r in read_token_files(shards).collect()}
+    assert all((r.doc_id, r.start, r.n_tokens) in places for r in found)
+    assert find_documents(shards, documents(spark, [])).collect() == []
+    assert find_documents(write_token_files(documents(spark, []), path), documents(spark, [(1, "x"), (None, "x")])).collect() == []
+
+
+def test_shards_of_empty_documents_end_at_their_number(spark):
+    shards = write_token_files(documents(spark, [(k, None if k % 2 else "") for k in range(5000)]), vocabulary("byte_bpe_50k.json"), shard_docs=300)
+    sizes = [r.n_docs for r in shards.collect()]
+    assert max(sizes) == 300 and sum(sizes) == 5000
+    found = sorted((r.doc_id, r.start, r.n_tokens) for r in read_token_files(shards).collect())
+    assert found == [(k, k, 1) for k in range(5000)]
