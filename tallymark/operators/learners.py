@@ -123,9 +123,13 @@ def to_bytes(weights: list[np.ndarray], biases: list[np.ndarray]) -> bytes:
 
 
 def _network(data: bytes):
-    """A function from a batch of features to raw outputs: an npz network with ReLU, or an ONNX model."""
+    """A function from a batch of features to raw outputs: an npz network with ReLU or over characters, or an ONNX model."""
     if data[:2] == b"PK":
         found = np.load(io.BytesIO(data))
+        if "characters" in found:
+            from tallymark.operators.characters import CharNetwork
+
+            return CharNetwork.runner(found)
         layers = [(found[f"w{k}"], found[f"b{k}"]) for k in range(int(found["n"]))]
 
         def run(x: np.ndarray) -> np.ndarray:
