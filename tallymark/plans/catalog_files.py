@@ -108,18 +108,22 @@ def key_value_dictionary(read) -> DataFrame:
 
 @register("select n_name as token, (row_number() over (order by n_name) - 1)::int as id from nation")
 def vocabulary_lines(read) -> DataFrame:
+    """A vocabulary file that an executor writes, numbered by its lines."""
     nation = read("nation")
-    spark = nation.sparkSession
-    names = [r.n_name for r in _dictionary(nation.select("n_name").orderBy("n_name"))]
-    path = _put(f"{shared_path(spark, 'vocabulary')}/vocab.txt", "".join(f" {x} \n" for x in names).encode())
-    return readers.numbered_lines(spark, path)
+    path = shared_path(nation.sparkSession, "vocabulary")
+    nation.select(F.concat(F.lit(" "), "n_name", F.lit(" ")).alias("value")).coalesce(1).sortWithinPartitions("value").write.text(path)
+    return readers.numbered_lines(nation.sparkSession, path)
 
 
-@register("select true as there, false as not_there")
+@register("select r_regionkey, exists(select 1 from nation where n_regionkey = r_regionkey) as there from region")
 def path_exists(read) -> DataFrame:
-    spark = read("region").sparkSession
-    path = _put(f"{shared_path(spark, 'exists')}/file", b"x")
-    return spark.createDataFrame([(readers.exists(spark, path), readers.exists(spark, f"{path}.none"))], "there boolean, not_there boolean")
+    """Which regions have a folder in a table written by region."""
+    region, nation = read("region"), read("nation")
+    spark = region.sparkSession
+    path = shared_path(spark, "by-region")
+    writers.parquet(nation, path, ["n_regionkey"])
+    found = [(r.r_regionkey, readers.exists(spark, f"{path}/n_regionkey={r.r_regionkey}")) for r in _dictionary(region.select("r_regionkey"))]
+    return spark.createDataFrame(found, "r_regionkey long, there boolean")
 
 
 @register("select n_regionkey, count(*) as n from nation group by n_regionkey")
@@ -173,11 +177,22 @@ def repartition_by_device(read) -> DataFrame:
     return dealt.groupBy("user_id").agg(F.count_distinct("p").alias("partitions"))
 
 
-@register("select 'Now is the time for all ' as plain, '3FA40E8A984D48156A271787AB8883F9893D51EC4B563B53' as cipher")
+# The electronic codebook example of the federal standard on modes of operation, by block.
+_DES_KEY = "0123456789ABCDEF"
+_DES_PLAIN = ["Now is t", "he time ", "for all "]
+_DES_CIPHER = ["3FA40E8A984D4815", "6A271787AB8883F9", "893D51EC4B563B53"]
+
+
+def _by_digits(blocks: list[str]) -> str:
+    """SQL of both engines: one of the blocks for each of three digits to base 3 of c_custkey."""
+    return " || ".join(f"case cast(floor(c_custkey / {3**k}) as bigint) % 3 when 0 then '{blocks[0]}' when 1 then '{blocks[1]}' else '{blocks[2]}' end" for k in range(3))
+
+
+@register(f"select c_custkey, {_by_digits(_DES_CIPHER)} as cipher from customer")
 def des_published_vector(read) -> DataFrame:
-    """The electronic codebook example of the federal standard on modes of operation; what follows is padding."""
-    plain = read("region").select(F.lit("Now is the time for all ").alias("plain")).limit(1)
-    return plain.select("plain", F.upper(F.substring(des_encrypt(F.col("plain"), bytes.fromhex("0123456789ABCDEF")), 1, 48)).alias("cipher"))
+    """Texts of published blocks in an order that each key gives, against the published cipher blocks; what follows is padding."""
+    plain = read("customer").select("c_custkey", F.expr(_by_digits(_DES_PLAIN)).alias("plain"))
+    return plain.select("c_custkey", F.upper(F.substring(des_encrypt(F.col("plain"), bytes.fromhex(_DES_KEY)), 1, 48)).alias("cipher"))
 
 
 @register("with s as (select doc_id, quality as label, (case when (doc_id * 7919 % 1000) / 1000.0::double > 0.5 then 1 else 0 end)::int as prediction from labels) select floor(avg((label = prediction)::int) * 1000000.0 + 0.5)::bigint as accuracy, count(*) as n from s where label is not null")

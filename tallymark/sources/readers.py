@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,13 +64,17 @@ def json_dictionary(path: str) -> dict:
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(token, id): each stripped line of one file with its number from 0; of equal tokens the last.
+    """(token, id): each stripped line of one file with its number from 0; of equal tokens the last. An empty file has none.
 
-    The file is read as one split, which is what gives lines their numbers; it is a dictionary.
+    Splits are read in parallel: a line's number is that of the lines in earlier splits, from sums over one row for each,
+    and its place in its own, in which the reader's row numbers are consecutive.
     """
-    whole = spark.read.text(path, wholetext=True).select(F.regexp_replace("value", r"\n\z", "").alias("value"))
-    rows = whole.select(F.posexplode(F.split("value", "\n")).alias("id", "line"))
-    return rows.groupBy(F.trim(F.col("line")).alias("token")).agg(F.max("id").alias("id"))
+    lines = spark.read.text(path, lineSep="\n").select("value", F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    blocks = lines.groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("first"))
+    earlier = F.coalesce(F.sum("n").over(Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = blocks.select("block", (earlier - F.col("first")).alias("shift"))
+    numbered = lines.join(starts, "block").select(F.trim("value").alias("token"), (F.col("row") + F.col("shift")).cast("int").alias("id"))
+    return numbered.groupBy("token").agg(F.max("id").alias("id"))
 
 
 def geojson_polygons(spark: SparkSession, folder: str) -> DataFrame:

@@ -85,6 +85,21 @@ def test_files(spark, tmp_path):
     assert tuple(from_long_form(spark.read.parquet(f"{tmp_path}/long"), ["a", "b"]).first()) == ("u", "1", "x")
 
 
+def test_line_numbers_do_not_depend_on_splits(spark, tmp_path):
+    words = [f" w{k * 7919 % 701}\r" if k % 5 else "" for k in range(3000)]
+    (tmp_path / "vocab.txt").write_bytes("\n".join(words).encode())
+    want = {w.strip(" "): k for k, w in enumerate(words)}
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for most in ("128MB", "1000", "97"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+            assert {r.token: r.id for r in readers.numbered_lines(spark, f"{tmp_path}/vocab.txt").collect()} == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    (tmp_path / "empty.txt").write_text("")
+    assert readers.numbered_lines(spark, f"{tmp_path}/empty.txt").collect() == []
+
+
 def test_ip_dictionary(spark, tmp_path):
     ranges = [(0, 9, "中国", "a"), (10, 20, "广东省深圳市", "a"), (30, 40, "中国", "")]
     data = ip_ranges.build(ranges)
