@@ -51,16 +51,14 @@ def test_windows_hold_every_run_of_characters(spark):
 
 def test_whole_texts_are_told_apart_by_a_saved_model(spark, tmp_path):
     """Only a text's end tells its class, far behind the first window."""
-    rows = [(k, "la le li lo lu " * 30 + ("xyz" if k % 2 else "zyx") * 20, k % 2) for k in range(80)] + [(100, None, None), (101, "", None)]
+    rows = [(k, "la le li lo lu " * 30 + ("xyz" if k % 2 else "pqr") * 20, k % 2) for k in range(80)] + [(100, None, None), (101, "", None)]
     frame = spark.createDataFrame(rows, "id long, text string, label int").withColumns({"window": F.lit(1), "prediction": F.lit("clash")})
-    classifier = CharClassifier(CharNetwork(256, 2, (3,), 4, 8), size=64, plan=Plan(epochs=6, rate=0.1))
-    ends = frame.withColumn("text", F.right("text", F.lit(60)))
-    model = classifier.model(classifier.fit(ends, ranks=1))
+    classifier = CharClassifier(CharNetwork(256, 2, (3,), 4, 8), size=64, plan=Plan(epochs=10, rate=0.1))
+    model = classifier.model(classifier.fit(frame, ranks=1))  # most windows are those of both classes and tell nothing
     model.save(f"{tmp_path}/model")
     loaded = BatchModel.load(f"{tmp_path}/model")
-    assert {r.id: r.prediction for r in classifier.predict(loaded, ends.where("label is not null"), "id").collect()} == {k: k % 2 for k in range(80)}
     every = {r.id: r.prediction for r in classifier.predict(loaded, frame, "id").collect()}
-    assert set(every) == {r[0] for r in rows}
+    assert set(every) == {r[0] for r in rows} and all(every[k] == k % 2 for k in range(80))
     first = {r.id: r.prediction for r in classifier.predict(loaded, frame.withColumn("text", F.left("text", F.lit(450))), "id").collect()}
-    assert len({first[k] for k in range(80)}) == 1 and len({every[k] for k in range(80)}) == 2
+    assert len({first[k] for k in range(80)}) == 1
     assert classifier.predict(loaded, frame.limit(0), "id").collect() == []
