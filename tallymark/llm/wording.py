@@ -9,10 +9,19 @@ fingerprints, in Gray order, go through the hierarchical index, which prunes wha
 
 Texts with equal sets are one node. A group of more than ``unit_rows`` nodes or ``unit_hashes`` hashes is
 dealt out at random into units, each settled by a task: first within the units; then among one node of
-each part that the links found make; last, the nodes outside the group's largest part, the stragglers,
-are sent to every unit and compared with the nodes of other parts. Two nodes that are in different parts
-meet in one of these, so no link is lost, and a group that is one part after the second step costs no
-more. A task holds one unit in memory.
+each part that the links found make; last, across the parts that are left, in one of two exact ways that
+the group's own counts choose, so that a node is sent at most twice by the first:
+
+* few nodes lie outside the group's largest part: these stragglers are sent to every unit and compared
+  with the nodes of other parts;
+* many do, as with pages of one template: sets alike must share one of each other's rarest hashes, under
+  any one order of the hashes (a set of n may leave out ``ceil(similarity * n) - 1``). The order is by counts
+  of ``CELLS`` cells of hashes over all these groups. Nodes meet where nodes of different parts have such a
+  hash in common; what a template repeats comes last in the order, so its pages hardly meet. Such a
+  bucket beyond a unit is dealt into units, and its stragglers are sent to all of these, however many.
+
+Two nodes that are in different parts meet in one of these, so no link is lost, and a group that is one
+part after the second step costs no more. A task holds one unit in memory, and the counts of the cells.
 """
 
 from __future__ import annotations
@@ -41,6 +50,8 @@ EPSILON = 1e-9
 MANY = 8
 SETS = pa.schema([("node", pa.int64()), ("hashes", pa.binary())])
 LINKS = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+#: Cells whose counts order the hashes; 8 MB of counts.
+CELLS = 1 << 20
 
 
 def shingles(text: bytes, words: int = 5) -> np.ndarray:
@@ -223,6 +234,86 @@ def _units(rows: Column, hashes: Column, unit_rows: int, unit_hashes: int) -> Co
     return F.greatest(F.ceil(rows / unit_rows), F.ceil(hashes / unit_hashes), F.lit(1)).cast("int")
 
 
+def _cell(root: np.ndarray | int, hashes: np.ndarray) -> np.ndarray:
+    """The cell of each hash in a group."""
+    mixed = (hashes ^ np.uint64(root & (1 << 64) - 1)) * FACTORS[0]
+    return (mixed >> np.uint64(44)).astype(np.int64)
+
+
+def _cell_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (root, ..., hashes) to (cell, count) over a partition."""
+    counts = np.zeros(CELLS, np.int64)
+    for batch in batches:
+        for root, hashes in zip(batch.column("root").to_pylist(), batch.column("hashes").to_pylist(), strict=True):
+            np.add.at(counts, _cell(root, np.frombuffer(hashes, np.uint64)), 1)
+    cells = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(counts[cells])], names=["cell", "count"])
+
+
+def rarest(root: int, hashes: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """A set's rarest hashes, so many that no set alike misses all of them."""
+    if not len(hashes):
+        return hashes
+    kept = len(hashes) - int(np.ceil(similarity * len(hashes) - EPSILON)) + 1
+    return hashes[np.lexsort((hashes, counts[_cell(root, hashes)]))[:kept]]
+
+
+def _postings(counts: np.ndarray, similarity: float):
+    """Rows (root, node, fp, n, part, hashes) to (root, node, fp, n, part, hash), one for each of the rarest hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = zip(batch.column("root").to_pylist(), batch.column("hashes").to_pylist(), strict=True)
+            found = [rarest(root, np.frombuffer(hashes, np.uint64), counts, similarity) for root, hashes in own]
+            if found:
+                rows = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+                out = batch.select(["root", "node", "fp", "n", "part"]).take(rows)
+                yield out.append_column("hash", pa.array(np.concatenate(found).view(np.int64)))
+
+    return run
+
+
+def _sent(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """Rows (root, node, fp, part) dealt into their groups' units, and those outside the largest part sent to all units.
+
+    groups: root, units, largest.
+    """
+    own = rows.join(groups, "root").withColumn("unit", F.pmod(F.xxhash64(F.lit("unit"), "node"), "units").cast("int"))
+    columns = ["root", "unit", "sent", "node", "fp", "part"]
+    stragglers = own.where("units > 1 and part <> largest").withColumn("unit", F.explode(F.sequence(F.lit(0), F.col("units") - 1)))
+    return own.withColumn("sent", F.lit(False)).select(*columns).union(stragglers.withColumn("sent", F.lit(True)).select(*columns))
+
+
+def _groups(rows: DataFrame, unit_rows: int, unit_hashes: int) -> DataFrame:
+    """Groups (root, rows, outside, units, largest) of rows (root, part, n) that have more than one part."""
+    sizes = rows.groupBy("root", "part").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("hashes"))
+    whole = sizes.groupBy("root").agg(F.count(F.lit(1)).alias("parts"), F.max_by("part", F.struct("rows", "part")).alias("largest"), F.max("rows").alias("most"), F.sum("rows").alias("rows"), F.sum("hashes").alias("hashes"))
+    return whole.where("parts > 1").select("root", "rows", (F.col("rows") - F.col("most")).alias("outside"), _units(F.col("rows"), F.col("hashes"), unit_rows, unit_hashes).alias("units"), "largest")
+
+
+def across(parted: DataFrame, sets: DataFrame, similarity: float, unit_rows: int, unit_hashes: int) -> DataFrame:
+    """Rows (root, unit, sent, node, fp, part) by which nodes of different parts meet wherever their sets may be alike.
+
+    parted: root, node, fp, n, part; sets: node, hashes.
+    """
+    parted = parted.select("root", "node", "fp", "n", "part").distinct()
+    groups = staged(_groups(parted, unit_rows, unit_hashes), "open-groups")
+    few = F.col("outside") * F.col("units") <= F.col("rows")
+    sent = _sent(parted, groups.where(few).select("root", "units", "largest"))
+    many = groups.where(~few)
+    if many.isEmpty():
+        return sent
+    apart = parted.join(many.select("root"), "root", "left_semi")
+    with_sets = staged(apart.join(sets.groupBy("node").agg(F.first("hashes").alias("hashes")), "node").select("root", "node", "fp", "n", "part", "hashes"), "open-sets")
+    counts = np.zeros(CELLS, np.int64)
+    cells = with_sets.select("root", "hashes").mapInArrow(_cell_counts, "cell long, count long").groupBy("cell").agg(F.sum("count").alias("count")).toArrow()
+    counts[cells["cell"].to_numpy()] = cells["count"].to_numpy()
+    postings = staged(with_sets.mapInArrow(_postings(counts, similarity), "root long, node long, fp long, n long, part long, hash long"), "postings")
+    mixed = postings.groupBy("root", "hash").agg(F.min("part").alias("_a"), F.max("part").alias("_b")).where("_a <> _b").select("root", "hash")
+    met = staged(postings.join(mixed, ["root", "hash"]).select(F.xxhash64("root", "hash").alias("root"), "node", "fp", "n", "part"), "met")
+    return sent.union(_sent(met, _groups(met, unit_rows, unit_hashes).select("root", "units", "largest")))
+
+
 def wording_links(slim: DataFrame, nodes: DataFrame, words: int, similarity: float, distance: int = DISTANCE, unit_rows: int = 4096, unit_hashes: int = 1 << 22, small: int = 200_000) -> DataFrame:
     """Links (u, v) that connect all nodes at ``similarity`` or more.
 
@@ -257,10 +348,5 @@ def wording_links(slim: DataFrame, nodes: DataFrame, words: int, similarity: flo
     few = heads.groupBy("root").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("hashes")).select("root", _units(F.col("rows"), F.col("hashes"), unit_rows, unit_hashes).alias("_units"))
     again = heads.join(few, "root").select("root", F.pmod(F.xxhash64(F.lit("head"), "node"), "_units").cast("int").alias("unit"), here, "node", "fp", "part")
     links = links.union(staged(settled(again), "links"))
-    # Whatever is not in a group's largest part goes to all of its units.
     parted = staged(_with_parts(split.drop("part"), links), "parts")
-    sizes = parted.groupBy("root", "part").agg(F.count(F.lit(1)).alias("rows"))
-    largest = sizes.groupBy("root").agg(F.max_by("part", F.struct("rows", "part")).alias("largest"), F.count(F.lit(1)).alias("parts")).where("parts > 1").drop("parts")
-    open_ = parted.join(largest, "root")
-    stragglers = open_.where("part <> largest").select("root", F.explode(F.sequence(F.lit(0), F.col("units") - 1)).alias("unit"), away, "node", "fp", "part")
-    return links.union(staged(settled(open_.select("root", "unit", here, "node", "fp", "part").union(stragglers)), "links"))
+    return links.union(staged(settled(across(parted, sets, similarity, unit_rows, unit_hashes)), "links"))

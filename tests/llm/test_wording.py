@@ -6,7 +6,8 @@ import pytest
 import corpus_pipeline
 from tallymark.llm.gray_index import gray_rank, majority
 from tallymark.llm.simhash import simhash_near_dedup
-from tallymark.llm.wording import Unit, alike, shingles
+from tallymark.llm import wording
+from tallymark.llm.wording import CELLS, Unit, alike, rarest, shingles
 from tests.conftest import SMALL
 from tests.llm.common import AWKWARD, documents
 
@@ -106,6 +107,69 @@ def test_groups_beyond_one_unit_lose_no_link(spark, unit_rows):
     assert {r.doc_id: r.component_id for r in found} == want
 
 
+def templated(n=600):
+    """Pages of one template: 100 common words and 60 of their own; every tenth has a near copy."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=6))
+    common = [word() for _ in range(100)]
+    rows = []
+    for k in range(n):
+        own = [word() for _ in range(60)]
+        rows.append((2 * k, " ".join(common + own)))
+        if k % 10 == 0:
+            own[rng.randrange(60)] = word()
+            rows.append((2 * k + 1, " ".join(common + own)))
+    return rows
+
+
+@pytest.mark.parametrize("unit_rows", [7, 50])
+def test_pages_of_one_template_are_not_sent_to_every_unit(spark, monkeypatch, unit_rows):
+    rows, seen = templated(), []
+    across = wording.across
+
+    def counted(parted, *rest):
+        found = across(parted, *rest)
+        seen.append((parted.count(), found.count()))
+        return found
+
+    monkeypatch.setattr(wording, "across", counted)
+    found = {r.doc_id: r.component_id for r in simhash_near_dedup(documents(spark, rows), words=5, similarity=0.8, unit_rows=unit_rows).collect()}
+    assert found == {k: k - k % 2 for k, _ in rows}
+    (nodes, sent), = seen
+    assert nodes > 400 and sent < 2 * nodes
+
+
+@pytest.mark.parametrize("unit_rows", [4, 24])
+def test_sets_meet_by_their_rarest_hashes(spark, monkeypatch, unit_rows):
+    """Two chains that share half of their words, so that most nodes lie outside the largest part."""
+    left = chained(90)
+    words = left[0][1].split()[:60]
+    rng = random.Random(2)
+    rows = left + [(1000 + k, " ".join(words + [rng.choice("xyz") + str(rng.randrange(4)) for _ in range(40)])) for k in range(90)]
+    rows += [(2000 + k, t.replace("x1", "y1", 1)) for k, t in rows[90:130]]
+    ways = []
+    postings = wording._postings
+    monkeypatch.setattr(wording, "_postings", lambda *a: ways.append(1) or postings(*a))
+    found = simhash_near_dedup(documents(spark, rows), words=5, similarity=0.8, unit_rows=unit_rows).collect()
+    assert {r.doc_id: r.component_id for r in found} == groups(rows)
+    assert ways
+
+
+def test_sets_alike_share_one_of_their_rarest_hashes():
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+    counts = rng.integers(0, 5, CELLS)
+    pairs = 0
+    for _ in range(400):
+        n = int(rng.integers(1, 300))
+        a = np.unique(base[:n])
+        b = np.setdiff1d(a, rng.choice(a, int(n * rng.uniform(0, 0.25)), replace=False))
+        if len(b) and alike(a, b, 0.8):
+            pairs += 1
+            assert np.intersect1d(rarest(-5, a, counts, 0.8), rarest(-5, b, counts, 0.8)).size
+    assert pairs > 200 and len(rarest(3, np.zeros(0, np.uint64), counts, 0.8)) == 0
+
+
 def test_one_row_of_each_group_is_first(spark):
     text = " ".join(f"w{k}" for k in range(60))
     rows = [(7, text + " a"), (7, text + " b"), (9, text), (None, text + " c"), (None, "other"), (None, "OTHER")]
