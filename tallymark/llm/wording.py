@@ -17,8 +17,8 @@ the group's own counts choose, so that a node is sent at most twice by the first
 * many do, as with pages of one template: sets alike must share one of each other's rarest hashes, under
   any one order of the hashes (a set of n may leave out ``ceil(similarity * n) - 1``). The order is by counts
   of ``CELLS`` cells of hashes over all these groups. Nodes meet where nodes of different parts have such a
-  hash in common; what a template repeats comes last in the order, so its pages hardly meet. Such a
-  bucket beyond a unit is dealt into units, and its stragglers are sent to all of these, however many.
+  hash in common, once for all hashes that the same nodes have; what a template repeats comes last in the
+  order, so its pages hardly meet. Such a bucket beyond a unit is dealt into units, and its stragglers are sent to all of these, however many.
 
 Two nodes that are in different parts meet in one of these, so no link is lost, and a group that is one
 part after the second step costs no more. A task holds one unit in memory, and the counts of the cells.
@@ -309,7 +309,9 @@ def across(parted: DataFrame, sets: DataFrame, similarity: float, unit_rows: int
     cells = with_sets.select("root", "hashes").mapInArrow(_cell_counts, "cell long, count long").groupBy("cell").agg(F.sum("count").alias("count")).toArrow()
     counts[cells["cell"].to_numpy()] = cells["count"].to_numpy()
     postings = staged(with_sets.mapInArrow(_postings(counts, similarity), "root long, node long, fp long, n long, part long, hash long"), "postings")
-    mixed = postings.groupBy("root", "hash").agg(F.min("part").alias("_a"), F.max("part").alias("_b")).where("_a <> _b").select("root", "hash")
+    # Of hashes that the same nodes have, told by 128 bits, one is enough.
+    alike_by = postings.groupBy("root", "hash").agg(F.min("part").alias("_a"), F.max("part").alias("_b"), F.bit_xor(F.xxhash64("node")).alias("_x"), F.bit_xor(F.xxhash64(F.lit("again"), "node")).alias("_y"))
+    mixed = alike_by.where("_a <> _b").groupBy("root", "_x", "_y").agg(F.min("hash").alias("hash")).select("root", "hash")
     met = staged(postings.join(mixed, ["root", "hash"]).select(F.xxhash64("root", "hash").alias("root"), "node", "fp", "n", "part"), "met")
     return sent.union(_sent(met, _groups(met, unit_rows, unit_hashes).select("root", "units", "largest")))
 
