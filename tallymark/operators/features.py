@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from tallymark.functions.records import app_records
 from tallymark.operators.sparse import PARTS, Places, number_of, numbers_of, parts_of, rows_of, sparse_list, to_dense, to_vector
 from tallymark.operators.sparse import sparse as sparse_of
+from tallymark.session import ship_active
 
 # Ids of the vocabulary's first entries, as the encoder uses them.
 PAD, UNKNOWN, END, QUERY, NO_QUERY = 0, 1, 2, 4, 5
@@ -76,6 +77,7 @@ class Encoder:
     def lines_column(self, data: Column) -> Column:
         """line_ids as array<bigint>; null counts as no line."""
         encode = self.line_ids
+        ship_active()
 
         @F.pandas_udf("array<bigint>")
         def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -118,6 +120,8 @@ class Encoder:
         records = F.filter(records, lambda r: r["freq"].isNotNull() & r["dur"].isNotNull() & r["sys"].isNotNull())
         lines = F.transform(F.coalesce(F.lit(None) if data is None else data, F.array()).cast("array<string>"), lambda x: F.substring_index(x, ":", 1))
 
+        ship_active()
+
         @F.arrow_udf(f"struct<list:{PARTS},freq:{PARTS},dur:{PARTS},sys:{PARTS}>")
         def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
             for own, more in batches:

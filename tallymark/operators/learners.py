@@ -19,8 +19,10 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from tallymark.operators.features import largest_probability
+from tallymark.session import ship_package
 
 STACKED = "_stacking_features"
 
@@ -82,7 +84,10 @@ class StackingClassifier(Estimator):
         fit = lambda rows: PipelineModel([b.fit(rows) for b in bases])
         models = fit(dataset)
         if self.folds:
-            parts = dataset.randomSplit([1.0] * self.folds, self.seed)
+            # By hash, so that folds are the same however often and in what order the rows are read.
+            hashed = [F.col(f"`{c.name}`") for c in dataset.schema if not isinstance(c.dataType, MapType)]
+            fold = F.pmod(F.xxhash64(F.lit(self.seed), *hashed), F.lit(self.folds))
+            parts = [dataset.where(fold == k) for k in range(self.folds)]
             scored = None
             for k, part in enumerate(parts):
                 others = [p for j, p in enumerate(parts) if j != k]
@@ -179,6 +184,7 @@ class BatchModel(Model, DefaultParamsReadable, DefaultParamsWritable):
         return self._set(batchSize=value)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
+        ship_package(dataset.sparkSession)
         data, size = base64.b64decode(self.getOrDefault(self.network)), self.getOrDefault(self.batchSize)
         columns = []
         for name in self.getOrDefault(self.inputCols):

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.geo import RADIUS, degrees_of, haversine, plane_point
+from tallymark.session import ship_active
 
 #: A side is broadcast only if it has at most so many rows, which is checked; else it is shuffled.
 SMALL = 100_000
@@ -99,6 +100,8 @@ def city_of(lng: Column, lat: Column, centres: dict[str, tuple[float, float]], s
                 return names[k]
         return names[order[0 if fallback == "nearest" else -1]]
 
+    ship_active()
+
     @F.pandas_udf("string")
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for xs, ys in batches:
@@ -118,10 +121,15 @@ def city_centres(districts: DataFrame) -> DataFrame:
     return own.unionByName(rest.select("province", strip(F.col("c.name")).alias("city"), F.col("c.center.longitude").alias("lng"), F.col("c.center.latitude").alias("lat")))
 
 
+#: Buckets from which a range is cut more coarsely.
+SPREAD = 1 << 16
+
+
 def range_lookup(rows: DataFrame, ranges: DataFrame, value: str, begin: str = "ip_begin", end: str = "ip_end", shift: int = 16) -> DataFrame:
     """Left join of each row to the range with the greatest begin at or below its value, if the value is at or below that range's end.
 
-    Ranges are cut into buckets of ``2**shift`` numbers, and rows join the pieces of their own bucket.
+    Ranges are cut into buckets of ``2**shift`` numbers, and rows join the pieces of their own bucket. A range of
+    ``SPREAD`` buckets or more is cut into buckets 2**16 times as wide, in a join of its own that only such ranges cause.
     A range counts in a bucket only where no later range begins before it, so ranges may overlap; each
     row meets the few pieces of its bucket and the best is kept by a maximum, not by a sort.
     """
@@ -136,11 +144,21 @@ def range_lookup(rows: DataFrame, ranges: DataFrame, value: str, begin: str = "i
     heads = firsts.groupBy("_part").agg(F.min(begin).alias("_head"))
     following = heads.withColumn("_after", F.lead("_head").over(Window.orderBy("_part"))).select("_part", "_after")
     bounded = firsts.withColumn("_next", within).join(following, "_part").withColumn("_until", F.least(F.col(f"_r.{end}"), F.coalesce(F.col("_next"), F.col("_after"), F.lit((1 << 63) - 1)) - 1))
-    pieces = bounded.where(F.col("_until") >= F.col(begin)).withColumn("_bucket", F.explode(F.sequence(F.shiftright(F.col(begin), shift), F.shiftright(F.col("_until"), shift))))
-    pieces = pieces.select("_bucket", F.col(begin), "_until", "_r")
-    keyed = rows.withColumn("_bucket", F.shiftright(F.col(value), shift))
-    joined = keyed.join(pieces, (keyed["_bucket"] == pieces["_bucket"]) & F.col(value).between(F.col(begin), F.col("_until")), "left")
-    return joined.select(*[keyed[c] for c in rows.columns], F.col(begin), F.col(f"_r.{end}").alias(end), *[F.col(f"_r.{c}").alias(c) for c in extra])
+    bounded = bounded.where(F.col("_until") >= F.col(begin)).select(F.col(begin).alias("_from"), "_until", "_r")
+    width, shifts = F.col("_until") - F.col("_from"), [shift]
+    widest = bounded.agg(F.max(width)).first()[0] or 0
+    while widest >> shifts[-1] >= SPREAD:
+        shifts.append(shifts[-1] + 16)
+    joined = rows
+    for k, s in enumerate(shifts):
+        own = bounded.where(F.shiftright(width, s) < SPREAD) if s < shifts[-1] else bounded
+        own = own.where(F.shiftright(width, shifts[k - 1]) >= SPREAD) if k else own
+        pieces = own.select(F.explode(F.sequence(F.shiftright("_from", s), F.shiftright("_until", s))).alias("_bucket"), "_from", "_until", F.struct(F.col("_from").alias(begin), "_r").alias(f"_hit{k}"))
+        match = (F.shiftright(F.col(value), s) == F.col("_bucket")) & F.col(value).between(F.col("_from"), F.col("_until"))
+        joined = joined.join(pieces, match, "left").drop("_bucket", "_from", "_until")
+    hit = F.coalesce(*[F.col(f"_hit{k}") for k in range(len(shifts))])
+    names = [c for c in joined.columns if not c.startswith("_hit")]
+    return joined.withColumn("_hit", hit).select(*names, F.col(f"_hit.{begin}").alias(begin), F.col(f"_hit._r.{end}").alias(end), *[F.col(f"_hit._r.{c}").alias(c) for c in extra])
 
 
 def hash_lookup(rows: DataFrame, entries: DataFrame, key: str, value: str, default: object = None, small: int = SMALL) -> DataFrame:

@@ -14,10 +14,10 @@ from collections.abc import Callable, Iterable, Iterator
 
 import ahocorasick
 import pandas as pd
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallymark.session import ship_package
+from tallymark.session import ship_active
 
 #: Automata that a process keeps at most.
 KEPT = 4
@@ -40,9 +40,7 @@ def automaton_of(key: str, words: Iterable[str]) -> ahocorasick.Automaton:
 
 def _searched(text: Column, words: Iterable[str], kind: str, nothing: object, search: Callable) -> Column:
     """A column of ``search(automaton, text)``."""
-    session = SparkSession.getActiveSession()
-    if session is not None:
-        ship_package(session)
+    ship_active()
     words = sorted({w for w in words if w})
     key = hashlib.sha256("\0".join(words).encode()).hexdigest()
 

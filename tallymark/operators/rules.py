@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.records import app_records, rule_lines
+from tallymark.session import ship_active
 
 #: From so many words on, one pass of an automaton over Arrow batches beats one expression for each: at sf0.1 2.6 and 1.7 s for three words, 1.9 and 1.7 s for two.
 ARROW_COUNTERS = 3
@@ -377,6 +378,8 @@ def _matcher(counters: list[Counter]):
             words.setdefault(c.word, []).append((k, c.apps, c.query == "1"))
     only_queries = all(q for found in words.values() for *_, q in found)
 
+    ship_active()
+
     @F.pandas_udf("array<int>")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import ahocorasick

@@ -17,6 +17,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallymark.session import ship_active
+
 PARTS = "struct<indices:array<int>,values:array<double>>"
 
 
@@ -72,6 +74,7 @@ def rows_of(lists: pa.ListArray) -> np.ndarray:
 def numbers_of(names: Column, dictionary: dict[str, int], missing: int = -1) -> Column:
     """An array of names as array<int> of their numbers; null counts as empty."""
     places = Places(dictionary)
+    ship_active()
 
     @F.arrow_udf("array<int>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -85,6 +88,7 @@ def numbers_of(names: Column, dictionary: dict[str, int], missing: int = -1) ->
 def number_of(name: Column, dictionary: dict[str, int]) -> Column:
     """A name's number, null if it has none."""
     places = Places(dictionary)
+    ship_active()
 
     @F.arrow_udf("int")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:

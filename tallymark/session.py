@@ -28,6 +28,13 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def ship_active() -> None:
+    """Ship the package in the active session, if there is one: for functions that make a column, not a frame."""
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        ship_package(session)
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``, or the context's checkpoint folder, as a URI.
 

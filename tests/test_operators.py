@@ -1,5 +1,9 @@
 import math
+import os
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -73,6 +77,38 @@ def test_range_lookup(spark):
     assert sorted(((r.v, r.name) for r in found.collect()), key=str) == sorted(((v, want(v)) for v in values), key=str)
 
 
+def test_range_lookup_of_wide_ranges(spark):
+    ranges = [(0, 9, "a"), (10, 2**48, "b"), (2**40, 2**40 + 1, "c"), (2**60, 2**62, "d"), (2**62 + 7, 2**62 + 8, "e")]
+    values = [9, 10, 70_000, 2**39 + 5, 2**40, 2**40 + 1, 2**40 + 2, 2**48, 2**48 + 1, 2**60 - 1, 2**60, 2**61 + 3, 2**62, 2**62 + 1, 2**62 + 8, None]
+    found = range_lookup(spark.createDataFrame([(v, "x") for v in values], "v long, name_ string"), spark.createDataFrame(ranges, "ip_begin long, ip_end long, name string"), "v")
+
+    def want(v):
+        best = max((r for r in ranges if v is not None and r[0] <= v), default=None)
+        return best if best and v <= best[1] else (None, None, None)
+
+    assert found.columns == ["v", "name_", "ip_begin", "ip_end", "name"]
+    assert sorted(((r.v, r.ip_begin, r.ip_end, r.name) for r in found.collect()), key=str) == sorted(((v, *want(v)) for v in values), key=str)
+
+
+def test_functions_work_where_executors_lack_the_package(tmp_path):
+    """The driver finds the package by a path of its own, which is not the workers'."""
+    script = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})
+from pyspark.sql import SparkSession, functions as F
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+from tallymark.functions.des import des_decrypt, des_encrypt
+from tallymark.operators import tagging
+lines = spark.createDataFrame([("u", ["0:app:ab cd ef"], "1")], "userid string, data array<string>, date string")
+print(tagging.row_tags(lines, ["data_word=:0:ab,cd,ef"]).collect())
+print("back", lines.select(des_decrypt(des_encrypt(F.lit("text"), b"12345678"), b"12345678")).first()[0])
+"""
+    (tmp_path / "job.py").write_text(script)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(tmp_path / "job.py")], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert "back text" in done.stdout, done.stderr[-2000:]
+
+
 def test_hash_lookup_and_colleges(spark):
     rows = spark.createDataFrame([("a",), ("z",), (None,)], "k string")
     for small in (0, 10):
