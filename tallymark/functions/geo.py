@@ -143,8 +143,10 @@ def poi_row(name: Column, x: Column, y: Column, alias: Column, std_tag: Column,
 
     x and y are hundredths of projected metres. Null aliases and tag are empty; a null name or coordinate gives null.
     """
-    bd = mercator_to_bd09(x / 100, y / 100)
-    gcj = bd09_to_gcj02(*bd)
-    numbers = [c.cast("string") for c in (*bd, *gcj, *gcj02_to_wgs84(*gcj))]
+    # Each step's result is bound to a lambda's argument, as the next one names it many times over.
+    bound = lambda pair, then: F.transform(F.array(F.struct(pair[0].alias("x"), pair[1].alias("y"))), then)[0]
+    text = lambda *values: F.array(*[v.cast("string") for v in values])
+    wgs = lambda bd, gcj: bound(gcj02_to_wgs84(gcj.x, gcj.y), lambda w: text(bd.x, bd.y, gcj.x, gcj.y, w.x, w.y))
+    numbers = bound((x, y), lambda m: bound(mercator_to_bd09(m.x / 100, m.y / 100), lambda bd: bound(bd09_to_gcj02(bd.x, bd.y), lambda gcj: wgs(bd, gcj))))
     aliases = F.array_join(F.coalesce(alias, F.array().cast("array<string>")), separator)
-    return F.when(name.isNotNull() & x.isNotNull() & y.isNotNull(), F.concat_ws(",", name, *numbers, aliases, F.coalesce(std_tag, F.lit(""))))
+    return F.when(name.isNotNull() & x.isNotNull() & y.isNotNull(), F.concat_ws(",", name, F.array_join(numbers, ",", ""), aliases, F.coalesce(std_tag, F.lit(""))))
