@@ -520,13 +520,16 @@ def _band_sql(k: int) -> str:
     return f"when abs(my) >= {geo.BANDS[k]!r} then struct_pack(x := round_even({c[0]!r}::double + {c[1]!r}::double * abs(mx), 6), y := round_even({poly}, 6))"
 
 
-@register(f"""
+MERCATOR_SQL = f"""
 with m as (select c_custkey, (8000000.0 + (c_custkey * 7919 % 700000) * 10)::double as mx, ((c_custkey * 104729 % 1300000) * 10)::double as my from customer),
 b as (select c_custkey, s.x, s.y from (select c_custkey, case {" ".join(_band_sql(k) for k in range(6))} end as s from m)),
 g as (select c_custkey, x, y, {_GCJ_SQL} * cos({_THETA_SQL}) as lng, {_GCJ_SQL} * sin({_THETA_SQL}) as lat from (select *, {_GCJ} from b)),
 w as (select * from {_wgs_sql("g")})
-select b.c_custkey, {fixed_sql("x")} as bd_lng, {fixed_sql("y")} as bd_lat, {fixed_sql("lng")} as gcj_lng, {fixed_sql("lat")} as gcj_lat, {fixed_sql("wlng")} as wgs_lng, {fixed_sql("wlat")} as wgs_lat from b join w using (c_custkey)
-""")
+"""
+COORDINATES = f"""{fixed_sql("x")} as bd_lng, {fixed_sql("y")} as bd_lat, {fixed_sql("lng")} as gcj_lng, {fixed_sql("lat")} as gcj_lat, {fixed_sql("wlng")} as wgs_lng, {fixed_sql("wlat")} as wgs_lat"""
+
+
+@register(f"{MERCATOR_SQL} select b.c_custkey, {COORDINATES} from b join w using (c_custkey)")
 def geo_mercator(read) -> DataFrame:
     k = F.col("c_custkey")
     metres = read("customer").select(k, (F.lit(8000000.0) + (k * 7919 % 700000) * 10).cast("double").alias("lng"), ((k * 104729 % 1300000) * 10).cast("double").alias("lat"))

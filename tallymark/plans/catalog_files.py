@@ -17,7 +17,8 @@ from tallymark.functions.ids import cell_values
 from tallymark.operators import evaluation, tagging
 from tallymark.operators.lookups import city_centres, range_lookup
 from tallymark.operators.polygons import with_city, with_shapes
-from tallymark.plans.catalog import _IP_SQL, _addresses, _event_rows, _ranges, _scored, fixed, fixed_sql, register
+from tallymark.operators.rules import once
+from tallymark.plans.catalog import _IP_SQL, COORDINATES, MERCATOR_SQL, _addresses, _event_rows, _ranges, _scored, fixed, fixed_sql, register
 from tallymark.session import shared_path
 from tallymark.sources import ip_ranges, readers, writers
 
@@ -323,13 +324,13 @@ def district_dictionary(read) -> DataFrame:
     return nation.sparkSession.createDataFrame([(len(found), len({x["name"] for x in found}))], "n long, names long")
 
 
-@register("""
-select c_custkey, c_name as name, case c_custkey % 3 when 0 then '' when 1 then 'a1' else 'a1;a2' end as alias, case when c_custkey % 2 = 0 then 'tag' else '' end as tag, 9 as fields from customer
+@register(f"""
+{MERCATOR_SQL} select c.c_custkey, c_name as name, case c.c_custkey % 3 when 0 then '' when 1 then 'a1' else 'a1;a2' end as alias, case when c.c_custkey % 2 = 0 then 'tag' else '' end as tag, 9 as fields, {COORDINATES} from customer c join b using (c_custkey) join w using (c_custkey)
 """)
 def poi_rows(read) -> DataFrame:
     k = F.col("c_custkey")
     alias = F.when(k % 3 == 1, F.array(F.lit("a1"))).when(k % 3 == 2, F.array(F.lit("a1"), F.lit("a2")))
     x, y = F.lit(800000000) + (k * 7919 % 700000) * 1000, (k * 104729 % 1300000) * 1000
-    rows = read("customer").select(k, F.split(geo.poi_row(F.col("c_name"), x, y, alias, F.when(k % 2 == 0, "tag")), ",").alias("p"))
-    numbers = F.forall(F.slice("p", 2, 6), lambda c: c.try_cast("double").isNotNull())
-    return rows.where(numbers).select("c_custkey", F.col("p")[0].alias("name"), F.col("p")[7].alias("alias"), F.col("p")[8].alias("tag"), F.size("p").alias("fields"))
+    rows = once(read("customer").select(k, "c_name"), "p", F.split(geo.poi_row(F.col("c_name"), x, y, alias, F.when(k % 2 == 0, "tag")), ","))
+    numbers = [fixed(F.col("p")[k + 1].cast("double")).alias(c) for k, c in enumerate(("bd_lng", "bd_lat", "gcj_lng", "gcj_lat", "wgs_lng", "wgs_lat"))]
+    return rows.select("c_custkey", *numbers, F.col("p")[0].alias("name"), F.col("p")[7].alias("alias"), F.col("p")[8].alias("tag"), F.size("p").alias("fields"))
