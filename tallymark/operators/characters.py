@@ -14,18 +14,23 @@ Null and empty texts have one window of padding only. Codes of characters beyond
 from __future__ import annotations
 
 import io
+from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.operators.learners import BatchModel
 from tallymark.operators.trainer import Plan, State, loss_and_slope, train
+from tallymark.session import ship_active
 
 #: Rows that are convolved at once.
 BLOCK = 256
+#: Codes of windows that a batch holds before it is handed on; a text's windows stay together.
+CODES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -96,14 +101,45 @@ class CharNetwork:
         return lambda x: network.forward(weights, x)
 
 
+def _windows(text: str | None, size: int, step: int, chars: int) -> np.ndarray:
+    """A text's windows as rows."""
+    points = np.frombuffer((text or "").encode("utf-32-le"), "<u4")
+    n = max(1, -(-(len(points) - (size - step)) // step))
+    codes = np.zeros((n - 1) * step + size, np.int32)
+    codes[: len(points)] = 1 + points % (chars - 1)
+    return np.lib.stride_tricks.sliding_window_view(codes, size)[::step]
+
+
+def _nested(windows: list[np.ndarray], size: int) -> pa.Array:
+    ends = np.cumsum([0, *[len(w) for w in windows]])
+    rows = pa.ListArray.from_arrays(pa.array(np.arange(ends[-1] + 1) * size, pa.int32()), pa.array(np.concatenate(windows).ravel()))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), rows)
+
+
 def character_windows(text: Column, size: int = 256, widest: int = 5, chars: int = 1024) -> Column:
     """array<array<int>>: the windows of a text, each ``size`` codes; 0 pads, a character's code is 1 and up."""
-    codes = F.transform(F.split(F.coalesce(text, F.lit("")), ""), lambda c: F.when(c == "", 0).otherwise(1 + F.pmod(F.ascii(c), F.lit(chars - 1))).cast("int"))
-    codes = F.filter(codes, lambda c: c > 0)
     step = size - widest + 1
-    starts = F.sequence(F.lit(0), F.greatest(F.ceil((F.size(codes) - F.lit(widest - 1)) / step).cast("int") - 1, F.lit(0)))
-    window = lambda k: F.slice(codes, k * step + 1, size)
-    return F.transform(starts, lambda k: F.concat(window(k), F.array_repeat(F.lit(0), F.lit(size) - F.size(window(k)))))
+    ship_active()
+
+    @F.arrow_udf("array<array<int>>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            own, held = [], 0
+            for x in batch:
+                own.append(_windows(x.as_py(), size, step, chars))
+                held += own[-1].size
+                if held >= CODES:
+                    yield _nested(own, size)
+                    own, held = [], 0
+            if own:
+                yield _nested(own, size)
+
+    return run(text.cast("string"))
+
+
+def window_count(text: Column, size: int, widest: int) -> Column:
+    """How many windows character_windows gives."""
+    return F.greatest(F.ceil((F.length(F.coalesce(text, F.lit(""))) - F.lit(widest - 1)) / (size - widest + 1)), F.lit(1))
 
 
 def windows_of(frame: DataFrame, text_col: str, size: int, widest: int, chars: int) -> DataFrame:
@@ -125,8 +161,9 @@ class CharClassifier:
     def fit(self, frame: DataFrame, text_col: str = "text", label: str = "label", ranks: int | None = None, folder: str | None = None) -> State:
         """Train on (text, label); labels are 0 to outputs - 1, null ones are left out."""
         labelled = frame.where(F.col(label).isNotNull()).select(F.col(text_col).alias("text"), F.col(label).cast("int").alias("label"))
-        rows = windows_of(labelled, "text", self.size, max(self.network.widths), self.network.chars)
-        n = rows.count()
+        widest = max(self.network.widths)
+        rows = windows_of(labelled, "text", self.size, widest, self.network.chars)
+        n = labelled.agg(F.sum(window_count(F.col("text"), self.size, widest))).first()[0] or 0
         plan = replace(self.plan, batch_rows=max(1, -(-min(n, self.most_windows) // self.steps)))
         if n > self.most_windows:
             rows = rows.where(F.pmod(F.xxhash64("window"), F.lit(1 << 20)) < int((1 << 20) * self.most_windows / n))

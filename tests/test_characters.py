@@ -1,9 +1,11 @@
+import time
+
 import numpy as np
 import pytest
 
 from pyspark.sql import functions as F
 
-from tallymark.operators.characters import CharClassifier, CharNetwork, character_windows
+from tallymark.operators.characters import CharClassifier, CharNetwork, character_windows, window_count
 from tallymark.operators.learners import BatchModel
 from tallymark.operators.trainer import Plan
 
@@ -38,6 +40,18 @@ def test_lookups_equal_a_plain_convolution():
         np.testing.assert_allclose(got, np.array(pooled) @ weights[-2] + weights[-1])
 
 
+def test_windows_of_a_long_text_take_time_by_its_length(spark):
+    """Cut anew for each window, the text's characters were made 2 x 8,000 times."""
+    text = "ein langer Text, " * 120_000
+    frame = spark.createDataFrame([(text,), (None,), ("ab",)], "text string")
+    began = time.perf_counter()
+    found = frame.select(F.size(character_windows(F.col("text"))), window_count(F.col("text"), 256, 5), F.element_at(character_windows(F.col("text")), -1)).collect()
+    assert time.perf_counter() - began < 30
+    assert [tuple(r[:2]) for r in found] == [(8096, 8096), (1, 1), (1, 1)]
+    codes = [1 + ord(c) % 1023 for c in text[252 * 8095 :]]
+    assert found[0][2] == codes + [0] * (256 - len(codes))
+
+
 def test_windows_hold_every_run_of_characters(spark):
     frame = spark.createDataFrame(list(enumerate(TEXTS)), "k int, text string")
     for k, text, windows in frame.select("k", "text", character_windows(F.col("text"), 8, 3, 1024)).collect():
