@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymark.functions import geo
@@ -385,13 +385,26 @@ def token_encode(read) -> DataFrame:
 _APPS = ["click", "view", "purchase", "error"]
 
 
+def _summed_in_order(events: DataFrame, *keys: Column) -> DataFrame:
+    """(keys, n, v): how many events, and the sum of their values in order of event_id.
+
+    A sum of doubles depends on its order, and its whole part with it; a sum of partial sums is that of no order of rows.
+    The running sum goes over sorted rows, which a window keeps on disk beyond its memory.
+    """
+    rows = events.select(*keys, "event_id", "value")
+    names = rows.columns[: len(keys)]
+    running = rows.withColumn("_sum", F.sum("value").over(Window.partitionBy(*names).orderBy("event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return running.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.max_by("_sum", "event_id").alias("v"))
+
+
 @register(f"""
 with e as (select user_id as userid, event_type, count(*) as n, floor(sum(value)) as v from events group by 1, 2), u as (select distinct userid from e)
 select userid, {", ".join(f"coalesce(max(1.0::double) filter (event_type = '{a}'), 0.0) as has_{a}, coalesce(max(n::double) filter (event_type = '{a}'), 0.0) as freq_{a}, coalesce(max(v::double) filter (event_type = '{a}'), 0.0) as dur_{a}, coalesce(max(-1.0::double) filter (event_type = '{a}'), 0.0) as sys_{a}" for a in _APPS)} from e group by userid
 """)
 def app_multi_hot(read) -> DataFrame:
-    each = read("events").groupBy(F.col("user_id").alias("userid"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.floor(F.sum("value")).alias("v"))
-    record = F.concat_ws(":", "event_type", F.lit("2"), F.col("n").cast("string"), F.col("v").cast("string"), F.lit("x"))
+    each = _summed_in_order(read("events"), F.col("user_id").alias("userid"), F.col("event_type"))
+    whole = F.when(F.abs("v") < 2.0**62, F.floor("v").cast("string")).otherwise(F.col("v").cast("string"))  # a value that is no number has no whole part
+    record = F.concat_ws(":", "event_type", F.lit("2"), F.col("n").cast("string"), F.coalesce(whole, F.lit("")), F.lit("x"))
     encoder = features.Encoder({}, {a: k for k, a in enumerate(_APPS)})
     found = each.groupBy("userid").agg(F.collect_list(record).alias("apps")).select("userid", encoder.app_features(F.col("apps")).alias("f"))
     return found.select("userid", *[F.col(f"f.{src}")[k].alias(f"{name}_{a}") for k, a in enumerate(_APPS) for src, name in (("list", "has"), ("freq", "freq"), ("dur", "dur"), ("sys", "sys"))])
