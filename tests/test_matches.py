@@ -1,6 +1,8 @@
 import random
 import time
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,3 +66,18 @@ def test_an_automaton_is_built_once_a_process(monkeypatch):
     for k in range(matching.KEPT):
         matching.automaton_of(f"k{k}", ["b"])
     assert "k" not in matching._AUTOMATA and len(matching._AUTOMATA) == matching.KEPT
+
+
+def test_a_run_of_matches_is_handed_on_when_it_is_full(spark, monkeypatch):
+    """Texts whose matches, a dict each, were all held at once; now a run's are numbers, and a run ends between texts."""
+    batches, udf = [], F.arrow_udf
+    monkeypatch.setattr(F, "arrow_udf", lambda kind: lambda f: batches.append(f) or udf(kind)(f))
+    matches(F.col("x"), ["ab", "b"])
+    texts = pa.array(["ab" * 40_000, None, "", "b", *["ab" * 30_000] * 20])
+    sizes = [(len(x), len(x.flatten())) for x in batches[0](iter([texts]))]
+    assert sum(n for n, _ in sizes) == len(texts) and max(m for _, m in sizes) < (1 << 17) + 80_000 and len(sizes) > 5
+    tracemalloc.start()
+    for _ in batches[0](iter([texts])):
+        pass
+    assert tracemalloc.get_traced_memory()[1] < 30_000_000
+    tracemalloc.stop()
