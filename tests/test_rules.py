@@ -1,5 +1,6 @@
 import re
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -162,3 +163,17 @@ def test_wide_rules_sum_by_exploding(spark):
     frame = rows(spark, ["a7:0:", "a299:0:"], ["a7:0:"], None).withColumn("userid", F.lit("u"))
     found = user_tags(sub_scores(frame, rules), rules).first()
     assert found.tags == [3] and found.sub_scores[7] == 2 and found.sub_scores[299] == 1
+
+
+def test_counts_are_handed_on_in_bounded_runs(spark, monkeypatch):
+    """Lines of a whole batch were Python objects at once."""
+    from tallymark.operators import rules
+
+    made, udf = [], rules.F.arrow_udf
+    monkeypatch.setattr(rules.F, "arrow_udf", lambda kind: lambda f: made.append(f) or udf(kind)(f))
+    monkeypatch.setattr(rules, "RUN_COUNTS", 6)
+    rules._matcher([c for c in rules.compile_rules(["data_word=all:0:ab,b,c"]).counters() if c.kind == "data_word"])
+    rows = [None, [], *[[{"app": "x", "corpus": "abcab", "is_query": False}]] * 5]
+    kind = pa.list_(pa.struct([("app", pa.string()), ("corpus", pa.string()), ("is_query", pa.bool_())]))
+    found = [x.to_pylist() for x in made[0](iter([pa.array(rows, kind)]))]
+    assert len(found) == 4 and sum(found, []) == [[0, 0, 0]] * 2 + [[2, 2, 1]] * 5
