@@ -28,7 +28,9 @@ from tallymark.operators.rules import Node, Range, RuleSet, Slot, compile_rules
 from tallymark.session import ship_package
 
 #: Values of a matrix at most, one row at least.
-CELLS = 1 << 22
+CELLS = 1 << 20
+#: Nodes of a layer that are evaluated at once, so that their inputs stay in a core's cache.
+NODES = 256
 SCORES = "array<struct<place:int,score:int>>"
 _SCORES = pa.list_(pa.struct([("place", pa.int32()), ("score", pa.int32())]))
 KINDS = ("apps_days", "apps_freq", "apps_list")
@@ -36,6 +38,13 @@ KINDS = ("apps_days", "apps_freq", "apps_list")
 _AUTOMATA: dict[str, ahocorasick.Automaton] = {}
 
 
+def _reduced(operation: np.ufunc, x: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Runs of rows reduced to one each; pairs, the most frequent case, by one operation."""
+    if len(x) == 2 * len(starts) and (starts[1:] - starts[:-1] == 2).all():
+        return operation(x[::2], x[1::2])
+    return operation.reduceat(x, starts, axis=0)
+
+
 class Layers:
     """Expressions over numbered values, in layers of one kind whose inputs are ready."""
 
@@ -86,7 +95,8 @@ class Layers:
 
     def close(self) -> None:
         """Arrays for each layer: kind, outputs, inputs, where each one's inputs begin, bounds."""
-        for (_, kind), nodes in sorted(self.nodes.items()):
+        parts = [(kind, nodes[at : at + NODES]) for (_, kind), nodes in sorted(self.nodes.items()) for at in range(0, len(nodes), NODES)]
+        for kind, nodes in parts:
             outs, inputs, low, high = zip(*nodes, strict=True)
             starts = np.cumsum([0, *[len(x) for x in inputs]])[:-1]
             self.layers.append((kind, np.array(outs), np.array([k for x in inputs for k in x]), starts, np.array(low)[:, None], np.array(high)[:, None]))
@@ -97,9 +107,9 @@ class Layers:
         for kind, outs, inputs, starts, low, high in self.layers:
             x = values[inputs]
             if kind == "sum":
-                values[outs] = np.add.reduceat(x, starts, axis=0)
+                values[outs] = _reduced(np.add, x, starts)
             elif kind == "least":
-                values[outs] = np.minimum.reduceat(x, starts, axis=0)
+                values[outs] = _reduced(np.minimum, x, starts)
             elif kind == "not":
                 values[outs] = x <= 0
             elif kind == "range":

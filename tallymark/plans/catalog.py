@@ -18,6 +18,7 @@ from tallymark.operators import matches as matching
 from tallymark.operators.arrays import latest_merge, sum_maps
 from tallymark.operators.learners import StackingClassifier, boosted_trees, sparse_logistic
 from tallymark.operators.lookups import college_places, hash_lookup, range_lookup, within_radius
+from tallymark.operators.rules import once
 from tallymark.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,12 +169,17 @@ def rule_thousands(read) -> DataFrame:
     pairs = [f"data_word=all:0:{a}+{b}" for a in _SYLLABLES for b in _SYLLABLES]
     apps = f"data_word={','.join(f'src{k}' for k in range(100_000))}:0:the"
     found = programs.with_program_tags(_document_lines(read).select(F.col("userid").alias("doc_id"), "data"), [*pairs, apps])
-    of_pairs, last = F.filter("tags", lambda x: x["place"] < len(pairs)), F.filter("tags", lambda x: x["place"] == len(pairs))
-    add = lambda column, value: F.aggregate(column, F.lit(0).cast("long"), lambda acc, x: acc + value(x))
-    return found.select(
-        "doc_id", F.size(of_pairs).alias("n_tags"), add(of_pairs, lambda x: x["score"]).alias("total"), add(of_pairs, lambda x: (x["place"] % 997) * x["score"]).alias("weighted"),
-        add(last, lambda x: x["score"]).cast("int").alias("by_apps"),
-    )
+    number = lambda value: value.cast("long")
+    pair = lambda x: x["place"] < len(pairs)
+    start = F.struct(*[F.lit(0).cast("long").alias(k) for k in ("n_tags", "total", "weighted", "by_apps")])
+    add = lambda acc, x: F.struct(
+        (acc["n_tags"] + number(pair(x))).alias("n_tags"),
+        (acc["total"] + F.when(pair(x), x["score"]).otherwise(0)).alias("total"),
+        (acc["weighted"] + F.when(pair(x), (x["place"] % 997) * number(x["score"])).otherwise(0)).alias("weighted"),
+        (acc["by_apps"] + F.when(pair(x), 0).otherwise(x["score"])).alias("by_apps"),
+    )
+    sums = once(found.select("doc_id", "tags"), "_s", F.aggregate("tags", start, add))  # one pass over a row's tags, which may be thousands
+    return sums.select("doc_id", F.col("_s.n_tags").cast("int").alias("n_tags"), "_s.total", "_s.weighted", F.col("_s.by_apps").cast("int").alias("by_apps"))
 
 
 # Rules over events: a user's day is a row; a line is event_type:event_id:props:flag.

@@ -102,3 +102,10 @@ def test_plan_keeps_columns(spark):
     found = with_program_tags(frame(spark, ROWS), RULES, "data", None, out="found")
     assert found.columns == ["userid", "data", "apps", "Tags, x", "place", "found"]
     assert found.select(F.size("found")).count() == len(ROWS)
+
+
+def test_layers_are_evaluated_in_bounded_parts():
+    """One layer of thousands of nodes was gathered at once, beyond any cache."""
+    words = [a + b for a in "bcdfghjk" for b in "aeiou"]
+    program = programs.RuleProgram(compile_rules([f"data_word=all:0:{a}+{b}" for a in words for b in words]))
+    assert max(len(outs) for _, outs, *_ in program.row.layers) <= 256 and sum(len(outs) for _, outs, *_ in program.row.layers) >= 700
