@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallymark.operators import features
 from tallymark.operators.characters import CharClassifier, CharNetwork
 from tallymark.operators.learners import BatchModel, StackingClassifier, StackingModel, boosted_trees, sparse_logistic, to_bytes
-from tallymark.operators.towers import counted, shuffled_pairs, train_towers
+from tallymark.operators.towers import shuffled_pairs, train_towers
 from tallymark.operators.trainer import DenseNetwork, Plan, last_state, train
 from tallymark.plans.catalog import _APPS, _VOCABULARY_SQL, VOCABULARY, fixed, fixed_sql, register
 from tallymark.session import shared_path
@@ -170,7 +170,7 @@ def two_towers(read) -> DataFrame:
     """Users and what they clicked on: clicked pairs have a mean similarity at least 0.1 above that of shuffled ones, drawn anew."""
     clicks = read("events").where("event_type = 'click'").select("user_id", F.get_json_object("props", "$.k").alias("k"))
     towers = train_towers(clicks, "user_id", "k")
-    own = counted(clicks, "user_id", "k")
+    own = towers.pairs
     mean = lambda pairs: towers.similarity(pairs).agg(F.avg("similarity")).first()[0] or 0.0
     none = not towers.losses
     scores = (clicks.count(), none or mean(own) >= mean(shuffled_pairs(own, 1, seed=1009)) + 0.1, none or towers.losses[-1] < towers.losses[0])

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallymark.operators.towers import ITEM, USER, _step, counted, shuffled_pairs, train_towers
+from tallymark.operators.towers import ITEM, USER, _cut, _step, _unit, counted, shuffled_pairs, train_towers
 
 CLUSTERS = [(u, i) for u in range(24) for i in range(24) if u % 3 == i % 3 and (u + i) % 4]
 
@@ -66,3 +66,38 @@ def test_shuffled_pairs_are_others_of_the_same_users(spark):
     pairs = {(r.user, r.item) for r in own.collect()}
     assert found and not found & pairs
     assert {u for u, _ in found} <= {u for u, _ in pairs} and {i for _, i in found} <= {i for _, i in pairs}
+
+
+def test_a_step_handles_keys_of_chunks_not_pairs(spark):
+    # A user and an item of 600 pairs each, and 600 users of two.
+    pairs = [("hub", f"i{k}") for k in range(600)] + [(f"u{k}", "top") for k in range(600)] + [(f"u{k}", f"i{k % 5}") for k in range(600)]
+    rows = spark.createDataFrame([(u, i, float(k % 2), 1.0 + k % 3) for k, (u, i) in enumerate(pairs)], "user string, item string, y double, w double")
+    chunks = _cut(rows, 100).collect()
+    found = [(c.users[u], c.items[i], y, w) for c in chunks for u, i, y, w in zip(c.of_user, c.of_item, c.y, c.w, strict=True)]
+    assert sorted(found) == sorted(map(tuple, rows.collect()))
+    assert max(len(c.y) for c in chunks) == 100 and len({c.chunk for c in chunks}) == len(chunks) >= 18
+    assert all(len(set(keys)) == len(keys) for c in chunks for keys in (c.users, c.items))
+    assert sum(len(c.users) for c in chunks) <= 601 + len(chunks)
+    assert sum("hub" in c.users for c in chunks) >= 6 and sum("top" in c.items for c in chunks) >= 12
+    assert [c.y for c in _cut(rows.limit(0), 100).collect()] == []
+
+
+def test_chunks_of_any_size_give_the_same_towers(spark):
+    near = train_towers(frame(spark, CLUSTERS), steps=2, dims=4)
+    want = {(r.side, r.key): r.vec for r in near.table.collect()}
+    for unit in (1, 7):
+        towers = train_towers(frame(spark, CLUSTERS), steps=2, dims=4, small=0, unit=unit)
+        assert {(r.side, r.key): pytest.approx(r.vec) for r in towers.table.collect()} == want
+        assert towers.losses == pytest.approx(near.losses)
+
+
+def test_each_side_is_broadcast_by_its_own_size_and_lengths_are_taken_once(spark):
+    pairs = [(u, u % 3) for u in range(50)]
+    towers = train_towers(frame(spark, pairs), steps=1, dims=4, small=10)
+    assert towers.keys == {USER: 50, ITEM: 3} and towers.pairs.count() == 50
+    scored = towers.similarity(towers.pairs)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") == 1 and scored.count() == 50
+    vectors = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],)], "vec array<double>").select(_unit(F.col("vec")).alias("unit"))
+    assert vectors._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1
+    assert [r.unit for r in vectors.collect()] == [[0.6, 0.8], [0.0, 0.0]]
