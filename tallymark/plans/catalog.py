@@ -392,15 +392,17 @@ _APPS = ["click", "view", "purchase", "error"]
 
 
 def _summed_in_order(events: DataFrame, *keys: Column) -> DataFrame:
-    """(keys, n, v): how many events, and the sum of their values in order of event_id.
+    """(keys, n, v): how many events, and the sum of their values in the order in which the table's files hold them.
 
     A sum of doubles depends on its order, and its whole part with it; a sum of partial sums is that of no order of rows.
+    Identifiers tell no order: they may repeat, be null, or not follow the rows.
     The running sum goes over sorted rows, which a window keeps on disk beyond its memory.
     """
-    rows = events.select(*keys, "event_id", "value")
+    rows = events.select(*keys, "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     names = rows.columns[: len(keys)]
-    running = rows.withColumn("_sum", F.sum("value").over(Window.partitionBy(*names).orderBy("event_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return running.groupBy(*names).agg(F.count(F.lit(1)).alias("n"), F.max_by("_sum", "event_id").alias("v"))
+    until_here = Window.partitionBy(*names).orderBy("_file", "_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = rows.select(*names, F.sum("value").over(until_here).alias("_sum"), F.count(F.lit(1)).over(until_here).alias("_n"))
+    return running.groupBy(*names).agg(F.max("_n").alias("n"), F.max_by("_sum", "_n").alias("v"))
 
 
 @register(f"""

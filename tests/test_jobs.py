@@ -61,6 +61,24 @@ def test_sums_of_apps_do_not_depend_on_splits(spark, tmp_path):
     assert got[1].dur_click == 0.0 and got[1].has_view == 1.0 and got[2].dur_error == 3.0
 
 
+def test_sums_of_apps_are_in_order_of_rows(spark, tmp_path):
+    """Identifiers that fall, repeat or are null: 1 + 1e16 - 1e16 is 0 in order of rows and 1 from the last on."""
+    path = tmp_path / "events.parquet"
+    path.mkdir()
+    values = [1.0, 1e16, -1e16, 5.25]
+    rows = [(e, user, "click", v) for user, ids in ((1, [4, 3, 2, 1]), (2, [7] * 4), (3, [None] * 4), (None, [1, 2, 2, None])) for e, v in zip(ids, values, strict=True)]
+    for k in range(0, len(rows), 3):
+        columns = dict(zip(("event_id", "user_id", "event_type", "value"), map(list, zip(*rows[k : k + 3], strict=True)), strict=True))
+        pq.write_table(pa.table(columns, schema=pa.schema([("event_id", pa.int64()), ("user_id", pa.int64()), ("event_type", pa.string()), ("value", pa.float64())])), path / f"part-{k:02d}.parquet")
+    found = catalog.QUERIES["app_multi_hot"](spark, str(tmp_path)).collect()
+    connection = duckdb.connect()
+    connection.execute(f"set threads=1; create view events as select * from '{path}/*.parquet'")
+    want = connection.execute(catalog.SQL["app_multi_hot"])
+    columns = [c[0] for c in want.description]
+    assert sorted(repr(tuple(r[c] for c in columns)) for r in found) == sorted(map(repr, want.fetchall()))
+    assert {(r.freq_click, r.dur_click) for r in found} == {(4.0, 5.0)}
+
+
 def test_automaton_equals_expressions_over_documents(spark):
     from tallymark.operators.rules import compile_rules, slot_values
 
