@@ -5,7 +5,8 @@ one character less than the widest convolution, so each run of characters that i
 prediction is the class with the largest sum of its windows' log probabilities.
 
 ``CharNetwork`` is trained by ``trainer.train`` and applied by ``learners.BatchModel``. A convolution is looked up, not
-multiplied out: a character's share of a channel is one entry of (characters x channels) for each place of the kernel.
+multiplied out: a character's share of a channel is one entry of (characters x channels) for each place of the kernel, and
+shares are summed once for each different run of three characters in a block of rows, of which there are few in text.
 There is no dropout, as gradients must not depend on the rank that computes them.
 
 Null and empty texts have one window of padding only. Codes of characters beyond the table fall together with others.
@@ -16,6 +17,7 @@ from __future__ import annotations
 import io
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +30,66 @@ from tallymark.operators.trainer import Plan, State, loss_and_slope, train
 from tallymark.session import ship_active
 
 #: Rows that are convolved at once.
-BLOCK = 256
+BLOCK = 1024
+#: Characters of a run whose shares are summed once a block.
+RUN = 3
+#: Keys that are numbered by a table of all that there may be; beyond, by sorting.
+TABLE = 1 << 21
 #: Codes of windows that a batch holds before it is handed on; a text's windows stay together.
 CODES = 1 << 20
 
 
+class Runs(NamedTuple):
+    """The different runs of characters of one width in a block of rows, and which of them begins at each place of each row."""
+
+    codes: np.ndarray
+    at: np.ndarray
+
+
+def _numbered(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys below ``size`` in order, and the number of each key among them."""
+    if size > TABLE:
+        found, number = np.unique(keys, return_inverse=True)
+        return found, number.reshape(keys.shape).astype(np.int32)
+    marked = np.zeros(size, bool)
+    marked[keys] = True
+    found = np.flatnonzero(marked)
+    numbers = np.empty(size, np.int32)
+    numbers[found] = np.arange(len(found))
+    return found, numbers[keys]
+
+
+def _runs_of(ids: np.ndarray, widest: int) -> list[Runs]:
+    """Runs of 1 to RUN characters, or to the widest; a run is numbered by that of one character less and its last."""
+    ids = np.ascontiguousarray(ids.T)
+    letters, own = _numbered(ids, int(ids.max(initial=0)) + 1)
+    found = [Runs(letters[:, None], own)]
+    for width in range(2, min(RUN, widest) + 1):
+        codes, at = found[-1]
+        keys, at = _numbered(at[:-1].astype(np.int64) * len(letters) + own[width - 1 :], len(codes) * len(letters))
+        found.append(Runs(np.column_stack([codes[keys // len(letters)], letters[keys % len(letters)]]), at))
+    return found
+
+
+def _largest(tables: list[tuple[np.ndarray, np.ndarray]], places: int, where: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """Each row's largest sums of the tables' entries over its places, and the first place of each, if asked for."""
+    kind = np.min_scalar_type(places)
+    rows, channels = tables[0][1].shape[1], tables[0][0].shape[1]
+    best = np.full((rows, channels), -np.inf)
+    sums, more, larger = np.empty_like(best), np.empty_like(best), np.empty(best.shape, bool)
+    found = np.zeros((rows, channels), kind) if where else None
+    for place in range(places):
+        for k, (table, at) in enumerate(tables):
+            np.take(table, at[place], 0, out=more if k else sums, mode="clip")  # numbers are in range; to raise, it would copy
+            if k:
+                sums += more
+        if where:
+            np.greater(sums, best, out=larger)
+            np.maximum(found, larger * kind.type(place), out=found)
+        np.maximum(best, sums, out=best)
+    return best, found if found is None else found.astype(np.int64)
+
+
 @dataclass(frozen=True)
 class CharNetwork:
     """Codes 0 to chars - 1 to raw outputs; weights are the embeddings, a kernel and bias a width, and the dense layer's two."""
@@ -49,30 +106,31 @@ class CharNetwork:
         inputs = self.channels * len(self.widths)
         return [draw.normal(0, 0.5, (self.chars, self.embed)), *kernels, draw.normal(0, 1 / np.sqrt(inputs), (inputs, self.outputs)), np.zeros(self.outputs)]
 
-    def pooled(self, weights: list[np.ndarray], ids: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Each channel's largest value (rows x channels of all widths), and where its kernel begins there."""
-        values, places = [], []
+    def pooled(self, weights: list[np.ndarray], ids: np.ndarray, places: bool = False) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Each channel's largest value (rows x channels of all widths), and where its kernel begins there, if asked for."""
+        runs, values, found = _runs_of(ids, max(self.widths)), [], []
         for k, width in enumerate(self.widths):
-            shares = weights[0] @ weights[1 + 2 * k]  # width x chars x channels
-            n = ids.shape[1] - width + 1
-            sums = shares[0][ids[:, :n]]
-            for at in range(1, width):
-                sums += shares[at][ids[:, at : at + n]]
-            place = sums.argmax(1)
-            places.append(place)
-            values.append(np.take_along_axis(sums, place[:, None], 1)[:, 0] + weights[2 + 2 * k])
-        return np.concatenate(values, 1), places
+            tables = []
+            for start in range(0, width, RUN):
+                own = runs[min(RUN, width - start) - 1]
+                shares = sum((weights[0] @ weights[1 + 2 * k][start + at])[own.codes[:, at]] for at in range(own.codes.shape[1]))
+                tables.append((shares, own.at[start:]))
+            best, place = _largest(tables, ids.shape[1] - width + 1, places)
+            values.append(best + weights[2 + 2 * k])
+            found.append(place)
+        return np.concatenate(values, 1), found
 
     def forward(self, weights: list[np.ndarray], x: np.ndarray) -> np.ndarray:
-        ids = x.astype(np.int64)
+        ids = x.astype(np.int32)
         parts = [self.pooled(weights, ids[a : a + BLOCK])[0] @ weights[-2] + weights[-1] for a in range(0, len(ids), BLOCK)]
         return np.concatenate(parts) if parts else np.zeros((0, self.outputs))
 
     def gradients(self, weights: list[np.ndarray], x: np.ndarray, y: np.ndarray) -> tuple[float, list[np.ndarray]]:
         total, found = 0.0, [np.zeros_like(w) for w in weights]
+        channel = np.arange(self.channels)
         for a in range(0, len(y), BLOCK):
-            ids = x[a : a + BLOCK].astype(np.int64)
-            values, places = self.pooled(weights, ids)
+            ids = x[a : a + BLOCK].astype(np.int32)
+            values, places = self.pooled(weights, ids, places=True)
             loss, slope = loss_and_slope(values @ weights[-2] + weights[-1], y[a : a + BLOCK])
             total += loss
             found[-2] += values.T @ slope
@@ -82,9 +140,10 @@ class CharNetwork:
                 own = back[:, k * self.channels : (k + 1) * self.channels]
                 found[2 + 2 * k] += own.sum(0)
                 for at in range(width):
-                    codes = np.take_along_axis(ids, places[k] + at, 1)  # the character that each channel saw
-                    found[1 + 2 * k][at] += np.einsum("bcd,bc->dc", weights[0][codes], own)
-                    np.add.at(found[0], codes, own[:, :, None] * weights[1 + 2 * k][at].T)
+                    codes = np.take_along_axis(ids, places[k] + at, 1).astype(np.int64)  # the character that each channel saw
+                    shares = np.bincount((codes * self.channels + channel).ravel(), own.ravel(), self.chars * self.channels).reshape(-1, self.channels)
+                    found[1 + 2 * k][at] += weights[0].T @ shares
+                    found[0] += shares @ weights[1 + 2 * k][at].T
         return total, found
 
     def to_bytes(self, weights: list[np.ndarray]) -> bytes:
@@ -150,11 +209,10 @@ def windows_of(frame: DataFrame, text_col: str, size: int, widest: int, chars: i
 
 @dataclass
 class CharClassifier:
-    """Tells a class of whole texts; fitted on at most about ``most_windows`` windows, a sample by hash, in ``steps`` steps an epoch."""
+    """Tells a class of whole texts; fitted on all their windows, in ``steps`` steps an epoch however many there are."""
 
     network: CharNetwork
     size: int = 256
-    most_windows: int = 8_000
     steps: int = 6
     plan: Plan = Plan(epochs=5, rate=0.1)
 
@@ -164,10 +222,7 @@ class CharClassifier:
         widest = max(self.network.widths)
         rows = windows_of(labelled, "text", self.size, widest, self.network.chars)
         n = labelled.agg(F.sum(window_count(F.col("text"), self.size, widest))).first()[0] or 0
-        plan = replace(self.plan, batch_rows=max(1, -(-min(n, self.most_windows) // self.steps)))
-        if n > self.most_windows:
-            rows = rows.where(F.pmod(F.xxhash64("window"), F.lit(1 << 20)) < int((1 << 20) * self.most_windows / n))
-        return train(rows, self.network, ["window"], "label", plan, ranks, folder)
+        return train(rows, self.network, ["window"], "label", replace(self.plan, batch_rows=max(1, -(-n // self.steps))), ranks, folder)
 
     def model(self, state: State) -> BatchModel:
         return BatchModel(network=self.network.to_bytes(state.best), inputCols=["window"])

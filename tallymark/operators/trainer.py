@@ -30,12 +30,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tallymark.operators.learners import probabilities, to_bytes
 from tallymark.session import shared_path, ship_package, staged
 
 #: Rows whose gradients are computed at once.
 BLOCK_ROWS = 2048
+#: Groups of rows that are dealt to ranks by hash; a task's rows fall to one after another.
+LANES = 1 << 20
 
 
 class Network(Protocol):
@@ -202,7 +205,7 @@ def _epoch(network: Network, plan: Plan, packed: bytes, steps: int, folder: str)
         for batch in batches:
             step = batch.column(0).to_numpy()
             y = batch.column(2).to_numpy().astype(np.int64)
-            x = np.stack(batch.column(1).to_numpy(zero_copy_only=False)) if len(y) else np.zeros((0, 0))
+            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(y), -1) if len(y) else np.zeros((0, 0))
             for low, high in _runs(step):
                 while state.step < step[low] and not state.stopped:
                     close()
@@ -227,7 +230,9 @@ def _numbers(frame: DataFrame, name: str) -> Column:
     kind = frame.schema[name].dataType
     if isinstance(kind, VectorUDT):
         return vector_to_array(name)
-    return F.col(name).cast("array<double>") if kind.typeName() == "array" else F.array(F.col(name).cast("double"))
+    if kind.typeName() == "array":
+        return F.col(name) if isinstance(kind.elementType, IntegralType) else F.col(name).cast("array<double>")
+    return F.array(F.col(name).cast("double"))
 
 
 def train(frame: DataFrame, network: Network, inputs: list[str], label: str = "label", plan: Plan = Plan(), ranks: int | None = None, folder: str | None = None) -> State:  # noqa: B008
@@ -242,14 +247,15 @@ def train(frame: DataFrame, network: Network, inputs: list[str], label: str = "l
     if state is not None and (state.stopped or state.epoch >= plan.epochs):
         return state
     rows = frame.select(F.concat(*[_numbers(frame, x) for x in inputs]).alias("x"), F.col(label).cast("int").alias("y"))
-    rows = staged(rows.where("x is not null and y is not null"), "training-rows")
+    lane = F.pmod(F.monotonically_increasing_id(), F.lit(LANES)).alias("lane")  # kept, as it deals rows to ranks without sorting them all to be the same again
+    rows = staged(rows.where("x is not null and y is not null").select("x", "y", lane), "training-rows")
     steps = max(1, -(-rows.count() // plan.batch_rows))
     if state is None:
         weights = network.start(plan.seed)
         state = State(weights, [np.zeros_like(w) for w in weights], weights)
     while state.epoch < plan.epochs and not state.stopped:
-        step = F.pmod(F.xxhash64("x", "y", F.lit(plan.seed), F.lit(state.epoch)), F.lit(steps)).alias("step")
-        own = rows.select(step, "x", "y").where(F.col("step") >= state.step).repartition(ranks).sortWithinPartitions("step")
+        step = F.pmod(F.xxhash64(F.col("x").cast("array<double>"), "y", F.lit(plan.seed), F.lit(state.epoch)), F.lit(steps)).alias("step")  # the same for whole numbers of any type
+        own = rows.select(step, "x", "y", "lane").where(F.col("step") >= state.step).repartition(ranks, "lane").sortWithinPartitions("step").select("step", "x", "y")
         found = own.mapInArrow(_epoch(network, plan, state.pack(), steps, folder), "rank int, state binary", barrier=True)
         packed = next((r.state for r in found.collect() if r.state is not None), None)
         if packed is not None:  # None: no row is left, so Spark ran no task

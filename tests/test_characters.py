@@ -5,6 +5,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from tallymark.operators import characters
 from tallymark.operators.characters import CharClassifier, CharNetwork, character_windows, window_count
 from tallymark.operators.learners import BatchModel
 from tallymark.operators.trainer import Plan
@@ -63,6 +64,30 @@ def test_windows_hold_every_run_of_characters(spark):
         assert {r for r in runs if 0 not in r} <= want
 
 
+def test_a_network_is_fitted_on_every_window(spark, monkeypatch):
+    """Of more than 8,000 windows the fit took a sample."""
+    taken = []
+    monkeypatch.setattr(characters, "train", lambda rows, network, inputs, label, plan, *_: taken.append((rows.select(*inputs, label).count(), plan.batch_rows)))
+    frame = spark.createDataFrame([("".join(chr(97 + (k * j) % 25) for j in range(40_000)), k % 2) for k in range(60)] + [("left out", None)], "text string, label int")
+    n = frame.where("label is not null").agg(F.sum(window_count(F.col("text"), 256, 5))).first()[0]
+    CharClassifier(CharNetwork()).fit(frame)
+    assert n > 9_000 and taken == [(n, -(-n // 6))]
+
+
+def test_runs_of_a_large_alphabet_are_pooled_as_those_of_a_small_one(monkeypatch):
+    """Runs are numbered by a table or by sorting."""
+    network, ids = CharNetwork(1024, 2, (1, 4, 7), 3, 2), np.random.default_rng(7).integers(0, 1024, (40, 30))
+    weights, y = network.start(3), np.arange(40) % 2
+    loss, found = network.gradients(weights, ids, y)
+    monkeypatch.setattr(characters, "TABLE", 1)
+    again, same = network.gradients(weights, ids, y)
+    assert loss == again and all((a == b).all() for a, b in zip(found, same, strict=True))
+    shares = [[weights[0] @ kernel for kernel in weights[1 + 2 * k]] for k in range(3)]
+    for row, got in zip(ids, network.forward(weights, ids), strict=True):
+        pooled = [max(sum(shares[k][at][row[p + at], c] for at in range(w)) for p in range(30 - w + 1)) + weights[2 + 2 * k][c] for k, w in enumerate((1, 4, 7)) for c in range(2)]
+        np.testing.assert_allclose(got, np.array(pooled) @ weights[-2] + weights[-1])
+
+
 def test_whole_texts_are_told_apart_by_a_saved_model(spark, tmp_path):
     """Only a text's end tells its class, far behind the first window."""
     rows = [(k, "la le li lo lu " * 30 + ("xyz" if k % 2 else "pqr") * 20, k % 2) for k in range(80)] + [(100, None, None), (101, "", None)]
