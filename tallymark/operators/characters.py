@@ -221,6 +221,8 @@ class CharClassifier:
         labelled = frame.where(F.col(label).isNotNull()).select(F.col(text_col).alias("text"), F.col(label).cast("int").alias("label"))
         widest = max(self.network.widths)
         rows = windows_of(labelled, "text", self.size, widest, self.network.chars)
+        if self.network.chars <= 1 << 15:
+            rows = rows.withColumn("window", F.col("window").cast("array<smallint>"))  # half as much to deal out each epoch
         n = labelled.agg(F.sum(window_count(F.col("text"), self.size, widest))).first()[0] or 0
         return train(rows, self.network, ["window"], "label", replace(self.plan, batch_rows=max(1, -(-n // self.steps))), ranks, folder)
 

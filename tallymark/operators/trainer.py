@@ -19,6 +19,7 @@ import base64
 import io
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -28,7 +29,7 @@ from pyarrow import fs
 from pyspark import BarrierTaskContext
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
@@ -37,8 +38,8 @@ from tallymark.session import shared_path, ship_package, staged
 
 #: Rows whose gradients are computed at once.
 BLOCK_ROWS = 2048
-#: Groups of rows that are dealt to ranks by hash; a task's rows fall to one after another.
-LANES = 1 << 20
+#: Spark's setting by which shuffle files are deleted at the end of their query.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 class Network(Protocol):
@@ -205,7 +206,7 @@ def _epoch(network: Network, plan: Plan, packed: bytes, steps: int, folder: str)
         for batch in batches:
             step = batch.column(0).to_numpy()
             y = batch.column(2).to_numpy().astype(np.int64)
-            x = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(len(y), -1) if len(y) else np.zeros((0, 0))
+            x = np.stack(batch.column(1).to_numpy(zero_copy_only=False)) if len(y) else np.zeros((0, 0))
             for low, high in _runs(step):
                 while state.step < step[low] and not state.stopped:
                     close()
@@ -247,25 +248,36 @@ def train(frame: DataFrame, network: Network, inputs: list[str], label: str = "l
     if state is not None and (state.stopped or state.epoch >= plan.epochs):
         return state
     rows = frame.select(F.concat(*[_numbers(frame, x) for x in inputs]).alias("x"), F.col(label).cast("int").alias("y"))
-    lane = F.pmod(F.monotonically_increasing_id(), F.lit(LANES)).alias("lane")  # kept, as it deals rows to ranks without sorting them all to be the same again
-    rows = staged(rows.where("x is not null and y is not null").select("x", "y", lane), "training-rows")
+    rows = staged(rows.where("x is not null and y is not null"), "training-rows")
     steps = max(1, -(-rows.count() // plan.batch_rows))
     if state is None:
         weights = network.start(plan.seed)
         state = State(weights, [np.zeros_like(w) for w in weights], weights)
-    while state.epoch < plan.epochs and not state.stopped:
-        step = F.pmod(F.xxhash64(F.col("x").cast("array<double>"), "y", F.lit(plan.seed), F.lit(state.epoch)), F.lit(steps)).alias("step")  # the same for whole numbers of any type
-        own = rows.select(step, "x", "y", "lane").where(F.col("step") >= state.step).repartition(ranks, "lane").sortWithinPartitions("step").select("step", "x", "y")
-        found = own.mapInArrow(_epoch(network, plan, state.pack(), steps, folder), "rank int, state binary", barrier=True)
-        packed = next((r.state for r in found.collect() if r.state is not None), None)
-        if packed is not None:  # None: no row is left, so Spark ran no task
-            state = State.unpack(packed)
-        if not state.stopped:
-            state.epoch, state.step = state.epoch + 1, 0
-        save_state(folder, state)
+    with _shuffles_deleted(spark):
+        while state.epoch < plan.epochs and not state.stopped:
+            step = F.pmod(F.xxhash64(F.col("x").cast("array<double>"), "y", F.lit(plan.seed), F.lit(state.epoch)), F.lit(steps)).alias("step")  # the same for whole numbers of any type
+            own = rows.select(step, "x", "y").where(F.col("step") >= state.step).repartition(ranks).sortWithinPartitions("step")
+            found = own.mapInArrow(_epoch(network, plan, state.pack(), steps, folder), "rank int, state binary", barrier=True)
+            packed = next((r.state for r in found.collect() if r.state is not None), None)
+            if packed is not None:  # None: no row is left, so Spark ran no task
+                state = State.unpack(packed)
+            if not state.stopped:
+                state.epoch, state.step = state.epoch + 1, 0
+            save_state(folder, state)
     return state
 
 
+@contextmanager
+def _shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Within, a query's shuffle files go when it ends: each epoch deals all rows out anew."""
+    kept = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if kept is None else spark.conf.set(CLEANUP, kept)
+
+
 def barrier_training(rows: DataFrame, options: dict, rate: float = 0.05) -> bytes:
     """A function for ``NetworkClassifier(train=...)``: a dense network, fitted by ``train``, as npz bytes."""
     first = rows.select(F.size(F.concat(*[_numbers(rows, x) for x in options["input_cols"]]))).first()
